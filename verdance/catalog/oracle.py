@@ -277,8 +277,8 @@ def _history(primary: str, backup: str | None) -> dict[str, str]:
     )
     seen = ", ".join(
         f"""last_value(CASE WHEN {t}_win_end IS NOT NULL THEN {{'win_start': win_start, 'temp': {t}_avg_temp, 'hum': {t}_avg_humidity,
-            'soil': {t}_avg_soil_humidity, 'light': {t}_max_light}} END IGNORE NULLS) OVER before AS {t}_prev,
-        count(*) FILTER ({t}_avg_temp > 30) OVER trailing AS {t}_hot"""
+            'soil': {t}_avg_soil_humidity, 'light': {t}_max_light}} END IGNORE NULLS) OVER w_before AS {t}_prev,
+        count(*) FILTER ({t}_avg_temp > 30) OVER w_trailing AS {t}_hot"""
         for t in ("p", "b")
     )
     return {
@@ -286,8 +286,8 @@ def _history(primary: str, backup: str | None) -> dict[str, str]:
         "b": f"SELECT {label()} AS g, * FROM ({second})",
         "sided": f"SELECT coalesce(p.g, b.g) AS greenhouse, coalesce(p.win_start, b.win_start) AS win_start, {cols} FROM p FULL JOIN b ON p.g = b.g AND p.win_start = b.win_start",
         "seen": f"""SELECT *, {seen} FROM sided
-          WINDOW before AS (PARTITION BY greenhouse ORDER BY win_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-                 trailing AS (PARTITION BY greenhouse ORDER BY win_start RANGE BETWEEN INTERVAL 12 HOUR PRECEDING AND CURRENT ROW)""",
+          WINDOW w_before AS (PARTITION BY greenhouse ORDER BY win_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                 w_trailing AS (PARTITION BY greenhouse ORDER BY win_start RANGE BETWEEN INTERVAL 12 HOUR PRECEDING AND CURRENT ROW)""",
         "h": """SELECT *, coalesce(p_prev, b_prev) AS prev, CASE WHEN p_hot > 0 THEN p_hot ELSE b_hot END AS recent_hot,
           p_win_end IS NOT NULL AS is_p FROM seen""",
     }
