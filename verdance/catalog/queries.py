@@ -229,16 +229,21 @@ def alarm_primary(spark, sf):
 
 
 def alarm_at_window(spark, sf):
-    hot = fr.right(spark, sf).where(F.col("avg_temp") > 30).agg(F.min("win_start")).scalar()
-    return _brief(alarms.alarms(_history(spark, sf), fr.ALARM, hot))
+    l, r = fr.clicks(spark, sf), fr.right(spark, sf)
+    hot = r.where(F.col("avg_temp") > 30).agg(F.min("win_start")).scalar()
+    return _brief(alarms.alarms_at(l, r, hot, fr.ALARM, fr.HOUR))
+
+
+def _latest(spark, sf, greenhouse=None):
+    return alarms.latest_alarm(fr.clicks(spark, sf), fr.right(spark, sf), fr.ALARM, fr.HOUR, greenhouse)
 
 
 def alarm_latest(spark, sf):
-    return _brief(alarms.latest_alarm(_history(spark, sf), fr.ALARM))
+    return _brief(_latest(spark, sf))
 
 
 def alarm_latest_one(spark, sf):
-    return _brief(alarms.latest_alarm(_history(spark, sf), fr.ALARM, "大棚三"))
+    return _brief(_latest(spark, sf, "大棚三"))
 
 
 def alarm_payload(spark, sf):
@@ -320,9 +325,7 @@ def route_questions(spark, sf):
 
 
 def answer_questions(spark, sf):
-    lines = questions.answers(
-        fr.labelled(fr.left(spark, sf)), engine_diff(spark, sf), alarms.latest_alarm(_history(spark, sf), fr.ALARM)
-    )
+    lines = questions.answers(fr.labelled(fr.left(spark, sf)), engine_diff(spark, sf), _latest(spark, sf))
     return questions.answer(fr.questions(spark, sf), lines).drop("q")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,26 +13,26 @@ from verdance.model import SHORT, STATS
 SIDES = ("left", "right")
 
 
-def paired(left: DataFrame, right: DataFrame, digits: int | None = None) -> DataFrame:
+def paired(left: DataFrame, right: DataFrame | None = None, digits: int | None = None) -> DataFrame:
     """Both sets side by side, one row per (greenhouse, win_start) found in either.
 
     Columns ``left`` and ``right`` are structs of the window's end and its four
-    statistics (mean of repeats, A4), null where that side has no such window.
+    statistics (mean of repeats, A4), null where that side has no such window;
+    without a right set there is no ``right``.
     Removing repeats and matching happen in one aggregation: rows are tagged with
     their side and grouped once, which costs a single shuffle of pre-combined rows
     and matches null greenhouses with each other without a null-safe join.
     """
+    sets = {"left": left} if right is None else {"left": left, "right": right}
 
-    def tagged(df: DataFrame, side: str) -> DataFrame:
-        return df.select("greenhouse", "win_start", "win_end", *STATS, F.lit(side).alias("side"))
-
-    rows = tagged(left, "left").unionByName(tagged(right, "right"))
+    def tagged(side: str) -> DataFrame:
+        return sets[side].select("greenhouse", "win_start", "win_end", *STATS, F.lit(side).alias("side"))
 
     def only(side: str, c: str) -> Column:
         return F.when(F.col("side") == side, F.col(c))
 
     aggs = []
-    for side in SIDES:
+    for side in sets:
         aggs.append(F.max(only(side, "win_end")).alias(f"{side}_win_end"))
         for s in STATS:
             mean = F.avg(only(side, s))
@@ -40,41 +42,55 @@ def paired(left: DataFrame, right: DataFrame, digits: int | None = None) -> Data
         fields = [F.col(f"{side}_{c}").alias(c) for c in ("win_end", *STATS)]
         return F.when(F.col(f"{side}_win_end").isNotNull(), F.struct(*fields)).alias(side)
 
+    rows = reduce(DataFrame.unionByName, map(tagged, sets))
     return rows.groupBy("greenhouse", "win_start").agg(*aggs).select(
-        "greenhouse", "win_start", packed("left"), packed("right")
+        "greenhouse", "win_start", *map(packed, sets)
     )
 
 
-def _pairs(matched: DataFrame, step: int) -> DataFrame:
+def _pairs(matched: DataFrame, step: Column) -> DataFrame:
     cols = [F.col("greenhouse"), F.col("win_start"), F.col("left.win_end").alias("win_end")]
     for s in STATS:
         a, b = F.col(f"left.{s}"), F.col(f"right.{s}")
         name = SHORT[s]
         cols += [a.alias(f"left_{name}"), b.alias(f"right_{name}"), abs_diff(a, b).alias(f"diff_{name}")]
-    return matched.select(*cols, F.lit(step).alias("step"))
+    return matched.select(*cols, step.alias("step"))
 
 
-def _unkeyed_pairs(rows: DataFrame, unkeyed: str) -> DataFrame:
-    """An unmatched window without greenhouse on one side goes with the
+def _unkeyed_pairs(rows: DataFrame) -> DataFrame:
+    """An unmatched window without greenhouse on one side goes with the
     unmatched window of the same start and the largest label on the other.
 
-    A side has at most one such window per start (``paired`` merged its repeats), so
-    the one-to-one match is a maximum per start: no ranking, no group in one task.
+    A side has at most one window without greenhouse per start (``paired`` merged its
+    repeats), and where both sides have one they matched each other. So each start
+    yields at most one such pair, found as a maximum: no ranking, no group in one task.
     """
-    keyed = "right" if unkeyed == "left" else "left"
-    name, alone = F.col("greenhouse"), F.col(keyed).isNull()
-    best = (
-        rows.where(F.when(name.isNull(), alone).otherwise(F.col(unkeyed).isNull()))
+    left, right, name = F.col("left"), F.col("right"), F.col("greenhouse")
+
+    def largest(side: str) -> Column:
+        return F.max(F.when(name.isNotNull() & F.col(side).isNotNull(), F.struct(name, F.col(side).alias("window"))))
+
+    per_start = (
+        rows.where(left.isNull() | right.isNull())
         .groupBy("win_start")
         .agg(
-            F.max(F.when(name.isNull(), F.col(unkeyed))).alias(unkeyed),
-            F.max(F.when(name.isNotNull(), F.struct("greenhouse", F.col(keyed).alias("stats")))).alias("best"),
+            F.max(F.when(name.isNull(), left)).alias("null_left"),
+            F.max(F.when(name.isNull(), right)).alias("null_right"),
+            largest("left").alias("best_left"),
+            largest("right").alias("best_right"),
         )
-        .where(F.col(unkeyed).isNotNull() & F.col("best").isNotNull())
     )
-    return best.select(
-        F.col("best.greenhouse").alias("greenhouse"), "win_start", unkeyed, F.col("best.stats").alias(keyed)
+    by_left = F.col("null_left").isNotNull() & F.col("best_right").isNotNull()
+    by_right = F.col("null_right").isNotNull() & F.col("best_left").isNotNull()
+    best = F.when(by_left, F.col("best_right")).otherwise(F.col("best_left"))
+    matched = per_start.where(by_left | by_right).select(
+        best["greenhouse"].alias("greenhouse"),
+        "win_start",
+        F.when(by_left, F.col("null_left")).otherwise(F.col("best_left.window")).alias("left"),
+        F.when(by_left, F.col("best_right.window")).otherwise(F.col("null_right")).alias("right"),
+        F.when(by_left, 2).otherwise(3).alias("step"),
     )
+    return _pairs(matched, F.col("step"))
 
 
 def align(
@@ -93,10 +109,9 @@ def align(
     ``greenhouse`` column and may repeat windows.
     """
     rows = paired(left, right, digits)
-    out = _pairs(rows.where(F.col("left").isNotNull() & F.col("right").isNotNull()), 1)
+    out = _pairs(rows.where(F.col("left").isNotNull() & F.col("right").isNotNull()), F.lit(1))
     if fallback:
-        out = out.unionByName(_pairs(_unkeyed_pairs(rows, "left"), 2))
-        out = out.unionByName(_pairs(_unkeyed_pairs(rows, "right"), 3))
+        out = out.unionByName(_unkeyed_pairs(rows))
     if max_n is not None:
         strict_start = F.when(F.col("step") == 1, F.col("win_start"))
         strict_name = F.when(F.col("step") == 1, F.col("greenhouse"))

@@ -13,10 +13,13 @@ start is brought in separately:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdance.model import STATS, AlarmSpec
+from verdance.operators.align import SIDES
 
 MICROS = 1_000_000
 _FIELDS = ("win_end", *STATS)
@@ -28,7 +31,7 @@ def _seen(side: str) -> Column:
     return F.when(F.col(side).isNotNull(), F.struct(*fields))
 
 
-def look_back(rows: DataFrame, spec: AlarmSpec, sides: tuple[str, ...] = ("left", "right")) -> DataFrame:
+def look_back(rows: DataFrame, spec: AlarmSpec, sides: Sequence[str] = SIDES) -> DataFrame:
     """Adds, to each (greenhouse, win_start) row of ``align.paired``, the previous
     window ``prev`` and the number ``recent_hot`` of hot windows in the look-back
     that ends at the row (both ends inclusive).
@@ -86,3 +89,39 @@ def look_back(rows: DataFrame, spec: AlarmSpec, sides: tuple[str, ...] = ("left"
     return out.where(F.col("_bucket") == F.col("_own")).select(
         *rows.columns, prev.alias("prev"), F.coalesce(*counts, F.lit(0)).alias("recent_hot")
     )
+
+
+def at_window(rows: DataFrame, start: Column, spec: AlarmSpec, sides: Sequence[str] = SIDES) -> DataFrame:
+    """``look_back`` for the windows that start at one time (L4): since every
+    greenhouse needs one answer, its history is folded by aggregates, not sorted.
+    Rows after ``start`` should be filtered from the tables beforehand."""
+    at, here = F.col("win_start"), F.col("win_start") == start
+    recent = (at <= start) & (at >= start - F.make_interval(secs=F.lit(spec.lookback_seconds)))
+    aggs = []
+    for s in sides:
+        have = F.col(s).isNotNull()
+        for f in _FIELDS:
+            aggs.append(F.max(F.when(here, F.col(f"{s}.{f}"))).alias(f"_now_{s}_{f}"))
+        for f in ("win_start", *_FIELDS):
+            value = at if f == "win_start" else F.col(f"{s}.{f}")
+            aggs.append(F.max_by(value, F.when(have & (at < start), at)).alias(f"_prev_{s}_{f}"))
+        aggs.append(F.count_if(recent & (F.col(f"{s}.avg_temp") > spec.hot_above)).alias(f"_hot_{s}"))
+
+    def packed(prefix: str, key: str, fields: tuple[str, ...]) -> Column:
+        return F.when(F.col(f"{prefix}_{key}").isNotNull(), F.struct(*[F.col(f"{prefix}_{f}").alias(f) for f in fields]))
+
+    now = [packed(f"_now_{s}", "win_end", _FIELDS) for s in sides]
+    prev = [packed(f"_prev_{s}", "win_start", ("win_start", *_FIELDS)) for s in sides]
+    counts = [F.nullif(F.col(f"_hot_{s}"), F.lit(0)) for s in sides]
+    return (
+        rows.groupBy("greenhouse")
+        .agg(*aggs)
+        .select(
+            "greenhouse",
+            start.alias("win_start"),
+            *[w.alias(s) for w, s in zip(now, sides)],
+            F.coalesce(*prev).alias("prev"),
+            F.coalesce(*counts, F.lit(0)).alias("recent_hot"),
+        )
+        .where(F.coalesce(*[F.col(s) for s in sides]).isNotNull())
+    )

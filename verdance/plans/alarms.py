@@ -9,23 +9,28 @@ from verdance.functions.alarm_rules import scored_reasons
 from verdance.functions.labels import label
 from verdance.functions.values import time_text
 from verdance.model import STATS, AlarmSpec
-from verdance.operators.align import paired
-from verdance.operators.history import look_back
+from verdance.operators.align import SIDES, paired
+from verdance.operators.history import at_window, look_back
 from verdance.operators.tables import with_key_column
 
 
+def _named(table: DataFrame, window_seconds: int) -> DataFrame:
+    t = with_key_column(table)
+    return t.withColumn("greenhouse", label(F.col("greenhouse_id"), F.col("win_start"), window_seconds))
+
+
+def _sides(rows: DataFrame) -> list[str]:
+    return [s for s in SIDES if s in rows.columns]
+
+
 def history(
     primary: DataFrame, backup: DataFrame | None = None, spec: AlarmSpec = AlarmSpec(), window_seconds: int = 5
 ) -> DataFrame:
-    """Windows of both tables with previous window and recent hot count."""
-
-    def named(t: DataFrame) -> DataFrame:
-        t = with_key_column(t)
-        return t.withColumn("greenhouse", label(F.col("greenhouse_id"), F.col("win_start"), window_seconds))
-
-    first = named(primary)
-    second = first.limit(0) if backup is None else named(backup)
-    return look_back(paired(first, second), spec)
+    """Windows of both tables (``left``, ``right``) with previous window and recent hot
+    count (R7)."""
+    second = None if backup is None else _named(backup, window_seconds)
+    rows = paired(_named(primary, window_seconds), second)
+    return look_back(rows, spec, _sides(rows))
 
 
 def _attributed(rows: DataFrame, window: Column, spec: AlarmSpec) -> DataFrame:
@@ -56,33 +61,65 @@ def _attributed(rows: DataFrame, window: Column, spec: AlarmSpec) -> DataFrame:
     )
 
 
-def alarms(rows: DataFrame, spec: AlarmSpec = AlarmSpec(), win_start: str | Column | None = None) -> DataFrame:
+def alarms(rows: DataFrame, spec: AlarmSpec = AlarmSpec()) -> DataFrame:
     """Attribution of every hot window of ``history``: a window counts from the
-    primary table, or from the backup where the primary lacks it. ``win_start``
-    narrows it to the windows that start then (L4, given-window mode)."""
-    if win_start is not None:
-        start = F.lit(win_start).cast("timestamp") if isinstance(win_start, str) else win_start
-        rows = rows.where(F.col("win_start") == start)
-    return _attributed(rows, F.coalesce("left", "right"), spec)
-
-
-def latest_alarm(rows: DataFrame, spec: AlarmSpec = AlarmSpec(), greenhouse: str | None = None) -> DataFrame:
-    """The newest hot window (T1), of one greenhouse if named: from the primary
-    table, or from the backup if the primary has no hot window at all (J6). The
-    choice is the leading sort key of a top-1, not a second pass."""
-    if greenhouse is not None:
-        rows = rows.where(F.col("greenhouse") == greenhouse)
-    sides = F.array(
-        F.struct(F.lit(1).alias("source"), F.col("left").alias("window")),
-        F.struct(F.lit(2).alias("source"), F.col("right").alias("window")),
-    )
-    hot = (
-        rows.withColumn("_c", F.explode(sides))
-        .where(F.col("_c.window.avg_temp") > spec.hot_above)
-        .orderBy("_c.source", F.desc("win_start"), "greenhouse")
-        .limit(1)
-    )
-    return _attributed(hot, F.col("_c.window"), spec)
+    primary table, or from the backup where the primary lacks it."""
+    return _attributed(rows, F.coalesce(*_sides(rows)), spec)
+
+
+def _at(
+    primary: DataFrame,
+    backup: DataFrame | None,
+    start: Column,
+    spec: AlarmSpec,
+    window_seconds: int,
+    greenhouse: str | Column | None,
+) -> DataFrame:
+    def upto(table: DataFrame) -> DataFrame:
+        t = _named(table.where(F.col("win_start") <= start), window_seconds)
+        return t if greenhouse is None else t.where(F.col("greenhouse") == greenhouse)
+
+    rows = paired(upto(primary), None if backup is None else upto(backup))
+    return at_window(rows, start, spec, _sides(rows))
+
+
+def alarms_at(
+    primary: DataFrame,
+    backup: DataFrame | None,
+    win_start: str | Column,
+    spec: AlarmSpec = AlarmSpec(),
+    window_seconds: int = 5,
+    greenhouse: str | None = None,
+) -> DataFrame:
+    """Given-window mode (L4): attribution of the hot windows that start at one time,
+    in all greenhouses or one."""
+    start = F.lit(win_start).cast("timestamp") if isinstance(win_start, str) else win_start
+    return alarms(_at(primary, backup, start, spec, window_seconds, greenhouse), spec)
+
+
+def latest_alarm(
+    primary: DataFrame,
+    backup: DataFrame | None = None,
+    spec: AlarmSpec = AlarmSpec(),
+    window_seconds: int = 5,
+    greenhouse: str | None = None,
+) -> DataFrame:
+    """The newest hot window (T1), of one greenhouse if named: from the primary table,
+    or from the backup if the primary has no hot window at all (J6). That choice is
+    the leading sort key of a top-1; the history is then read for that greenhouse only."""
+
+    def hot(table: DataFrame, source: int) -> DataFrame:
+        t = _named(table, window_seconds)
+        t = t if greenhouse is None else t.where(F.col("greenhouse") == greenhouse)
+        windows = t.groupBy("greenhouse", "win_start").agg(F.avg("avg_temp").alias("avg_temp"))
+        return windows.where(F.col("avg_temp") > spec.hot_above).withColumn("source", F.lit(source))
+
+    found = hot(primary, 1) if backup is None else hot(primary, 1).unionByName(hot(backup, 2))
+    newest = found.orderBy("source", F.desc("win_start"), "greenhouse").limit(1)
+    pick = newest.select(F.struct("source", "win_start", "greenhouse").alias("pick")).scalar()
+    rows = _at(primary, backup, pick["win_start"], spec, window_seconds, pick["greenhouse"])
+    sides = [F.when(pick["source"] == i, F.col(s)) for i, s in enumerate(_sides(rows), 1)]
+    return _attributed(rows, F.coalesce(*sides), spec)
 
 
 def reason_rows(attributed: DataFrame) -> DataFrame:

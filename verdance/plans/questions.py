@@ -12,6 +12,8 @@ from verdance.functions.values import text, time_of_day, time_text
 from verdance.model import LABELS
 from verdance.plans import reports
 
+NO_DATA = "暂无数据"
+
 PARAMS = {
     "alarm_count": ("named", None),
     "gh_latest": ("named", None),
@@ -44,64 +46,83 @@ def empty(questions: DataFrame) -> DataFrame:
     return questions.where(F.coalesce(F.trim("q"), F.lit("")) == "")
 
 
-def _lines(df: DataFrame, intent: str, line: Column, gh1=None, gh2=None, order: Column | None = None) -> DataFrame:
-    def param(c):
-        return F.lit(None).cast("string") if c is None else F.col(c)
-
-    return df.select(
+def _line(intent: str, line: Column, gh1: Column | None = None, gh2: Column | None = None, order=None) -> Column:
+    none = F.lit(None).cast("string")
+    return F.struct(
         F.lit(intent).alias("intent"),
-        param(gh1).alias("gh1"),
-        param(gh2).alias("gh2"),
+        (none if gh1 is None else gh1).alias("gh1"),
+        (none if gh2 is None else gh2).alias("gh2"),
         (F.lit(0.0) if order is None else order.cast("double")).alias("sort_value"),
-        F.coalesce(line, F.lit("暂无数据")).alias("line"),
+        F.coalesce(line, F.lit(NO_DATA)).alias("line"),
     )
 
 
-def answers(
-    windows: DataFrame, diff: DataFrame | None = None, alarm: DataFrame | None = None, hot_above: float = 30.0
-) -> DataFrame:
-    """Q4: every answer the questions can ask for, as (intent, gh1, gh2, sort_value, line).
+def _rows(df: DataFrame, *lines: Column) -> DataFrame:
+    """The lines that apply to each row, each as a row; null lines are left out."""
+    return df.select(F.inline(F.array_compact(F.array(*lines))))
 
-    ``windows`` is labelled by real keys. Rankings are one row per greenhouse with
-    ``sort_value`` ascending in rank order. ``diff`` and ``alarm`` are the results of
-    ``compare.engine_diff`` and ``alarms.latest_alarm``.
-    """
-    keyed = windows.where(F.col("greenhouse").isNotNull())
-    hot = reports.hot_windows(keyed, hot_above)
 
-    # one grouping serves the per-greenhouse counts, the ranking and the total
-    counts = hot.groupBy("greenhouse").agg(
-        F.count("*").alias("n"), F.sum("avg_temp").alias("total"), F.max("avg_temp").alias("top")
-    )
-    named = F.array(*[F.lit(x) for x in LABELS])
-    asked = windows.sparkSession.range(1).select(F.explode(named).alias("greenhouse"))
-    counted = text(
+def _counted(who: Column) -> Column:
+    told = text(
         "%s：%d 次高温告警，平均温度 %.1f℃，最高 %.1f℃",
-        F.col("greenhouse"),
-        F.col("n"),
-        F.round(F.try_divide("total", "n"), 1),
-        F.round("top", 1),
-    )
-    overall = hot.agg(
-        F.lit("所有大棚").alias("greenhouse"),
-        F.count("*").alias("n"),
-        F.sum("avg_temp").alias("total"),
-        F.max("avg_temp").alias("top"),
+        who,
+        F.col("hot_n"),
+        F.round("hot_mean", 1),
+        F.round("hot_top", 1),
     )
-    none = F.concat(F.col("greenhouse"), F.lit("：0 次高温告警"))
-
-    means = keyed.groupBy("greenhouse").agg(
-        F.avg("avg_temp").alias("t"),
+    return F.when(F.col("hot_n") > 0, told).otherwise(F.concat(who, F.lit("：0 次高温告警")))
+
+
+def _environment_lines(keyed: DataFrame, hot_above: float) -> DataFrame:
+    """Counts, rankings and comparisons of all greenhouses from one grouping. A rollup
+    yields the greenhouses and the total together; the total row also carries the
+    mean of each label a question can name."""
+    temp = F.col("avg_temp")
+    hot = temp > hot_above
+    named = {g: f"named_{i}" for i, g in enumerate(LABELS)}
+    per = keyed.rollup("greenhouse").agg(
+        F.grouping("greenhouse").alias("is_total"),
+        F.count_if(hot).alias("hot_n"),
+        F.avg(F.when(hot, temp)).alias("hot_mean"),
+        F.max(F.when(hot, temp)).alias("hot_top"),
+        F.avg(temp).alias("t"),
         F.avg("avg_humidity").alias("h"),
         F.avg("max_light").alias("l"),
         F.max("win_start").alias("last"),
+        *[F.round(F.avg(F.when(F.col("greenhouse") == g, temp)), 4).alias(c) for g, c in named.items()],
     )
-    env = text("均温 %.1f℃ · 均湿 %.1f%% · 光照 %.0f lux", F.round("t", 1), F.round("h", 1), F.round("l", 0))
-    rank_line = F.concat(F.col("greenhouse"), F.lit("（截止 "), time_of_day(F.col("last")), F.lit("）: "), env)
 
-    newest = asked.join(reports.gh_latest(keyed.where(F.col("greenhouse").isin(*LABELS))), "greenhouse", "left")
-    latest_line = F.concat(
-        F.col("greenhouse"),
+    who, one, total = F.col("greenhouse"), F.col("is_total") == 0, F.col("is_total") == 1
+    env = text("均温 %.1f℃ · 均湿 %.1f%% · 光照 %.0f lux", F.round("t", 1), F.round("h", 1), F.round("l", 0))
+    ranked = F.concat(who, F.lit("（截止 "), time_of_day(F.col("last")), F.lit("）: "), env)
+    lines = [
+        F.when(one, _line("alarm_count", _counted(who), who)),
+        F.when(total, _line("alarm_count", _counted(F.lit("所有大棚")))),
+        F.when(
+            one & (F.col("hot_n") > 0),
+            _line("alarm_top", text("%s：%d 次高温告警", who, F.col("hot_n")), order=-F.col("hot_n")),
+        ),
+        F.when(one, _line("gh_rank", ranked, order=-F.round("t", 4))),
+    ]
+    # the pairs a question can name, earlier label first
+    for i, a in enumerate(LABELS):
+        for b in LABELS[i + 1 :]:
+            d = F.round(F.col(named[a]) - F.col(named[b]), 4)
+            verdict = F.when(d > 0, F.lit("高于")).otherwise(F.lit("低于"))
+            told = text("%s %s %s，相差 %.1f℃", F.lit(a), verdict, F.lit(b), F.round(F.abs(d), 1))
+            lines.append(F.when(total, _line("gh_compare", told, F.lit(a), F.lit(b))))
+    # labels a question can name of which there is no window
+    for g, c in named.items():
+        absent = total & F.col(c).isNull()
+        lines.append(F.when(absent, _line("alarm_count", F.lit(f"{g}：0 次高温告警"), F.lit(g))))
+        lines.append(F.when(absent, _line("gh_latest", F.lit(None).cast("string"), F.lit(g))))
+    return _rows(per, *lines)
+
+
+def _latest_lines(keyed: DataFrame) -> DataFrame:
+    who = F.col("greenhouse")
+    told = F.concat(
+        who,
         F.lit(" 最新窗口（"),
         time_text(F.col("win_start")),
         F.lit("）: "),
@@ -113,54 +134,37 @@ def answers(
             F.round("max_light", 0),
         ),
     )
+    newest = reports.gh_latest(keyed.where(who.isin(*LABELS)))
+    return _rows(newest, _line("gh_latest", told, who))
 
-    # the pairs of labels a question can name, earlier label first
-    pairs = F.array(
-        *[
-            F.struct(F.lit(a).alias("gh1"), F.lit(b).alias("gh2"))
-            for i, a in enumerate(LABELS)
-            for b in LABELS[i + 1 :]
-        ]
-    )
-    three = keyed.where(F.col("greenhouse").isin(*LABELS)).groupBy("greenhouse").agg(F.avg("avg_temp").alias("t"))
-    versus = windows.sparkSession.range(1).select(F.inline(pairs))
-    for i in (1, 2):
-        versus = versus.join(
-            three.select(F.col("greenhouse").alias(f"gh{i}"), F.round("t", 4).alias(f"t{i}")), f"gh{i}", "left"
-        )
-    d = F.round(F.col("t1") - F.col("t2"), 4)
-    versus_line = text(
-        "%s %s %s，相差 %.1f℃",
-        F.col("gh1"),
-        F.when(d > 0, F.lit("高于")).otherwise(F.lit("低于")),
-        F.col("gh2"),
-        F.round(F.abs(d), 1),
-    )
 
-    parts = [
-        _lines(
-            asked.join(counts, "greenhouse", "left"), "alarm_count", F.coalesce(counted, none), "greenhouse"
-        ),
-        _lines(overall, "alarm_count", F.when(F.col("n") > 0, counted).otherwise(none)),
-        _lines(counts, "alarm_top", text("%s：%d 次高温告警", F.col("greenhouse"), F.col("n")), order=-F.col("n")),
-        _lines(means, "gh_rank", rank_line, order=-F.round("t", 4)),
-        _lines(newest, "gh_latest", latest_line, "greenhouse"),
-        _lines(versus, "gh_compare", versus_line, "gh1", "gh2"),
-    ]
+def answers(
+    windows: DataFrame, diff: DataFrame | None = None, alarm: DataFrame | None = None, hot_above: float = 30.0
+) -> DataFrame:
+    """Q4: every answer the questions can ask for, as (intent, gh1, gh2, sort_value, line).
+
+    ``windows`` is labelled by real keys. Rankings are one row per greenhouse with
+    ``sort_value`` ascending in rank order. ``diff`` and ``alarm`` are the results of
+    ``compare.engine_diff`` and ``alarms.latest_alarm``.
+    """
+    keyed = windows.where(F.col("greenhouse").isNotNull())
+    parts = [_environment_lines(keyed, hot_above), _latest_lines(keyed)]
     if diff is not None:
         state = [F.when(F.col(f"{s}_alive"), F.lit("运行中")).otherwise(F.lit("离线")) for s in ("left", "right")]
         parts.append(
-            _lines(
+            _rows(
                 diff,
-                "engine_diff",
-                text(
-                    "Spark: %d 窗口 · %s；Flink: %d 窗口 · %s；对齐窗口: %d；平均温度偏差: %.2f℃",
-                    F.col("left_windows"),
-                    state[0],
-                    F.col("right_windows"),
-                    state[1],
-                    F.col("pairs"),
-                    F.coalesce(F.round("avg_diff_temp", 2), F.lit(0.0)),
+                _line(
+                    "engine_diff",
+                    text(
+                        "Spark: %d 窗口 · %s；Flink: %d 窗口 · %s；对齐窗口: %d；平均温度偏差: %.2f℃",
+                        F.col("left_windows"),
+                        state[0],
+                        F.col("right_windows"),
+                        state[1],
+                        F.col("pairs"),
+                        F.coalesce(F.round("avg_diff_temp", 2), F.lit(0.0)),
+                    ),
                 ),
             )
         )
@@ -172,7 +176,7 @@ def answers(
             "%s 主因：%s（置信度 %d%%）", F.col("greenhouse"), F.col("primary.reason"), F.col("confidence")
         )
         parts.append(
-            _lines(alarm, "alarm_reason", F.concat_ws("；", F.array(main, F.col("primary.detail")), others))
+            _rows(alarm, _line("alarm_reason", F.concat_ws("；", F.array(main, F.col("primary.detail")), others)))
         )
     return reduce(DataFrame.unionByName, parts)
 
@@ -189,6 +193,7 @@ def answer(questions: DataFrame, answer_rows: DataFrame) -> DataFrame:
         & routed["gh1"].eqNullSafe(answer_rows["gh1"])
         & routed["gh2"].eqNullSafe(answer_rows["gh2"])
     )
+    line = F.coalesce(F.col("line"), F.when(routed["intent"] != "unknown", NO_DATA)).alias("line")
     return routed.join(answer_rows, same, "left").select(
-        routed["q_id"], routed["q"], routed["intent"], routed["gh1"], routed["gh2"], "sort_value", "line"
+        routed["q_id"], routed["q"], routed["intent"], routed["gh1"], routed["gh2"], "sort_value", line
     )
