@@ -23,8 +23,13 @@ ALIVE_SECONDS = 24 * HOUR
 AUDIT_MINUTES = 360 * 60
 
 
+# declared, so that reading starts no job to look at file footers
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+CONVERSATIONS = "conv_id long, turn long, role string, text string"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def as_readings(ev: DataFrame) -> DataFrame:
@@ -128,7 +133,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from_events = events(spark, sf_dir).select(
         F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("q_id"), asked.alias("q")
     )
-    talks = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+    talks = spark.read.schema(CONVERSATIONS).parquet(f"{sf_dir}/conversations.parquet").select(
         F.concat_ws("-", F.lit("c"), F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("q_id"),
         F.col("text").alias("q"),
     )

@@ -325,17 +325,19 @@ def route_questions(spark, sf):
 
 
 def answer_questions(spark, sf):
-    lines = questions.answers(fr.labelled(fr.left(spark, sf)), engine_diff(spark, sf), _latest(spark, sf))
-    return questions.answer(fr.questions(spark, sf), lines).drop("q")
+    l, r = fr.left(spark, sf), fr.right(spark, sf)
+    named = fr.labelled(l)
+    diff = compare.engine_diff(named, fr.labelled(r), fr.as_of(spark, sf), alive_seconds=fr.ALIVE_SECONDS)
+    newest = alarms.latest_alarm(fr.clicks(spark, sf), r, fr.ALARM, fr.HOUR)
+    return questions.answer(fr.questions(spark, sf), questions.answers(named, diff, newest)).drop("q")
 
 
 # ---------------------------------------------------------------- streams
 
 
 def _event_stream(spark, sf):
-    schema = fr.events(spark, sf).schema
     s = streaming_session(spark)
-    return fr.as_readings(src.parquet_stream(s, sf, schema, glob="events.parquet", max_files=1))
+    return fr.as_readings(src.parquet_stream(s, sf, fr.EVENTS, glob="events.parquet", max_files=1))
 
 
 def _replayed(spark, windows, name, mode="append"):

@@ -95,9 +95,12 @@ def at_window(rows: DataFrame, start: Column, spec: AlarmSpec, sides: Sequence[s
     """``look_back`` for the windows that start at one time (L4): since every
     greenhouse needs one answer, its history is folded by aggregates, not sorted.
     Rows after ``start`` should be filtered from the tables beforehand."""
-    at, here = F.col("win_start"), F.col("win_start") == start
+    # one column, so that a start given by a subquery stands in the plan once
+    rows = rows.withColumn("_start", start)
+    at, start = F.col("win_start"), F.col("_start")
+    here = at == start
     recent = (at <= start) & (at >= start - F.make_interval(secs=F.lit(spec.lookback_seconds)))
-    aggs = []
+    aggs = [F.max(start).alias("_max_start")]
     for s in sides:
         have = F.col(s).isNotNull()
         for f in _FIELDS:
@@ -118,7 +121,7 @@ def at_window(rows: DataFrame, start: Column, spec: AlarmSpec, sides: Sequence[s
         .agg(*aggs)
         .select(
             "greenhouse",
-            start.alias("win_start"),
+            F.col("_max_start").alias("win_start"),
             *[w.alias(s) for w, s in zip(now, sides)],
             F.coalesce(*prev).alias("prev"),
             F.coalesce(*counts, F.lit(0)).alias("recent_hot"),

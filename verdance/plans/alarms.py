@@ -118,8 +118,8 @@ def latest_alarm(
     newest = found.orderBy("source", F.desc("win_start"), "greenhouse").limit(1)
     pick = newest.select(F.struct("source", "win_start", "greenhouse").alias("pick")).scalar()
     rows = _at(primary, backup, pick["win_start"], spec, window_seconds, pick["greenhouse"])
-    sides = [F.when(pick["source"] == i, F.col(s)) for i, s in enumerate(_sides(rows), 1)]
-    return _attributed(rows, F.coalesce(*sides), spec)
+    window = F.element_at(F.array(*_sides(rows)), pick["source"])
+    return _attributed(rows, window, spec)
 
 
 def reason_rows(attributed: DataFrame) -> DataFrame:
