@@ -22,7 +22,7 @@ def stripped(key: Column) -> Column:
 
 def has_key(key: Column) -> Column:
     """L3: key neither null nor blank."""
-    return stripped(key).isNotNull()
+    return F.trim(key) != ""
 
 
 def normalized(key: Column) -> Column:

@@ -24,23 +24,28 @@ def _scaled(c: Column, spec: WindowSpec) -> Column:
     return c if spec.scale == 1 else c / F.lit(float(spec.scale))
 
 
-def _unpacked(windowed: DataFrame, *columns: str) -> DataFrame:
-    """Window struct to two columns, in table order."""
-    return windowed.select(
-        KEY, F.col("window.start").alias("win_start"), F.col("window.end").alias("win_end"), *columns
-    )
+def _per_window(readings: DataFrame, spec: WindowSpec, aggs: list[Column]) -> DataFrame:
+    """Aggregates per greenhouse and tumbling window, in table order.
+
+    A stream must group by the window struct, which carries the watermark. A batch
+    groups by its start alone: a shorter key to hash and shuffle, the end follows.
+    """
+    window = F.window(TIME, spec.size, startTime=spec.offset)
+    if readings.isStreaming:
+        grouped = with_watermark(readings, spec).groupBy(KEY, window).agg(*aggs)
+        start, end = F.col("window.start"), F.col("window.end")
+    else:
+        grouped = readings.withColumn("win_start", window["start"]).groupBy(KEY, "win_start").agg(*aggs)
+        start = F.col("win_start")
+        end = start + F.make_interval(secs=F.lit(spec.seconds))
+    return grouped.select(KEY, start.alias("win_start"), end.alias("win_end"), *STATS)
 
 
 def tumbling_avg_max(readings: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFrame:
     """A1: mean of three metrics and maximum light per greenhouse and window."""
     aggs = [_scaled(F.avg(m), spec).alias(STAT_OF[m]) for m in METRICS[:3]]
     aggs.append(_scaled(F.max("light"), spec).alias(STAT_OF["light"]))
-    windowed = (
-        with_watermark(readings, spec)
-        .groupBy(KEY, F.window(TIME, spec.size, startTime=spec.offset))
-        .agg(*aggs)
-    )
-    return _unpacked(windowed, *STATS)
+    return _per_window(readings, spec, aggs)
 
 
 def tumbling_trimmed_mean(
@@ -49,12 +54,7 @@ def tumbling_trimmed_mean(
     """A3: trimmed mean of three metrics and maximum light, rounded."""
     aggs = [F.round(_scaled(trimmed_mean(F.col(m)), spec), digits).alias(STAT_OF[m]) for m in METRICS[:3]]
     aggs.append(F.round(_scaled(F.max("light"), spec).cast("double"), digits).alias(STAT_OF["light"]))
-    windowed = (
-        with_watermark(readings, spec)
-        .groupBy(KEY, F.window(TIME, spec.size, startTime=spec.offset))
-        .agg(*aggs)
-    )
-    return _unpacked(windowed, *STATS)
+    return _per_window(readings, spec, aggs)
 
 
 def sliding_avg(readings: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFrame:
@@ -74,14 +74,11 @@ def sliding_avg(readings: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFra
         return windowed.select(KEY, F.col("window.end").alias("ts"), *FEED_METRICS)
 
     parts = [a for m in METRICS for a in (F.sum(m).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n"))]
-    panes = readings.groupBy(KEY, F.window(TIME, spec.slide, startTime=spec.offset).alias("pane")).agg(*parts)
-    ends = F.explode(
-        F.sequence(
-            F.col("pane.end"),
-            F.col("pane.start") + F.make_interval(secs=F.lit(spec.seconds)),
-            F.make_interval(secs=F.lit(spec.slide_seconds)),
-        )
-    )
+    pane = F.window(TIME, spec.slide, startTime=spec.offset)["start"]
+    panes = readings.withColumn("pane", pane).groupBy(KEY, "pane").agg(*parts)
+    slide = F.make_interval(secs=F.lit(spec.slide_seconds))
+    last = F.col("pane") + F.make_interval(secs=F.lit(spec.seconds))
+    ends = F.explode(F.sequence(F.col("pane") + slide, last, slide))
     means = [
         _scaled(F.try_divide(F.sum(f"{m}_sum"), F.sum(f"{m}_n")), spec).alias(f)
         for m, f in zip(METRICS, FEED_METRICS)

@@ -148,7 +148,10 @@ def window_export(
     windows: DataFrame, real: bool | Column = True, newest: int | None = 2000, window_seconds: int = 5
 ) -> DataFrame:
     """K5: newest windows as a report table: label, times as text, two decimals."""
-    rows = latest(with_key_column(windows), newest, "greenhouse_id")
+    rows = with_key_column(windows)
+    if newest is not None:
+        # the values break ties between repeats, so the cut is the same on every run
+        rows = rows.orderBy(F.desc("win_start"), "greenhouse_id", *STATS).limit(newest)
     named = labelled(rows, real, window_seconds)
     cols = [
         F.coalesce("greenhouse", F.lit("")),

@@ -65,12 +65,14 @@ def batch_writer(
 
 class BatchFolders:
     """Writes each micro-batch to its own folder, replacing it if the batch is retried,
-    so a repeated batch leaves no repeated rows."""
+    so a repeated batch leaves no repeated rows. ``files`` spreads a batch over that
+    many files where one per state partition would be too many."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, files: int | None = None):
+        self.path, self.files = path, files
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch if self.files is None else batch.repartition(self.files)
         batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
 
