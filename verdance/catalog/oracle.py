@@ -375,6 +375,65 @@ def _latest(where: str = "true") -> str:
       ORDER BY source, win_start DESC, greenhouse LIMIT 1"""
 
 
+def _object(*fields: tuple[str, str, bool]) -> str:
+    """JSON object as concatenated SQL: (name, value, is text); null fields are left out."""
+    parts = []
+    for name, value, text in fields:
+        quote = '"' if text else ""
+        parts.append(f"""CASE WHEN ({value}) IS NOT NULL THEN '"{name}":{quote}' || ({value}) || '{quote}' END""")
+    return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
+
+
+def _time(c: str) -> str:
+    return f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
+
+
+def _iso(c: str) -> str:
+    return f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%gZ')"
+
+
+_REASON = _object(("score", "score", False), ("reason", "reason", True), ("detail", "detail", True))
+_WINDOW_OBJECT = _object(
+    ("gh", "greenhouse", True),
+    ("temp", "avg_temp", False),
+    ("hum", "avg_humidity", False),
+    ("soil", "avg_soil_humidity", False),
+    ("light", "max_light", False),
+    ("win_start", _time("win_start"), True),
+    ("win_end", _time("win_end"), True),
+    ("recent_high_count", "recent_hot", False),
+)
+_PREV_OBJECT = _object(
+    *[(f, f"prev.{f}", False) for f in ("temp", "hum", "soil", "light")], ("win_start", _time("prev.win_start"), True)
+)
+PAYLOAD = {
+    "told": f"SELECT *, {_REASON} AS j FROM ranked",
+    "folded": """SELECT greenhouse, win_start, any_value(win_end) AS win_end, any_value(avg_temp) AS avg_temp,
+        any_value(avg_humidity) AS avg_humidity, any_value(avg_soil_humidity) AS avg_soil_humidity,
+        any_value(max_light) AS max_light, any_value(prev) AS prev, any_value(recent_hot) AS recent_hot,
+        max(score) AS score, string_agg(j, ',' ORDER BY rank) AS reasons, any_value(j) FILTER (rank = 1) AS main,
+        coalesce(string_agg(j, ',' ORDER BY rank) FILTER (rank > 1), '') AS rest
+      FROM told GROUP BY greenhouse, win_start""",
+}
+PAYLOAD_ROWS = "SELECT greenhouse, win_start, " + _object(
+    ("ok", "'true'", False),
+    ("window", _WINDOW_OBJECT, False),
+    ("prev_window", f"CASE WHEN prev IS NOT NULL THEN {_PREV_OBJECT} END", False),
+    ("reasons", "'[' || reasons || ']'", False),
+    ("primary", "main", False),
+    ("secondary", "'[' || rest || ']'", False),
+    ("confidence", "score", False),
+) + " AS value FROM folded"
+
+PAIR_OBJECT = _object(
+    ("greenhouse", "greenhouse", True),
+    ("win_start", _iso("win_start"), True),
+    ("win_end", _iso("win_end"), True),
+    *[(f"{p}_{n}", f"{p}_{n}", False) for n in m.SHORT.values() for p in ("left", "right", "diff")],
+)
+HEALTH_OBJECT = _object(("windows", "windows", False), ("last", _iso("last"), True), ("alive", "alive", False))
+
+
 AT = f"SELECT * FROM ({_chosen()}) WHERE win_start = (SELECT min(win_start) FROM r WHERE avg_temp > 30)"
 
 ALARMS = {
@@ -392,6 +451,13 @@ ALARMS = {
     "alarm_reasons": alarm_sql(REASON_ROWS, "l", None),
     "alarm_reasons_two_tables": alarm_sql(REASON_ROWS, "c", "r"),
     "alarm_primary": alarm_sql(BRIEF, "l", None),
+    "alarm_payload": q(PAYLOAD_ROWS, **_history("l", None), alarm=_chosen(), **_reasons(), **PAYLOAD),
+    "compare_payload": q(
+        f"""SELECT 'aligned' AS section, {PAIR_OBJECT} AS value, NULL::varchar AS current_gh FROM pairs
+UNION ALL SELECT 'left', {HEALTH_OBJECT}, NULL FROM (SELECT count(DISTINCT win_start) AS windows, max(win_end) AS last, {ALIVE} AS alive FROM l)
+UNION ALL SELECT 'right', {HEALTH_OBJECT}, NULL FROM (SELECT count(DISTINCT win_start) AS windows, max(win_end) AS last, {ALIVE} AS alive FROM r)""",
+        **aligned(label(), label()),
+    ),
     "alarm_at_window": alarm_sql(BRIEF, "c", "r", AT),
     "alarm_latest": alarm_sql(BRIEF, "c", "r", _latest()),
     "alarm_latest_one": alarm_sql(BRIEF, "c", "r", _latest("greenhouse = '大棚三'")),
@@ -567,5 +633,4 @@ STREAMS = {
     ),
 }
 
-# alarm_payload and compare_payload hold JSON whose number text is Spark's own; rows only.
 ORACLE: dict[str, str] = INGEST | WINDOWS | TABLES | COMPARE | ALARMS | REPORTS | QUESTIONS | STREAMS

@@ -337,7 +337,8 @@ def answer_questions(spark, sf):
 
 def _event_stream(spark, sf):
     s = streaming_session(spark)
-    return fr.as_readings(src.parquet_stream(s, sf, fr.EVENTS, glob="events.parquet", max_files=1))
+    # as a pattern: a stream takes a folder or a pattern, and the table may be one file
+    return fr.as_readings(src.parquet_stream(s, f"{sf}/{{events}}.parquet", fr.EVENTS))
 
 
 def _replayed(spark, windows, name, mode="append"):

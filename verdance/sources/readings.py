@@ -49,12 +49,8 @@ def text_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.load(path)
 
 
-def parquet_stream(
-    spark: SparkSession, path: str, schema, glob: str | None = None, max_files: int | None = None
-) -> DataFrame:
+def parquet_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.parquet(path)
