@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from verdance.model import WINDOW_STATS, AlarmSpec
 from verdance.operators import tables
 from verdance.operators.align import align, audit_join
-from verdance.operators.priority import priority_source
+from verdance.operators.priority import keyed_source, priority_source
 from verdance.plans import alarms, compare, reports
 
 T0 = dt.datetime(2024, 1, 1)
@@ -205,6 +205,23 @@ def test_priority_source_j6(spark):
     assert got(priority_source(first, second, hot, "greenhouse_id")) == [("gh_01", 1, 31.0), ("gh_02", 2, 33.0)]
 
 
+def test_keyed_source_j6(spark):
+    single, several = windows(spark, ("gh_01", 1, 31.0)), windows(spark, ("gh_01", 1, 30.0), ("gh_02", 1, 20.0))
+    assert keyed_source(single, several) == (several, True)
+    assert keyed_source(several, single) == (several, True)
+    assert keyed_source(single, single.drop("greenhouse_id")) == (single, False)
+
+
+def test_latest_windows_with_repeats_t2(spark):
+    rng = random.Random(9)
+    rows = [(k, i, float(rng.randint(20, 30))) for i in range(50) for k in (A, B, C) for _ in range(rng.randint(0, 3))]
+    t = named(windows(spark, *rows))
+    whole = tables.dedup_windows(t, "greenhouse").orderBy(F.desc("win_start"), "greenhouse")
+    for n in (1, 7, 40, 1000):
+        got = tables.latest_windows(t, n).orderBy(F.desc("win_start"), "greenhouse")
+        assert got.collect() == whole.limit(n).collect()
+
+
 # ---------------------------------------------------------------- looking back
 
 
@@ -289,6 +306,8 @@ def test_given_window_equals_history(spark):
     for i in (0, 17, 40, 79):
         want = whole.where(F.col("win_start") == at(i)).collect()
         assert sorted(map(str, alarms.alarms_at(l, r, F.lit(at(i))).collect())) == sorted(map(str, want))
+        one = alarms.alarms_at(l, r, F.lit(at(i)), greenhouse=A).collect()
+        assert list(map(str, one)) == [str(w) for w in want if w["greenhouse"] == A]
 
 
 def test_alarm_spec_needs_room():

@@ -14,6 +14,8 @@ from verdance.functions import labels
 from verdance.model import LABELS, AlarmSpec, WindowSpec
 from verdance.operators import windowing
 from verdance.plans.compare import load_windows
+from verdance.session import run_dir
+from verdance.sources.tables import store
 
 HOUR = 3600
 SPEC = WindowSpec(seconds=HOUR, slide_seconds=HOUR, scale=100)
@@ -68,6 +70,12 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windowing.tumbling_avg_max(only, SPEC)
 
 
+def stored(windows: DataFrame, name: str) -> DataFrame:
+    """The window table written below the shared folder, for queries that read it
+    several times."""
+    return store(windows, run_dir(windows.sparkSession, name))
+
+
 def labelled(windows: DataFrame) -> DataFrame:
     return load_windows(windows, True, window_seconds=HOUR)
 

@@ -513,6 +513,9 @@ REPORTS = {
     "gh_rank": q(
         f"SELECT {label()} AS greenhouse, greenhouse_id, {_means()}, max(win_start) AS last_start FROM l GROUP BY greenhouse_id"
     ),
+    "report_source": q(
+        f"SELECT {label()} AS greenhouse, greenhouse_id, {_means()}, max(win_start) AS last_start, true AS real_keys FROM r GROUP BY greenhouse_id"
+    ),
     "gh_rank_synthetic": q(
         f"""SELECT (x.ord)::int AS ord, x.g AS greenhouse, s.mean_temp, s.mean_humidity, s.mean_max_light
 FROM (VALUES {", ".join(f"({i}, '{g}')" for i, g in enumerate(m.LABELS))}) AS x(ord, g)

@@ -12,7 +12,7 @@ from verdance.functions import labels
 from verdance.model import FEED_METRICS, METRICS, SHORT, STATS
 from verdance.operators import tables, windowing
 from verdance.operators.align import align, audit_join
-from verdance.operators.priority import priority_source
+from verdance.operators.priority import keyed_source, priority_source
 from verdance.plans import alarms, compare, questions, reports
 from verdance.sources import readings as src
 from verdance.streaming import sinks
@@ -138,23 +138,23 @@ def engine_align_null_right(spark, sf):
     return align(fr.labelled(fr.left(spark, sf)), fr.unkeyed(fr.right(spark, sf), "gh_01", "gh_02"))
 
 
+def _stored_pair(spark, sf):
+    return fr.stored(fr.left(spark, sf), "left"), fr.stored(fr.right(spark, sf), "right")
+
+
 def engine_align_one(spark, sf):
-    return compare.compare_report(
-        fr.labelled(fr.left(spark, sf)), fr.labelled(fr.right(spark, sf)), greenhouse="大棚二"
-    )
+    l, r = _stored_pair(spark, sf)
+    return compare.compare_report(fr.labelled(l), fr.labelled(r), greenhouse="大棚二")
 
 
 def engine_diff(spark, sf):
-    return compare.engine_diff(
-        fr.labelled(fr.left(spark, sf)),
-        fr.labelled(fr.right(spark, sf)),
-        fr.as_of(spark, sf),
-        alive_seconds=fr.ALIVE_SECONDS,
-    )
+    l, r = _stored_pair(spark, sf)
+    return compare.engine_diff(fr.labelled(l), fr.labelled(r), fr.as_of(spark, sf), alive_seconds=fr.ALIVE_SECONDS)
 
 
 def compare_export(spark, sf):
-    return compare.compare_export(fr.labelled(fr.left(spark, sf)), fr.labelled(fr.right(spark, sf)))
+    l, r = _stored_pair(spark, sf)
+    return compare.compare_export(fr.labelled(l), fr.labelled(r))
 
 
 def audit(spark, sf):
@@ -162,7 +162,7 @@ def audit(spark, sf):
 
 
 def priority(spark, sf):
-    return priority_source(fr.clicks(spark, sf), fr.right(spark, sf), F.col("avg_temp") > 30)
+    return priority_source(fr.stored(fr.clicks(spark, sf), "clicks"), fr.right(spark, sf), F.col("avg_temp") > 30)
 
 
 def priority_by_greenhouse(spark, sf):
@@ -170,6 +170,12 @@ def priority_by_greenhouse(spark, sf):
     return priority_source(first, fr.right(spark, sf), F.col("avg_temp") > 30, "greenhouse_id")
 
 
+def report_source(spark, sf):
+    """Ranking from the first table with several keys, which is the second."""
+    table, real = keyed_source(fr.stored(_unnamed(spark, sf), "one"), fr.stored(fr.right(spark, sf), "right"))
+    return reports.gh_rank(table).withColumn("real_keys", F.lit(real))
+
+
 # ---------------------------------------------------------------- alarms
 
 
@@ -228,14 +234,18 @@ def alarm_primary(spark, sf):
     return _brief(alarms.alarms(h, fr.ALARM))
 
 
+def _stored_clicks(spark, sf):
+    return fr.stored(fr.clicks(spark, sf), "clicks"), fr.stored(fr.right(spark, sf), "right")
+
+
 def alarm_at_window(spark, sf):
-    l, r = fr.clicks(spark, sf), fr.right(spark, sf)
+    l, r = _stored_clicks(spark, sf)
     hot = r.where(F.col("avg_temp") > 30).agg(F.min("win_start")).scalar()
     return _brief(alarms.alarms_at(l, r, hot, fr.ALARM, fr.HOUR))
 
 
 def _latest(spark, sf, greenhouse=None):
-    return alarms.latest_alarm(fr.clicks(spark, sf), fr.right(spark, sf), fr.ALARM, fr.HOUR, greenhouse)
+    return alarms.latest_alarm(*_stored_clicks(spark, sf), fr.ALARM, fr.HOUR, greenhouse)
 
 
 def alarm_latest(spark, sf):
@@ -252,7 +262,7 @@ def alarm_payload(spark, sf):
 
 
 def compare_payload(spark, sf):
-    l, r, now = fr.left(spark, sf), fr.right(spark, sf), fr.as_of(spark, sf)
+    (l, r), now = _stored_pair(spark, sf), fr.as_of(spark, sf)
     pairs = align(fr.labelled(l), fr.labelled(r))
     health = [compare.engine_stats(t, now, fr.ALIVE_SECONDS) for t in (l, r)]
     return compare.compare_payload(pairs, *health)
@@ -325,10 +335,11 @@ def route_questions(spark, sf):
 
 
 def answer_questions(spark, sf):
-    l, r = fr.left(spark, sf), fr.right(spark, sf)
+    l, r = _stored_pair(spark, sf)
     named = fr.labelled(l)
     diff = compare.engine_diff(named, fr.labelled(r), fr.as_of(spark, sf), alive_seconds=fr.ALIVE_SECONDS)
-    newest = alarms.latest_alarm(fr.clicks(spark, sf), r, fr.ALARM, fr.HOUR)
+    clicks = fr.stored(fr.clicks(spark, sf), "clicks")
+    newest = alarms.latest_alarm(clicks, r, fr.ALARM, fr.HOUR)
     return questions.answer(fr.questions(spark, sf), questions.answers(named, diff, newest)).drop("q")
 
 
@@ -416,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "audit_join": audit,
     "priority_source": priority,
     "priority_by_greenhouse": priority_by_greenhouse,
+    "report_source": report_source,
     "previous_window": previous_window,
     "recent_hot_count": recent_hot_count,
     "look_back_two_tables": look_back_two_tables,

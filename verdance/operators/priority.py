@@ -5,21 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verdance.operators.tables import probe_key
+
 
 def priority_source(primary: DataFrame, backup: DataFrame, qualifies: Column, by: str | None = None) -> DataFrame:
     """Qualifying rows of the primary, or of the backup where the primary has none.
 
-    Without ``by`` that is one decision for the whole result, read by a one-row
-    subquery. With ``by`` it is taken per value of that column: backup rows whose
-    value has a qualifying primary row are dropped by an anti-join against the
-    distinct values, which are few where ``by`` names greenhouses; the adaptive
-    planner broadcasts them only when their measured size allows.
+    Without ``by`` that is one decision for the whole result. It is taken at once, by
+    looking for a first qualifying row, so that the table not chosen is never scanned.
+    With ``by`` it is taken per value of that column: backup rows whose value has a
+    qualifying primary row are dropped by an anti-join against the distinct values,
+    which are few where ``by`` names greenhouses; the adaptive planner broadcasts
+    them only when their measured size allows.
     """
-    first, second = primary.where(qualifies), backup.where(qualifies)
+    first = primary.where(qualifies).withColumn("source", F.lit(1))
+    second = backup.where(qualifies).withColumn("source", F.lit(2))
     if by is None:
-        none = first.limit(1).agg((F.count("*") == 0).alias("none")).scalar()
-        second = second.where(none)
-    else:
-        served = first.select(F.col(by).alias("_served")).distinct()
-        second = second.join(served, F.col(by).eqNullSafe(F.col("_served")), "left_anti")
-    return first.withColumn("source", F.lit(1)).unionByName(second.withColumn("source", F.lit(2)))
+        return second if first.isEmpty() else first
+    served = first.select(F.col(by).alias("_served")).distinct()
+    rest = second.join(served, F.col(by).eqNullSafe(F.col("_served")), "left_anti")
+    return first.unionByName(rest)
+
+
+def keyed_source(primary: DataFrame, backup: DataFrame) -> tuple[DataFrame, bool]:
+    """The table reports read, and whether its keys are real: the first of the two that
+    holds several keys (A13), else the primary with labels derived from time."""
+    for table in (primary, backup):
+        if probe_key(table).first()["multi_key"]:
+            return table, True
+    return primary, False

@@ -63,6 +63,18 @@ def latest(windows: DataFrame, n: int | None, key: str = "greenhouse") -> DataFr
     return windows if n is None else windows.orderBy(F.desc("win_start"), F.asc(key)).limit(n)
 
 
+def latest_windows(windows: DataFrame, n: int, key: str = "greenhouse") -> DataFrame:
+    """T2 on distinct windows (A4): the newest n of a table that may repeat them.
+
+    The n newest windows start no earlier than the n-th newest distinct start. That
+    start is found first, from one column, so that only rows from there on are read
+    in full and grouped, instead of the whole table.
+    """
+    starts = windows.select("win_start").distinct().orderBy(F.desc("win_start")).limit(n)
+    oldest = starts.agg(F.min("win_start")).scalar()
+    return latest(dedup_windows(windows.where(F.col("win_start") >= oldest), key), n, key)
+
+
 def duplicate_windows(
     windows: DataFrame, as_of: Column | None = None, minutes: int = 30, newest: int | None = 5
 ) -> DataFrame:

@@ -75,11 +75,20 @@ def _at(
     window_seconds: int,
     greenhouse: str | Column | None,
 ) -> DataFrame:
-    def upto(table: DataFrame) -> DataFrame:
-        t = _named(table.where(F.col("win_start") <= start), window_seconds)
-        return t if greenhouse is None else t.where(F.col("greenhouse") == greenhouse)
-
-    rows = paired(upto(primary), None if backup is None else upto(backup))
+    """Windows that start at one time, with their look-back. Of one greenhouse only the
+    rows from its previous window on are read in full; that start is found first, from
+    the key and start columns."""
+    at, recent = F.col("win_start"), start - F.make_interval(secs=F.lit(spec.lookback_seconds))
+
+    def near(table: DataFrame) -> DataFrame:
+        t = _named(table.where(at <= start), window_seconds)
+        if greenhouse is None:
+            return t
+        t = t.where(F.col("greenhouse") == greenhouse)
+        previous = t.where(at < start).agg(F.max(at)).scalar()
+        return t.where(at >= F.least(previous, recent))
+
+    rows = paired(near(primary), None if backup is None else near(backup))
     return at_window(rows, start, spec, _sides(rows))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from verdance.functions.values import time_text
 from verdance.model import COMPARE_HEADER, SHORT
 from verdance.operators.align import align
-from verdance.operators.tables import dedup_windows, keyed_only, labelled, latest
+from verdance.operators.tables import keyed_only, labelled, latest_windows
 
 ALIVE_SECONDS = 120
 
@@ -19,9 +19,7 @@ def load_windows(
     """A window table in comparison form: rows without a key dropped where keys are
     real, labelled, and cut to the newest distinct windows when asked (T2)."""
     rows = labelled(keyed_only(table, real), real, window_seconds)
-    if newest is None:
-        return rows
-    return latest(dedup_windows(rows, "greenhouse"), newest)
+    return rows if newest is None else latest_windows(rows, newest)
 
 
 def engine_stats(table: DataFrame, as_of: Column, alive_seconds: int = ALIVE_SECONDS) -> DataFrame:
@@ -40,7 +38,7 @@ def compare_report(
 ) -> DataFrame:
     """Newest aligned pairs in ascending time. Inputs are labelled tables."""
     if newest is not None:
-        left, right = (latest(dedup_windows(t, "greenhouse"), newest) for t in (left, right))
+        left, right = (latest_windows(t, newest) for t in (left, right))
     return align(left, right, max_n, greenhouse).orderBy("win_start", "greenhouse")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdance.model import STATS
+from verdance.model import STATS, WINDOW_STATS
 from verdance.operators.tables import with_key_column
 
 COLUMNS = ("greenhouse_id", "win_start", "win_end", *STATS)
@@ -51,3 +51,10 @@ def read_jdbc(spark: SparkSession, **options) -> DataFrame:
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return window_table(spark.read.parquet(path))
+
+
+def store(windows: DataFrame, path: str) -> DataFrame:
+    """Writes a window table and returns it as read back: what several reports, or
+    several steps of one, read is computed once, and their filters reach the files."""
+    window_table(windows).write.parquet(path)
+    return windows.sparkSession.read.schema(WINDOW_STATS).parquet(path)
