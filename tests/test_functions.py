@@ -39,7 +39,7 @@ def test_trimmed_mean_without_values(spark):
 
 
 def test_labels_f1(spark):
-    keys = ["gh_01", "GH_01", " gh_01 ", "1", "gh_02", "3", None, "", " \t", "gh_99", "大棚二", " gh_99 "]
+    keys = ["gh_01", "GH_01", " gh_01 ", "1", "gh_02", "3", None, "", " \t\u3000", "gh_99", "大棚二", " gh_99 "]
     df = spark.createDataFrame(list(enumerate(keys)), "i int, k string")
     got = [r[0] for r in df.orderBy("i").select(labels.normalized(F.col("k"))).collect()]
     one, two, three = LABELS
@@ -117,6 +117,8 @@ QUESTIONS = [
     ("有多少次告警", "alarm_count", None, None),
     ("大棚一和我", "unknown", None, None),
     (" 你好 ", "unknown", None, None),
+    ("\u3000大棚三现在多少度\n", "gh_latest", "大棚三", None),
+    ("大和棚", "unknown", None, None),
 ]
 
 

@@ -67,3 +67,15 @@ def test_window_pairs_are_shuffled_once(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir), run=True)
     fresh = re.findall(r"\+- Exchange hashpartitioning\(greenhouse#\d+, win_start", text)
     assert len(fresh) == 1 and "ReusedExchange" in text
+
+
+def test_each_message_is_parsed_once(spark, sf_dir):
+    from verdance.operators import windowing
+    from verdance.sources import readings as src
+
+    raw = fr.messages(spark, sf_dir).select("value")
+    raw = spark.createDataFrame(raw.limit(5).collect(), "value string")
+    for parsed in (src.parse(raw), src.accepted(src.parse_strict(raw)), src.rejected(src.parse_strict(raw))):
+        assert plan(parsed).count("from_json") == 1
+        if "event_time" in parsed.columns:
+            assert plan(windowing.tumbling_avg_max(parsed)).count("from_json") == 1

@@ -554,7 +554,7 @@ _SECOND = "CASE " + " ".join(f"WHEN {_has(w)} AND g1 <> '{g}' THEN '{g}'" for g,
 
 ASKED = {
     "questions": _TEMPLATES,
-    "q1": f"SELECT q_id, trim(q) AS q, {_FIRST} AS g1 FROM questions WHERE trim(q) <> ''",
+    "q1": f"SELECT q_id, trim(q, '{m.BLANKS}') AS q, {_FIRST} AS g1 FROM questions WHERE trim(q, '{m.BLANKS}') <> ''",
     "q2": f"SELECT *, {_SECOND} AS g2 FROM q1",
     "q3": f"""SELECT *, CASE
   WHEN {_has(m.CAUSE_WORDS)} AND {_has(m.HEAT_WORDS)} THEN 'alarm_reason'

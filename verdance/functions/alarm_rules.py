@@ -41,7 +41,9 @@ def scored_reasons(
     parched = _tiered([(soil < limit, score) for limit, score in m.SOIL_TIERS])
     lasting = F.when(recent_hot >= m.PERSIST_COUNT, F.lit(m.PERSIST_SCORE))
 
-    found = F.array_compact(
+    mixed = F.when(F.coalesce(sun, dry, rising, parched, lasting).isNull(), F.lit(m.FALLBACK_SCORE))
+
+    applying = F.array_compact(
         F.array(
             _reason(
                 1,
@@ -58,8 +60,8 @@ def scored_reasons(
             ),
             _reason(4, parched, F.lit(m.DRY_SOIL), text(m.DRY_SOIL_DETAIL, soil)),
             _reason(5, lasting, F.lit(m.PERSISTENT), text(m.PERSISTENT_DETAIL, recent_hot)),
+            _reason(6, mixed, F.lit(m.MIXED), F.lit(m.MIXED_DETAIL)),
         )
     )
-    mixed = F.array(_reason(6, F.lit(m.FALLBACK_SCORE), F.lit(m.MIXED), F.lit(m.MIXED_DETAIL)))
-    ranked = F.array_sort(F.when(F.size(found) > 0, found).otherwise(mixed))
-    return F.transform(ranked, lambda r: F.struct(*[r[f].alias(f) for f in ("score", "rule", "reason", "detail")]))
+    fields = ("score", "rule", "reason", "detail")
+    return F.transform(F.array_sort(applying), lambda r: F.struct(*[r[f].alias(f) for f in fields]))

@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from verdance.model import KEY_OF_LABEL, LABEL_OF_KEY, LABELS
-
-_BLANKS = " \t\n\r\f\x0b"
-
+from verdance.model import BLANKS, KEY_OF_LABEL, LABEL_OF_KEY, LABELS
 
 def _lookup(key: Column, table: dict[str, str]) -> Column:
     entries = [F.lit(x) for pair in table.items() for x in pair]
@@ -17,7 +14,7 @@ def _lookup(key: Column, table: dict[str, str]) -> Column:
 
 def stripped(key: Column) -> Column:
     """Key without surrounding blanks; null when nothing is left."""
-    return F.nullif(F.trim(key, F.lit(_BLANKS)), F.lit(""))
+    return F.nullif(F.trim(key, F.lit(BLANKS)), F.lit(""))
 
 
 def has_key(key: Column) -> Column:

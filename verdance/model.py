@@ -179,3 +179,6 @@ COMPARE_HEADER = (
 )
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
+# every white-space character of the basic plane
+BLANKS = "".join(chr(i) for i in range(0x10000) if chr(i).isspace())

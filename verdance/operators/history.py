@@ -70,7 +70,7 @@ def look_back(rows: DataFrame, spec: AlarmSpec, sides: Sequence[str] = SIDES) ->
 
     into_next = F.col("_at") >= (F.col("_own") + 1) * F.lit(span) - F.lit(back)
     buckets = F.when(into_next, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))
-    placed = base.withColumn("_bucket", F.explode(buckets)).join(
+    placed = base.withColumn("_bucket", F.explode_outer(buckets)).join(
         carried, F.col("greenhouse").eqNullSafe(F.col("_gh")) & (F.col("_bucket") == F.col("_b")), "left"
     )
 

@@ -78,7 +78,7 @@ def sliding_avg(readings: DataFrame, spec: WindowSpec = WindowSpec()) -> DataFra
     panes = readings.withColumn("pane", pane).groupBy(KEY, "pane").agg(*parts)
     slide = F.make_interval(secs=F.lit(spec.slide_seconds))
     last = F.col("pane") + F.make_interval(secs=F.lit(spec.seconds))
-    ends = F.explode(F.sequence(F.col("pane") + slide, last, slide))
+    ends = F.explode_outer(F.sequence(F.col("pane") + slide, last, slide))  # never empty
     means = [
         _scaled(F.try_divide(F.sum(f"{m}_sum"), F.sum(f"{m}_n")), spec).alias(f)
         for m, f in zip(METRICS, FEED_METRICS)

@@ -132,9 +132,10 @@ def latest_alarm(
 
 
 def reason_rows(attributed: DataFrame) -> DataFrame:
-    """One row per alarm and cause, in rank order (T5)."""
+    """One row per alarm and cause, in rank order (T5). There is always a cause; ``outer``
+    spares the filter for empty arrays, which would score every alarm twice."""
     return attributed.select(
-        "greenhouse", "win_start", "avg_temp", "recent_hot", F.posexplode("reasons").alias("pos", "r")
+        "greenhouse", "win_start", "avg_temp", "recent_hot", F.posexplode_outer("reasons").alias("pos", "r")
     ).select(
         "greenhouse", "win_start", "avg_temp", "recent_hot", (F.col("pos") + 1).alias("rank"), "r.score", "r.rule", "r.reason", "r.detail"
     )

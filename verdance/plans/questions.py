@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from verdance.functions import intents
 from verdance.functions.values import text, time_of_day, time_text
-from verdance.model import LABELS
+from verdance.model import BLANKS, LABELS
 from verdance.plans import reports
 
 NO_DATA = "暂无数据"
@@ -21,15 +21,19 @@ PARAMS = {
 }
 
 
+def _stripped(c: str) -> Column:
+    return F.trim(c, F.lit(BLANKS))
+
+
 def route(questions: DataFrame) -> DataFrame:
     """(q_id, q) to (q_id, q, intent, gh1, gh2). Empty questions are left out, see ``empty``."""
     q = F.col("q")
     found = (
-        questions.select("q_id", F.trim("q").alias("q"))
+        questions.select("q_id", _stripped("q").alias("q"))
         .where(q != "")
-        .withColumn("named", intents.first_greenhouse(q))
+        .withColumns({"lowered": F.lower(q), "named": intents.first_greenhouse(q)})
         .withColumn("second", intents.first_greenhouse(q, F.col("named")))
-        .withColumn("intent", intents.intent(q, F.col("named"), F.col("second")))
+        .withColumn("intent", intents.intent(q, F.col("lowered"), F.col("named"), F.col("second")))
     )
 
     def param(i: int) -> Column:
@@ -43,7 +47,7 @@ def route(questions: DataFrame) -> DataFrame:
 
 def empty(questions: DataFrame) -> DataFrame:
     """Q5: questions without text, which are errors."""
-    return questions.where(F.coalesce(F.trim("q"), F.lit("")) == "")
+    return questions.where(F.coalesce(_stripped("q"), F.lit("")) == "")
 
 
 def _line(intent: str, line: Column, gh1: Column | None = None, gh2: Column | None = None, order=None) -> Column:

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verdance.functions.values import epoch_ms
 from verdance.model import DEFAULT_KEY, FEED, METRICS, READING, READING_TEXT
@@ -60,30 +61,33 @@ def _message() -> Column:
     return F.col("value").cast("string")
 
 
+def _fields(messages: DataFrame, schema: T.StructType, keep: tuple[str, ...]) -> DataFrame:
+    """Each message's fields as columns. Through a generator, since a filter above
+    would be pushed below a plain projection and parse the text once per field."""
+    parsed = F.inline(F.array(F.from_json(_message(), schema)))
+    return messages.select(*keep, parsed)
+
+
 def parse(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Permissive parse; what cannot be read is null. Numbers are
     doubles throughout, single precision would shift the means."""
-    flat = messages.select(*keep, F.from_json(_message(), READING).alias("data")).select(*keep, "data.*")
-    return flat.withColumn(TIME, epoch_ms(F.col("timestamp")))
+    return _fields(messages, READING, keep).withColumn(TIME, epoch_ms(F.col("timestamp")))
 
 
 def parse_strict(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse that judges each message. Adds ``reject``: null for a good reading,
     else what is wrong with it. Numbers may come as text; a missing or empty key
     becomes the default key."""
-    d = messages.select(*keep, _message().alias("value"), F.from_json(_message(), READING_TEXT).alias("d"))
-    number = {m: F.col(f"d.{m}").try_cast("double") for m in METRICS}
-    ms = F.coalesce(
-        F.col("d.timestamp").try_cast("long"), F.col("d.timestamp").try_cast("double").try_cast("long")
-    )
-    fields = [F.col(f"d.{f}") for f in READING_TEXT.fieldNames()]
-    bad = F.when(F.coalesce(*fields).isNull(), F.lit("no reading"))
+    d = _fields(messages, READING_TEXT, (*keep, _message().alias("value")))
+    number = {m: F.col(m).try_cast("double") for m in METRICS}
+    ms = F.coalesce(F.col("timestamp").try_cast("long"), F.col("timestamp").try_cast("double").try_cast("long"))
+    bad = F.when(F.coalesce(*READING_TEXT.fieldNames()).isNull(), F.lit("no reading"))
     for m in METRICS:
         bad = bad.when(number[m].isNull(), F.lit(f"bad {m}"))
     bad = bad.when(ms.isNull(), F.lit("bad timestamp"))
     return d.select(
         *keep,
-        F.coalesce(F.nullif("d.greenhouse_id", F.lit("")), F.lit(DEFAULT_KEY)).alias("greenhouse_id"),
+        F.coalesce(F.nullif("greenhouse_id", F.lit("")), F.lit(DEFAULT_KEY)).alias("greenhouse_id"),
         *[number[m].alias(m) for m in METRICS],
         ms.alias("timestamp"),
         epoch_ms(ms).alias(TIME),
@@ -108,4 +112,4 @@ def on_arrival(readings: DataFrame) -> DataFrame:
 
 def parse_feed(messages: DataFrame) -> DataFrame:
     """Rows of the result feed."""
-    return messages.select(F.from_json(_message(), FEED).alias("data")).select("data.*")
+    return _fields(messages, FEED, ())
