@@ -56,7 +56,9 @@ def test_partial_aggregation_before_each_shuffle(spark, sf_dir, name):
         assert "partial_" in below or "Sort" in below
 
 
-@pytest.mark.parametrize("name", ["tumbling_avg_max", "tumbling_trimmed_mean", "sliding_avg", "alarm_reasons", "gh_rank"])
+@pytest.mark.parametrize(
+    "name", ["tumbling_avg_max", "tumbling_trimmed_mean", "sliding_avg", "alarm_reasons", "alarm_at_window", "alarm_latest", "gh_rank"]
+)
 def test_hash_aggregation(spark, sf_dir, name):
     assert "SortAggregate" not in plan(QUERIES[name](spark, sf_dir))
 

@@ -10,6 +10,7 @@ from verdance.model import FEED_METRICS, READING, WindowSpec
 from verdance.operators import windowing
 from verdance.session import ROCKSDB, shared_dir, streaming_session
 from verdance.sources import readings as src
+from verdance.sources import tables
 from verdance.streaming import jobs, sinks
 
 LATE = [[(1000, 1), (3000, 2)], [(14999, 5)], [(15000, 6)], [(4000, 100)], [(4001, 100), (40000, 0)]]
@@ -108,6 +109,21 @@ def test_resume_from_checkpoint_w9(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, closed.collect()))
 
 
+def test_table_by_day_is_pruned(spark, tmp_path):
+    day = 86_400_000
+    path = stage(f"{tmp_path}/in", [[(1000, 1), (day + 1000, 2)], [(2 * day + 1000, 3), (3 * day, 4)]])
+    w = windowing.tumbling_avg_max(stream(streaming_session(spark), path))
+    sinks.table_writer(w, f"{tmp_path}/out", f"{tmp_path}/chk", "days", every=None, by_day=True).start().awaitTermination()
+    assert sorted(r["avg_temp"] for r in tables.read_parquet(spark, f"{tmp_path}/out").collect()) == [1.0, 2.0, 3.0]
+    later = tables.read_parquet(spark, f"{tmp_path}/out", "1970-01-02 00:00:01")
+    assert [r["avg_temp"] for r in later.where(F.col("avg_temp") < 3).collect()] == []
+    assert [r["avg_temp"] for r in later.collect()] == [3.0]
+    text = later._jdf.queryExecution().executedPlan().toString()
+    assert "day#" in text.split("PartitionFilters: [")[1].split("]")[0]
+    plain = tables.read_parquet(spark, f"{tmp_path}/out", "1970-01-02 00:00:00")
+    assert sorted(r["avg_temp"] for r in plain.collect()) == [2.0, 3.0]
+
+
 def test_retried_batch_leaves_no_repeats_k3(spark, tmp_path):
     write = sinks.BatchFolders(f"{tmp_path}/out")
     df = spark.range(5)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from verdance.model import STATS, WINDOW_STATS
 from verdance.operators.tables import with_key_column
 
+DAY = "day"
 COLUMNS = ("greenhouse_id", "win_start", "win_end", *STATS)
 
 
@@ -49,8 +51,15 @@ def read_jdbc(spark: SparkSession, **options) -> DataFrame:
     return window_table(spark.read.format("jdbc").options(**jdbc_options(**options)).load())
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return window_table(spark.read.parquet(path))
+def read_parquet(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
+    """A stored window table, from ``since`` on: whole days are skipped where the table
+    is kept by day, row groups by the start column."""
+    df = spark.read.parquet(path)
+    if since is not None:
+        start = F.lit(since).cast("timestamp")
+        df = df.where(F.col("win_start") >= start)
+        df = df.where(F.col(DAY) >= F.to_date(start)) if DAY in df.columns else df
+    return window_table(df)
 
 
 def store(windows: DataFrame, path: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from verdance.sources.tables import DAY
+
 
 def as_message(df: DataFrame, key: str | None = None) -> DataFrame:
     """K7: each row as one JSON text in ``value``."""
@@ -43,10 +45,16 @@ def feed_writer(
     return _timed(w, every)
 
 
-def table_writer(windows: DataFrame, path: str, checkpoint: str, name: str, every: int | None = 10) -> DataStreamWriter:
+def table_writer(
+    windows: DataFrame, path: str, checkpoint: str, name: str, every: int | None = 10, by_day: bool = False
+) -> DataStreamWriter:
     """K3 on files: closed windows appended exactly once; the file sink's log and the
-    checkpoint together skip a batch that was already committed (W7, W9, W10)."""
+    checkpoint together skip a batch that was already committed (W7, W9, W10).
+    ``by_day`` keeps each day in its own folder, which ``tables.read_parquet`` prunes by."""
+    if by_day:
+        windows = windows.withColumn(DAY, F.to_date("win_start"))
     w = windows.writeStream.format("parquet").option("path", path).outputMode("append")
+    w = w.partitionBy(DAY) if by_day else w
     return _timed(w.queryName(name).option("checkpointLocation", checkpoint), every)
 
 
