@@ -136,9 +136,7 @@ def reason_rows(attributed: DataFrame) -> DataFrame:
     spares the filter for empty arrays, which would score every alarm twice."""
     return attributed.select(
         "greenhouse", "win_start", "avg_temp", "recent_hot", F.posexplode_outer("reasons").alias("pos", "r")
-    ).select(
-        "greenhouse", "win_start", "avg_temp", "recent_hot", (F.col("pos") + 1).alias("rank"), "r.score", "r.rule", "r.reason", "r.detail"
-    )
+    ).select("greenhouse", "win_start", "avg_temp", "recent_hot", (F.col("pos") + 1).alias("rank"), "r.*")
 
 
 def payload(attributed: DataFrame) -> DataFrame:

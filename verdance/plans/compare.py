@@ -78,7 +78,9 @@ def engine_diff(
     )
 
 
-def compare_payload(pairs: DataFrame, left_stats: DataFrame, right_stats: DataFrame, greenhouse: str | None = None) -> DataFrame:
+def compare_payload(
+    pairs: DataFrame, left_stats: DataFrame, right_stats: DataFrame, greenhouse: str | None = None
+) -> DataFrame:
     """Comparison as one JSON object per aligned pair, health rows first. Rows
     stay separate so that a long report is written in parallel."""
 

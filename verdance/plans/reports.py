@@ -99,7 +99,8 @@ def gh_rank_synthetic(
             _mean("max_light", digits).alias("mean_max_light"),
         )
     )
-    return _label_rows(windows).join(per_label, "greenhouse", "left").select("ord", "greenhouse", "mean_temp", "mean_humidity", "mean_max_light").orderBy("ord")
+    shown = _label_rows(windows).join(per_label, "greenhouse", "left")
+    return shown.select("ord", "greenhouse", "mean_temp", "mean_humidity", "mean_max_light").orderBy("ord")
 
 
 def gh_latest(windows: DataFrame, greenhouse: str | None = None) -> DataFrame:

@@ -11,7 +11,9 @@ from verdance.sources.readings import on_arrival
 from verdance.streaming import sinks
 
 
-def event_time_job(readings: DataFrame, write, checkpoint: str, spec: WindowSpec = WindowSpec(), every: int | None = 10) -> DataStreamWriter:
+def event_time_job(
+    readings: DataFrame, write, checkpoint: str, spec: WindowSpec = WindowSpec(), every: int | None = 10
+) -> DataStreamWriter:
     """Trimmed means per event-time window, each window once, after the watermark
     passed its end; later readings are dropped."""
     return sinks.batch_writer(w.tumbling_trimmed_mean(readings, spec), write, checkpoint, "event_time", every=every)
@@ -33,6 +35,8 @@ def arrival_time_jobs(
     return table, feed(w.as_feed(windows), f"{checkpoint}/feed", feed_every)
 
 
-def sliding_job(readings: DataFrame, feed, checkpoint: str, spec: WindowSpec = WindowSpec(), every: int | None = None) -> DataStreamWriter:
+def sliding_job(
+    readings: DataFrame, feed, checkpoint: str, spec: WindowSpec = WindowSpec(), every: int | None = None
+) -> DataStreamWriter:
     """Sliding means in update mode; the watermark bounds the state."""
     return feed(w.sliding_avg(readings, spec), checkpoint, every)
