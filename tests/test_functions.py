@@ -33,6 +33,24 @@ def test_trimmed_mean_properties(spark):
         assert vs[0] <= m <= vs[-1]
 
 
+@pytest.mark.parametrize("outlier", [1e14, 1e17, -1e17, 1e300, float("inf"), float("-inf")])
+def test_trimmed_mean_trims_an_outlier_without_trace(spark, outlier):
+    df = spark.createDataFrame([(v,) for v in (24.13, 25.37, 26.0, outlier)], "v double")
+    expected = 25.685 if outlier > 0 else 24.75
+    assert df.agg(trimmed_mean(F.col("v"))).first()[0] == expected
+
+
+def test_trimmed_mean_of_outliers(spark):
+    def mean(*values):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(trimmed_mean(F.col("v"))).first()[0]
+
+    inf = float("inf")
+    assert mean(-1e300, 1.25, 2.5, 1e300) == 1.875
+    assert mean(1e300) == 1e300 and mean(1.0, inf) == inf
+    assert mean(1.0, 2.0, 1e17, 1e17) == pytest.approx(5e16)
+    assert mean(1e17, 1e17, 1e17) == 1e17
+
+
 def test_trimmed_mean_without_values(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert df.agg(trimmed_mean(F.col("v"))).first()[0] is None
@@ -125,10 +143,13 @@ QUESTIONS = [
 def test_routing_q1_to_q3(spark):
     df = spark.createDataFrame([(i, q[0]) for i, q in enumerate(QUESTIONS)] + [(99, "  "), (98, None)], "q_id long, q string")
     got = {r["q_id"]: r for r in questions.route(df).collect()}
-    assert len(got) == len(QUESTIONS)
+    assert len(got) == len(QUESTIONS) + 2
     for i, (q, intent, gh1, gh2) in enumerate(QUESTIONS):
         assert (got[i]["q"], got[i]["intent"], got[i]["gh1"], got[i]["gh2"]) == (q.strip(), intent, gh1, gh2)
     assert sorted(r["q_id"] for r in questions.empty(df).collect()) == [98, 99]
+    told = {r["q_id"]: r for r in questions.records(df).collect()}
+    assert {i for i, r in told.items() if r["error"]} == {98, 99}
+    assert told[7]["answer_key"] == "gh_compare|大棚一|大棚二" and told[11]["answer_key"] is None
 
 
 def test_answers_without_data(spark):

@@ -7,8 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+from verdance.catalog.oracle import ORACLE
+from verdance.catalog.queries import QUERIES
 
 
 @pytest.fixture(scope="module")

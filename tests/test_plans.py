@@ -4,10 +4,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
 from verdance.catalog import frames as fr
+from verdance.catalog.queries import QUERIES
 
-QUERIES = entry_points.queries()
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream_"))
 
 
@@ -49,6 +48,44 @@ def test_filters_reach_the_scan_of_a_stored_table(spark, sf_dir, tmp_path):
     assert "LessThanOrEqual(win_start" in text
 
 
+def test_stored_tables_have_statistics_that_prune(spark, sf_dir, tmp_path):
+    """Each file covers a range of starts of its own, so a filter on time skips files."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from verdance.sources import tables
+
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    tables.store(fr.left(spark, sf_dir), f"{tmp_path}/t")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    spans = []
+    for path in glob.glob(f"{tmp_path}/t/*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        for g in range(meta.num_row_groups):
+            column = next(c for c in map(meta.row_group(g).column, range(meta.num_columns)) if c.path_in_schema == "win_start")
+            spans.append((column.statistics.min, column.statistics.max))
+    spans.sort()
+    assert len(spans) > 1
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+STORING = {"engine_align_one", "engine_diff", "compare_export", "compare_payload", "answers", "answer_questions"}
+STORING |= {"alarm_at_window", "alarm_latest", "alarm_latest_one"}
+
+
+@pytest.mark.parametrize("name", [n for n in BATCH if n not in STORING])
+def test_building_starts_no_job(spark, sf_dir, name):
+    """Only queries that store a shared window table work while they are built."""
+    tracker = spark.sparkContext.statusTracker()
+    group = f"building {name}"
+    spark.sparkContext.setJobGroup(group, group)
+    QUERIES[name](spark, sf_dir)
+    assert list(tracker.getJobIdsForGroup(group)) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 @pytest.mark.parametrize("name", ["tumbling_avg_max", "tumbling_trimmed_mean", "dedup_windows", "engine_align"])
 def test_partial_aggregation_before_each_shuffle(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))

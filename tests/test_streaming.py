@@ -218,6 +218,36 @@ def test_any_end_stops_all_w12(spark, tmp_path):
     assert s.streams.active == []
 
 
+def test_any_end_watches_its_own_queries_w12(spark, tmp_path):
+    """A second call in the session, the caller's own session, and a healthy pair that times out."""
+    path = stage(f"{tmp_path}/in", many_batches(1))
+    s = streaming_session(spark)
+    w = windowing.tumbling_avg_max(stream(s, path))
+
+    def writer(name, every):
+        return sinks.table_writer(w, f"{tmp_path}/{name}", f"{tmp_path}/c{name}", name, every=every)
+
+    assert sinks.run_until_any_ends(s, writer("a", None), timeout=120) is True
+    assert sinks.run_until_any_ends(s, writer("b", 1), writer("c", 1), timeout=3) is False
+    assert sinks.run_until_any_ends(spark, writer("d", None), writer("e", 1), timeout=120) is True
+    assert s.streams.active == []
+
+
+def test_any_end_raises_the_failure_w12(spark, tmp_path):
+    path = stage(f"{tmp_path}/in", many_batches(1))
+    s = streaming_session(spark)
+    w = windowing.tumbling_avg_max(stream(s, path))
+
+    def broken(batch, batch_id):
+        raise RuntimeError("sink is gone")
+
+    bad = sinks.batch_writer(w, broken, f"{tmp_path}/cx", "bad", every=None)
+    good = sinks.table_writer(w, f"{tmp_path}/y", f"{tmp_path}/cy", "good", every=1)
+    with pytest.raises(Exception, match="sink is gone"):
+        sinks.run_until_any_ends(s, bad, good, timeout=120)
+    assert s.streams.active == []
+
+
 def test_streaming_session_w11(spark):
     s = streaming_session(spark)
     assert s.conf.get("spark.sql.streaming.stateStore.providerClass") == ROCKSDB

@@ -207,9 +207,15 @@ def test_priority_source_j6(spark):
 
 def test_keyed_source_j6(spark):
     single, several = windows(spark, ("gh_01", 1, 31.0)), windows(spark, ("gh_01", 1, 30.0), ("gh_02", 1, 20.0))
-    assert keyed_source(single, several) == (several, True)
-    assert keyed_source(several, single) == (several, True)
-    assert keyed_source(single, single.drop("greenhouse_id")) == (single, False)
+
+    def got(primary, backup):
+        table, real = keyed_source(primary, backup)
+        keys = table.withColumn("real", real).select("greenhouse_id", "real").collect()
+        return sorted(map(tuple, keys), key=repr)
+
+    keys = sorted(((r["greenhouse_id"], True) for r in several.collect()), key=repr)
+    assert got(single, several) == got(several, single) == keys
+    assert got(single, single.drop("greenhouse_id")) == [(r["greenhouse_id"], False) for r in single.collect()]
 
 
 def test_latest_windows_with_repeats_t2(spark):

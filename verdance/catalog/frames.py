@@ -19,6 +19,7 @@ from verdance.sources.tables import store
 
 HOUR = 3600
 SPEC = WindowSpec(seconds=HOUR, slide_seconds=HOUR, scale=100)
+DOUBLES = WindowSpec(seconds=HOUR, slide_seconds=HOUR)
 SLIDING = WindowSpec(seconds=2 * HOUR, slide_seconds=HOUR, scale=100)
 ALARM = AlarmSpec(lookback_seconds=12 * HOUR, bucket_seconds=96 * HOUR)
 ALIVE_SECONDS = 24 * HOUR
@@ -63,11 +64,28 @@ def right(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windowing.tumbling_trimmed_mean(readings(spark, sf_dir), SPEC)
 
 
-def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plain means of an engine that only receives click readings: it lacks windows
-    that ``right``, which sees every reading, has."""
-    only = readings(spark, sf_dir).where(F.col("event_type") == "click")
-    return windowing.tumbling_avg_max(only, SPEC)
+def gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain means of an engine that was down every fourth hour: it read everything, but
+    lacks windows that ``right`` has."""
+    return left(spark, sf_dir).where(F.hour("win_start") % 4 != 1)
+
+
+def cool(windows: DataFrame, *keys: str) -> DataFrame:
+    """Window table in which some greenhouses are twenty degrees colder, none without keys
+    named but all."""
+    colder = F.lit(True) if not keys else F.col("greenhouse_id").isin(*keys)
+    return windows.withColumn("avg_temp", F.when(colder, F.col("avg_temp") - 20).otherwise(F.col("avg_temp")))
+
+
+def outlier_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings in degrees and percent as JSON messages; a temperature now and then is a
+    large number or not finite."""
+    i, temp = F.col("event_id"), F.col("air_temp") / 100.0
+    kind = F.when(i % 331 == 7, (i / 331).cast("long") % 3)
+    spiked = F.when(kind == 0, F.lit(1e17)).when(kind == 1, F.lit(1e300)).when(kind == 2, F.lit(float("inf"))).otherwise(temp)
+    rest = [(F.col(m) / 100.0).alias(m) for m in ("air_humidity", "soil_humidity", "light")]
+    body = F.struct("greenhouse_id", spiked.alias("air_temp"), *rest, F.unix_millis("event_time").alias("timestamp"))
+    return readings(spark, sf_dir).select("event_id", F.to_json(body).alias("value"))
 
 
 def stored(windows: DataFrame, name: str) -> DataFrame:

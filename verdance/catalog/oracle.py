@@ -70,7 +70,7 @@ BASE = {
     "readings": READINGS,
     "l": _plain(),
     "r": _trimmed(),
-    "c": _plain(where="event_type = 'click'"),
+    "c": "SELECT * FROM l WHERE date_part('hour', win_start) % 4 <> 1",
     "one": _plain(key="'gh_01'"),
     "rep": """SELECT greenhouse_id, win_start, win_end, avg_temp + i AS avg_temp, avg_humidity,
                      avg_soil_humidity, max_light
@@ -113,6 +113,23 @@ FROM readings, unnest(['readings_a', 'readings_b']) AS t(topic)"""),
 
 _FEED = "greenhouse_id, win_end AS ts, avg_temp AS air_temp_avg, avg_humidity AS air_humidity_avg, avg_soil_humidity AS soil_humidity_avg, max_light AS light_avg"
 
+# readings in degrees and percent; each window is sorted and its ends are cut off
+DOUBLES = """
+SELECT greenhouse_id, date_trunc('millisecond', event_time) AS event_time, CASE WHEN event_id % 331 <> 7 THEN air_temp / 100.0
+    ELSE [1e17, 1e300, 'inf'::double][(event_id // 331) % 3 + 1] END::double AS air_temp,
+  air_humidity / 100.0 AS air_humidity, soil_humidity / 100.0 AS soil_humidity, light / 100.0 AS light FROM readings"""
+
+
+def _small(x: str) -> str:
+    """Rounded where the value has room for it."""
+    return f"CASE WHEN abs({x}) < 1e15 THEN {rnd(f'CASE WHEN abs({x}) < 1e15 THEN {x} END', 4)} ELSE {x} END"
+
+
+SORTED = ", ".join(
+    f"CASE WHEN count({a}) > 2 THEN list_sum(list_slice(list_sort(list({a})), 2, count({a}) - 1)) / (count({a}) - 2) ELSE avg({a}) END AS {m.STAT_OF[a]}"
+    for a in m.METRICS[:3]
+)
+
 SLIDING = q(
     "SELECT greenhouse_id, s + INTERVAL 2 HOUR AS ts, "
     + ", ".join(f"sum({a})::double / count({a}) / 100 AS {f}" for a, f in zip(m.METRICS, m.FEED_METRICS))
@@ -123,6 +140,19 @@ SLIDING = q(
 WINDOWS = {
     "tumbling_avg_max": q("SELECT * FROM l"),
     "tumbling_trimmed_mean": q("SELECT * FROM r"),
+    "trimmed_mean_doubles": q(
+        "SELECT greenhouse_id, win_start, win_end, " + ", ".join(f"{_small(s)} AS {s}" for s in m.STATS) + " FROM sorted",
+        doubles=DOUBLES,
+        sorted=f"SELECT {_WINDOW}, {SORTED}, max(light) AS max_light FROM doubles GROUP BY ALL",
+    ),
+    "tumbling_avg_doubles": q(
+        f"""SELECT {_WINDOW}, {", ".join(f"{rnd(f'avg({a})', 4)} AS {m.STAT_OF[a]}" for a in m.METRICS[:3])},
+       {rnd("max(light)", 4)} AS max_light FROM doubles WHERE abs(air_temp) < 1e15 GROUP BY ALL""",
+        doubles=DOUBLES,
+    ),
+    "rejected_outliers": q(
+        "SELECT 'air_temp out of range' AS reject, count(*) AS n FROM doubles WHERE NOT abs(air_temp) < 1e15 GROUP BY 1", doubles=DOUBLES
+    ),
     "sliding_avg": SLIDING,
     "feed": q(f"SELECT {_FEED} FROM l"),
     "json_payload": q(
@@ -203,18 +233,6 @@ SELECT {_pair("ra.g", "ra", "rb")} FROM ra JOIN rb USING (win_start, rn) WHERE r
     }
 
 
-def newest_pairs(newest: int, max_n: int) -> dict[str, str]:
-    cut = {
-        "l2": f"SELECT * FROM l ORDER BY win_start DESC, {label()} LIMIT {newest}",
-        "r2": f"SELECT * FROM r ORDER BY win_start DESC, {label()} LIMIT {newest}",
-        "a": _side("l2", label()),
-        "b": _side("r2", label()),
-    }
-    cut["pairs"] = f"""SELECT {_pair("a.g")} FROM a JOIN b ON a.win_start = b.win_start AND a.g = b.g
-      ORDER BY a.win_start DESC, a.g LIMIT {max_n}"""
-    return cut
-
-
 SOME_KEYS = LABEL_CASE.format(k="nullif(nullif(greenhouse_id, 'gh_01'), 'gh_02')")
 ALIVE = "epoch_us((SELECT t FROM now)) - epoch_us(max(win_end)) < 24::bigint * 3600 * 1000000"
 
@@ -232,23 +250,23 @@ COMPARE = {
     "engine_stats": q(
         " UNION ALL ".join(
             f"SELECT '{name}' AS engine, count(DISTINCT win_start) AS windows, max(win_end) AS last, {ALIVE} AS alive FROM {t}"
-            for name, t in (("left", "l"), ("clicks", "c"))
+            for name, t in (("left", "l"), ("right", "r"))
         )
     ),
     "engine_align": q("SELECT * FROM pairs", **aligned(label(), label())),
     "engine_align_null_left": q("SELECT * FROM pairs", **aligned(SOME_KEYS, label())),
     "engine_align_null_right": q("SELECT * FROM pairs", **aligned(label(), SOME_KEYS)),
-    "engine_align_one": q("SELECT * FROM pairs WHERE greenhouse = '大棚二'", **newest_pairs(150, 36)),
+    "engine_align_one": q("SELECT * FROM pairs WHERE greenhouse = '大棚二'", **aligned(label(), label())),
     "engine_diff": q(
         f"""SELECT lw AS left_windows, la AS left_alive, rw AS right_windows, ra AS right_alive,
        (SELECT count(*) FROM pairs) AS pairs, (SELECT {rnd("avg(diff_temp)", 4)} FROM pairs) AS avg_diff_temp
 FROM (SELECT count(DISTINCT win_start) AS lw, {ALIVE} AS la FROM l),
      (SELECT count(DISTINCT win_start) AS rw, {ALIVE} AS ra FROM r)""",
-        **newest_pairs(100, 100),
+        **aligned(label(), label()),
     ),
     "compare_export": q(
         "SELECT " + ", ".join(f'{c} AS "{h}"' for c, h in zip(EXPORT_PAIR, m.COMPARE_HEADER)) + " FROM pairs",
-        **newest_pairs(2000, 2000),
+        **aligned(label(), label()),
     ),
     "audit_join": q(
         f"""SELECT win_start, NULL::varchar AS left_key, b.greenhouse_id AS right_key, {_AUDIT}, 1::bigint AS n_pairs
@@ -258,6 +276,8 @@ FROM (SELECT * FROM rep WHERE greenhouse_id = 'gh_01') a JOIN (SELECT * FROM r W
 SELECT *, 1 AS source FROM c WHERE avg_temp > 30
 UNION ALL
 SELECT *, 2 AS source FROM r WHERE avg_temp > 30 AND NOT EXISTS (SELECT 1 FROM c WHERE avg_temp > 30)"""),
+    # twenty degrees colder, the third greenhouse (or every one) is never hot in the primary
+    "priority_backup": q("SELECT *, 2 AS source FROM r WHERE avg_temp > 30"),
     "priority_by_greenhouse": q("""
 SELECT *, 1 AS source FROM l WHERE avg_temp > 30 AND greenhouse_id <> 'gh_03'
 UNION ALL
@@ -486,7 +506,7 @@ def _versus(rows: str, name: str) -> str:
        CASE WHEN {rnd("temp_1 - temp_2", 4)} > 0 THEN '高' ELSE '低' END AS verdict FROM (SELECT {cols} FROM {rows})"""
 
 
-def _exported(rows: str, name: str) -> str:
+def _exported(rows: str, name: str, newest: str = "") -> str:
     cols = [
         f"coalesce({name}, '')",
         "strftime(win_start, '%Y-%m-%d %H:%M:%S')",
@@ -496,7 +516,7 @@ def _exported(rows: str, name: str) -> str:
     return (
         "SELECT "
         + ", ".join(f'{c} AS "{h}"' for c, h in zip(cols, m.EXPORT_HEADER))
-        + f" FROM {rows} ORDER BY {rows}.win_start DESC, greenhouse_id LIMIT 2000"
+        + f" FROM {rows} ORDER BY {rows}.win_start DESC, greenhouse_id {newest}"
     )
 
 
@@ -521,12 +541,13 @@ REPORTS = {
 FROM (VALUES {", ".join(f"({i}, '{g}')" for i, g in enumerate(m.LABELS))}) AS x(ord, g)
 LEFT JOIN (SELECT {synth('win_start')} AS greenhouse, {_means()} FROM
   (SELECT win_start, avg(avg_temp) AS avg_temp, avg(avg_humidity) AS avg_humidity, avg(max_light) AS max_light
-   FROM l GROUP BY win_start ORDER BY win_start DESC LIMIT 60) GROUP BY 1) s ON s.greenhouse = x.g"""
+   FROM l GROUP BY win_start) GROUP BY 1) s ON s.greenhouse = x.g"""
     ),
     "gh_latest": q(_LATEST.format(name=label(), rows="l")),
     "gh_latest_synthetic": q(_LATEST.format(name=synth("win_start"), rows="one")),
     "gh_compare": q(_versus("l", label())),
-    "gh_compare_synthetic": q(_versus("(SELECT * FROM one ORDER BY win_start DESC LIMIT 120)", synth("win_start"))),
+    "gh_compare_synthetic": q(_versus("one", synth("win_start"))),
+    "newest_windows": q(_exported("r", label(), "LIMIT 100")),
     "window_export": q(_exported("r", label())),
     "window_export_synthetic": q(_exported("one", synth("win_start"))),
 }
@@ -554,9 +575,11 @@ _SECOND = "CASE " + " ".join(f"WHEN {_has(w)} AND g1 <> '{g}' THEN '{g}'" for g,
 
 ASKED = {
     "questions": _TEMPLATES,
-    "q1": f"SELECT q_id, trim(q, '{m.BLANKS}') AS q, {_FIRST} AS g1 FROM questions WHERE trim(q, '{m.BLANKS}') <> ''",
+    "q0": f"SELECT q_id, coalesce(trim(q, '{m.BLANKS}'), '') AS q FROM questions",
+    "q1": f"SELECT q_id, q, {_FIRST} AS g1 FROM q0",
     "q2": f"SELECT *, {_SECOND} AS g2 FROM q1",
     "q3": f"""SELECT *, CASE
+  WHEN q = '' THEN 'empty'
   WHEN {_has(m.CAUSE_WORDS)} AND {_has(m.HEAT_WORDS)} THEN 'alarm_reason'
   WHEN {_has(m.ENGINE_WORDS).replace("(q,", "(lower(q),")} AND {_has(m.DIFFERENCE_WORDS).replace("(q,", "(lower(q),")} THEN 'engine_diff'
   WHEN {_has(m.ALARM_WORDS)} THEN CASE WHEN {_has(m.TOP_WORDS)} THEN 'alarm_top' ELSE 'alarm_count' END
@@ -594,7 +617,7 @@ UNION ALL SELECT 'engine_diff', NULL, NULL, 0, 'Spark: ' || lw || ' 窗口 · '
   FROM (SELECT count(DISTINCT win_start) AS lw, CASE WHEN {ALIVE} THEN '运行中' ELSE '离线' END AS la FROM l),
        (SELECT count(DISTINCT win_start) AS rw, CASE WHEN {ALIVE} THEN '运行中' ELSE '离线' END AS ra FROM r)
 UNION ALL SELECT 'alarm_reason', NULL, NULL, 0, string_agg(CASE WHEN rank = 1 THEN greenhouse || ' 主因：' || reason || '（置信度 ' || score || '%）；' || detail
-  ELSE '次要：' || reason || '（' || score || '%）' END, '；' ORDER BY rank) FROM ranked WHERE rank <= 3"""
+  ELSE '次要：' || reason || '（' || score || '%）' END, '；' ORDER BY rank) FROM ranked"""
 
 
 def _asked(body: str, **more: str) -> str:
@@ -602,24 +625,47 @@ def _asked(body: str, **more: str) -> str:
 
 
 # the comparison's side tables are renamed, the alarm history uses the same short names
-_NEWEST = {
-    ("pairs" if k == "pairs" else f"e_{k}"): v.replace("FROM l2", "FROM e_l2")
-    .replace("FROM r2", "FROM e_r2")
-    .replace("FROM a JOIN b", "FROM e_a a JOIN e_b b")
-    for k, v in newest_pairs(100, 100).items()
+_RENAMED = (
+    ("FROM a JOIN b", "FROM e_a a JOIN e_b b"),
+    ("FROM ra JOIN rb", "FROM e_ra ra JOIN e_rb rb"),
+    *((f"FROM {t} {x}", f"FROM e_{t} {x}") for t in "ab" for x in "xy"),
+)
+
+
+def _renamed(sql: str) -> str:
+    for old, new in _RENAMED:
+        sql = sql.replace(old, new)
+    return sql
+
+
+_PAIRS = {("pairs" if k == "pairs" else f"e_{k}"): _renamed(v) for k, v in aligned(label(), label()).items()}
+
+ANSWERS = _PAIRS | _history("c", "r") | _reasons() | {
+    "alarm": _latest(),
+    "per": f"SELECT greenhouse_id AS k, {_G} AS g, {rnd('avg(avg_temp)', 4)} AS t FROM l GROUP BY ALL",
+    "lines": LINES,
 }
+_ORDER = ("e_a", "e_b", "e_ra", "e_rb", "pairs", "p", "b", "sided", "seen", "h", "alarm", "hits", "scored", "ranked", "per", "lines")
+ANSWERS = {k: ANSWERS[k] for k in _ORDER}
+
+RECORDS = """SELECT *, CASE WHEN intent NOT IN ('unknown', 'empty') THEN concat_ws('|', intent, gh1, gh2) END AS answer_key,
+       CASE WHEN intent = 'empty' THEN 'empty question' END AS error FROM routed"""
+
+
+def _escaped(c: str) -> str:
+    return f"substr(to_json({c})::varchar, 2, length(to_json({c})::varchar) - 2)"
+
+
+_RECORD = _object(*[(c, _escaped(c), True) for c in ("q_id", "q", "intent", "gh1", "gh2", "answer_key", "error")])
 
 QUESTIONS = {
     "route_questions": _asked("SELECT * FROM routed"),
+    "question_records": _asked(f"SELECT *, {_RECORD} AS record FROM records", records=RECORDS),
+    "answers": q("SELECT * FROM lines", **ANSWERS),
     "answer_questions": _asked(
         """SELECT routed.q_id, routed.intent, routed.gh1, routed.gh2, lines.sort_value, lines.line FROM routed LEFT JOIN lines
 ON routed.intent = lines.intent AND routed.gh1 IS NOT DISTINCT FROM lines.gh1 AND routed.gh2 IS NOT DISTINCT FROM lines.gh2""",
-        **_NEWEST,
-        **_history("c", "r"),
-        alarm=_latest(),
-        **_reasons(),
-        per=f"SELECT greenhouse_id AS k, {_G} AS g, {rnd('avg(avg_temp)', 4)} AS t FROM l GROUP BY ALL",
-        lines=LINES,
+        **ANSWERS,
     ),
 }
 

@@ -20,6 +20,9 @@ from verdance.session import run_dir, streaming_session
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Rows of the report on the newest windows.
+NEWEST = 100
+
 # ---------------------------------------------------------------- ingest
 
 
@@ -52,6 +55,22 @@ def tumbling_trimmed_mean(spark, sf):
     return fr.right(spark, sf)
 
 
+def trimmed_mean_doubles(spark, sf):
+    """Doubles as the permissive parse yields them, with outliers."""
+    return windowing.tumbling_trimmed_mean(src.parse(fr.outlier_messages(spark, sf)), fr.DOUBLES)
+
+
+def tumbling_avg_doubles(spark, sf):
+    """Means of what the strict parse accepts, which refuses the outliers."""
+    w = windowing.tumbling_avg_max(src.accepted(src.parse_strict(fr.outlier_messages(spark, sf))), fr.DOUBLES)
+    return w.withColumns({s: F.round(s, 4) for s in STATS})
+
+
+def rejected_outliers(spark, sf):
+    bad = src.rejected(src.parse_strict(fr.outlier_messages(spark, sf)))
+    return bad.groupBy("reject").agg(F.count("*").alias("n"))
+
+
 def sliding_avg(spark, sf):
     return windowing.sliding_avg(fr.readings(spark, sf), fr.SLIDING)
 
@@ -72,7 +91,7 @@ def dedup_windows(spark, sf):
 
 
 def duplicate_windows(spark, sf):
-    return tables.duplicate_windows(fr.repeated(fr.left(spark, sf)), fr.as_of(spark, sf), fr.AUDIT_MINUTES, None)
+    return tables.duplicate_windows(fr.repeated(fr.left(spark, sf)), fr.as_of(spark, sf), fr.AUDIT_MINUTES)
 
 
 def key_counts(spark, sf):
@@ -123,7 +142,7 @@ def engine_stats(spark, sf):
     def one(name, table):
         return compare.engine_stats(table, now, fr.ALIVE_SECONDS).select(F.lit(name).alias("engine"), "*")
 
-    return one("left", fr.left(spark, sf)).unionByName(one("clicks", fr.clicks(spark, sf)))
+    return one("left", fr.left(spark, sf)).unionByName(one("right", fr.right(spark, sf)))
 
 
 def engine_align(spark, sf):
@@ -158,29 +177,33 @@ def compare_export(spark, sf):
 
 
 def audit(spark, sf):
-    return audit_join(fr.unkeyed(fr.repeated(fr.left(spark, sf)), "gh_01"), fr.right(spark, sf), newest=None)
+    return audit_join(fr.unkeyed(fr.repeated(fr.left(spark, sf)), "gh_01"), fr.right(spark, sf))
 
 
 def priority(spark, sf):
-    return priority_source(fr.stored(fr.clicks(spark, sf), "clicks"), fr.right(spark, sf), F.col("avg_temp") > 30)
+    return priority_source(fr.gappy(spark, sf), fr.right(spark, sf), F.col("avg_temp") > 30)
+
+
+def priority_backup(spark, sf):
+    """The primary has no hot window, so the backup's count."""
+    return priority_source(fr.cool(fr.left(spark, sf)), fr.right(spark, sf), F.col("avg_temp") > 30)
 
 
 def priority_by_greenhouse(spark, sf):
-    first = fr.left(spark, sf).where(F.col("greenhouse_id") != "gh_03")
-    return priority_source(first, fr.right(spark, sf), F.col("avg_temp") > 30, "greenhouse_id")
+    return priority_source(fr.cool(fr.left(spark, sf), "gh_03"), fr.right(spark, sf), F.col("avg_temp") > 30, "greenhouse_id")
 
 
 def report_source(spark, sf):
     """Ranking from the first table with several keys, which is the second."""
-    table, real = keyed_source(fr.stored(_unnamed(spark, sf), "one"), fr.stored(fr.right(spark, sf), "right"))
-    return reports.gh_rank(table).withColumn("real_keys", F.lit(real))
+    table, real = keyed_source(_unnamed(spark, sf), fr.right(spark, sf))
+    return reports.gh_rank(table).withColumn("real_keys", real)
 
 
 # ---------------------------------------------------------------- alarms
 
 
 def _history(spark, sf):
-    return alarms.history(fr.clicks(spark, sf), fr.right(spark, sf), fr.ALARM, fr.HOUR)
+    return alarms.history(fr.gappy(spark, sf), fr.right(spark, sf), fr.ALARM, fr.HOUR)
 
 
 def previous_window(spark, sf):
@@ -234,18 +257,18 @@ def alarm_primary(spark, sf):
     return _brief(alarms.alarms(h, fr.ALARM))
 
 
-def _stored_clicks(spark, sf):
-    return fr.stored(fr.clicks(spark, sf), "clicks"), fr.stored(fr.right(spark, sf), "right")
+def _stored_gappy(spark, sf):
+    return fr.stored(fr.gappy(spark, sf), "gappy"), fr.stored(fr.right(spark, sf), "right")
 
 
 def alarm_at_window(spark, sf):
-    l, r = _stored_clicks(spark, sf)
+    l, r = _stored_gappy(spark, sf)
     hot = r.where(F.col("avg_temp") > 30).agg(F.min("win_start")).scalar()
     return _brief(alarms.alarms_at(l, r, hot, fr.ALARM, fr.HOUR))
 
 
 def _latest(spark, sf, greenhouse=None):
-    return alarms.latest_alarm(*_stored_clicks(spark, sf), fr.ALARM, fr.HOUR, greenhouse)
+    return alarms.latest_alarm(*_stored_gappy(spark, sf), fr.ALARM, fr.HOUR, greenhouse)
 
 
 def alarm_latest(spark, sf):
@@ -314,7 +337,12 @@ def gh_compare(spark, sf):
 
 def gh_compare_synthetic(spark, sf):
     w = tables.labelled(_unnamed(spark, sf), False, fr.HOUR)
-    return reports.gh_compare(w, "大棚一", "大棚二", last_n=120)
+    return reports.gh_compare(w, "大棚一", "大棚二")
+
+
+def newest_windows(spark, sf):
+    """The newest windows, as many as the caller asks for."""
+    return reports.window_export(fr.right(spark, sf), newest=NEWEST, window_seconds=fr.HOUR)
 
 
 def window_export(spark, sf):
@@ -334,13 +362,25 @@ def route_questions(spark, sf):
     return questions.route(fr.questions(spark, sf))
 
 
-def answer_questions(spark, sf):
+def question_records(spark, sf):
+    return questions.records(fr.questions(spark, sf))
+
+
+def _answers(spark, sf):
     l, r = _stored_pair(spark, sf)
     named = fr.labelled(l)
     diff = compare.engine_diff(named, fr.labelled(r), fr.as_of(spark, sf), alive_seconds=fr.ALIVE_SECONDS)
-    clicks = fr.stored(fr.clicks(spark, sf), "clicks")
-    newest = alarms.latest_alarm(clicks, r, fr.ALARM, fr.HOUR)
-    return questions.answer(fr.questions(spark, sf), questions.answers(named, diff, newest)).drop("q")
+    gappy = fr.stored(fr.gappy(spark, sf), "gappy")
+    newest = alarms.latest_alarm(gappy, r, fr.ALARM, fr.HOUR)
+    return questions.answers(named, diff, newest)
+
+
+def answers(spark, sf):
+    return _answers(spark, sf)
+
+
+def answer_questions(spark, sf):
+    return questions.answer(fr.questions(spark, sf), _answers(spark, sf)).drop("q")
 
 
 # ---------------------------------------------------------------- streams
@@ -407,6 +447,9 @@ QUERIES: dict[str, Query] = {
     "topic_fanout": topic_fanout,
     "tumbling_avg_max": tumbling_avg_max,
     "tumbling_trimmed_mean": tumbling_trimmed_mean,
+    "trimmed_mean_doubles": trimmed_mean_doubles,
+    "tumbling_avg_doubles": tumbling_avg_doubles,
+    "rejected_outliers": rejected_outliers,
     "sliding_avg": sliding_avg,
     "feed": feed,
     "json_payload": json_payload,
@@ -426,6 +469,7 @@ QUERIES: dict[str, Query] = {
     "compare_export": compare_export,
     "audit_join": audit,
     "priority_source": priority,
+    "priority_backup": priority_backup,
     "priority_by_greenhouse": priority_by_greenhouse,
     "report_source": report_source,
     "previous_window": previous_window,
@@ -448,9 +492,12 @@ QUERIES: dict[str, Query] = {
     "gh_latest_synthetic": gh_latest_synthetic,
     "gh_compare": gh_compare,
     "gh_compare_synthetic": gh_compare_synthetic,
+    "newest_windows": newest_windows,
     "window_export": window_export,
     "window_export_synthetic": window_export_synthetic,
     "route_questions": route_questions,
+    "question_records": question_records,
+    "answers": answers,
     "answer_questions": answer_questions,
     "stream_tumbling_avg_max": stream_tumbling_avg_max,
     "stream_tumbling_trimmed": stream_tumbling_trimmed,

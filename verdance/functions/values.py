@@ -8,14 +8,38 @@ from pyspark.sql import functions as F
 from verdance.model import TIME_FORMAT
 
 
-def trimmed_mean(c: Column) -> Column:
+#: Doubles from here on cannot share an exact sum with readings of six decimals.
+HUGE = 1e15
+
+
+def trimmed_mean(c: Column, integral: bool = False) -> Column:
     """A3: mean without one smallest and one largest value; plain mean up to two values.
 
-    Four constant-size aggregates, so it combines on the map side and in stream
-    state; no window's readings are ever gathered.
+    A handful of constant-size aggregates, so it combines on the map side and in stream
+    state; no window's readings are ever gathered. Doubles are added up as decimals of
+    six places, since a sum of doubles would lose the small values next to a large one
+    that is then trimmed. Values that are not finite or reach HUGE are counted instead:
+    trimmed, they leave no trace; beyond that the result is theirs, as a double.
     """
-    n, total = F.count(c), F.sum(c)
-    return F.when(n > 2, F.try_divide(total - F.min(c) - F.max(c), n - 2)).otherwise(F.try_divide(total, n))
+    n = F.count(c)
+    if integral:
+        total = F.sum(c)
+        return F.when(n > 2, F.try_divide(total - F.min(c) - F.max(c), n - 2)).otherwise(F.try_divide(total, n))
+
+    def exact(x: Column) -> Column:
+        return F.when(F.abs(x) < HUGE, x.cast("decimal(21,6)"))
+
+    low, high = F.min(c), F.max(c)
+    total = F.coalesce(F.sum(exact(c)), F.lit(0).cast("decimal(38,6)"))
+    huge = F.count_if(~(F.abs(c) < HUGE))
+    none = F.lit(0).cast("decimal(21,6)")
+    rest = total - F.coalesce(exact(low), none) - F.coalesce(exact(high), none)
+    trimmed = F.coalesce(F.abs(low) >= HUGE, F.lit(False)).cast("int") + F.coalesce(F.abs(high) >= HUGE, F.lit(False)).cast("int")
+    plain = F.when(huge == 0, F.try_divide(total.cast("double"), n)).otherwise(F.avg(c))
+    cut = F.when(huge == trimmed, F.try_divide(rest.cast("double"), n - 2)).otherwise(
+        F.try_divide(F.sum(c) - low - high, n - 2)
+    )
+    return F.when(n > 2, cut).when(n > 0, plain)
 
 
 def abs_diff(a: Column, b: Column, digits: int | None = 2) -> Column:

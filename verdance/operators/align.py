@@ -128,7 +128,7 @@ def audit_join(
     right: DataFrame,
     left_key: str | None = None,
     right_key: str | None = "gh_01",
-    newest: int | None = 10,
+    newest: int | None = None,
 ) -> DataFrame:
     """Rows of both tables with the same start, each side held to one key value
     (null counts as a value, L10), at full precision.

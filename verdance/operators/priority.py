@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdance.operators.tables import probe_key
+from verdance.operators.tables import multi_key, with_key_column
 
 
 def priority_source(primary: DataFrame, backup: DataFrame, qualifies: Column, by: str | None = None) -> DataFrame:
     """Qualifying rows of the primary, or of the backup where the primary has none.
 
-    Without ``by`` that is one decision for the whole result. It is taken at once, by
-    looking for a first qualifying row, so that the table not chosen is never scanned.
+    Without ``by`` that is one decision for the whole result: whether the primary has a
+    qualifying row is an aggregate inside the query, so building it starts no job.
     With ``by`` it is taken per value of that column: backup rows whose value has a
     qualifying primary row are dropped by an anti-join against the distinct values,
     which are few where ``by`` names greenhouses; the adaptive planner broadcasts
@@ -21,16 +21,17 @@ def priority_source(primary: DataFrame, backup: DataFrame, qualifies: Column, by
     first = primary.where(qualifies).withColumn("source", F.lit(1))
     second = backup.where(qualifies).withColumn("source", F.lit(2))
     if by is None:
-        return second if first.isEmpty() else first
+        none = first.agg((F.count("*") == 0).alias("none")).scalar()
+        return first.unionByName(second.where(none))
     served = first.select(F.col(by).alias("_served")).distinct()
     rest = second.join(served, F.col(by).eqNullSafe(F.col("_served")), "left_anti")
     return first.unionByName(rest)
 
 
-def keyed_source(primary: DataFrame, backup: DataFrame) -> tuple[DataFrame, bool]:
-    """The table reports read, and whether its keys are real: the first of the two that
-    holds several keys (A13), else the primary with labels derived from time."""
-    for table in (primary, backup):
-        if probe_key(table).first()["multi_key"]:
-            return table, True
-    return primary, False
+def keyed_source(primary: DataFrame, backup: DataFrame) -> tuple[DataFrame, Column]:
+    """The rows reports read, and whether their keys are real: those of the first of the
+    two tables that holds several keys (A13), else of the primary with labels derived
+    from time. Both answers are scalars inside the query; building it starts no job."""
+    first, second = multi_key(primary), multi_key(backup)
+    chosen = with_key_column(primary).where(first | ~second)
+    return chosen.unionByName(with_key_column(backup).where(~first & second)), first | second

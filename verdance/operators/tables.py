@@ -76,7 +76,7 @@ def latest_windows(windows: DataFrame, n: int, key: str = "greenhouse") -> DataF
 
 
 def duplicate_windows(
-    windows: DataFrame, as_of: Column | None = None, minutes: int = 30, newest: int | None = 5
+    windows: DataFrame, as_of: Column | None = None, minutes: int = 30, newest: int | None = None
 ) -> DataFrame:
     """Windows stored more than once since ``as_of`` less ``minutes`` (L8),
     with the spread of their values."""
@@ -96,8 +96,8 @@ def duplicate_windows(
     return latest(found, newest, KEY)
 
 
-def key_counts(windows: DataFrame, top: int | None = 10) -> DataFrame:
-    """Rows per key value, null included, most frequent first."""
+def key_counts(windows: DataFrame, top: int | None = None) -> DataFrame:
+    """Rows per key value, null included; the most frequent only if asked for."""
     counts = with_key_column(windows).groupBy(KEY).agg(F.count("*").alias("n"))
     return counts if top is None else counts.orderBy(F.desc("n"), F.asc(KEY)).limit(top)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verdance.functions.values import trimmed_mean
 from verdance.model import FEED_METRICS, METRICS, STAT_OF, STATS, WindowSpec
@@ -52,7 +53,8 @@ def tumbling_trimmed_mean(
     readings: DataFrame, spec: WindowSpec = WindowSpec(), digits: int = 4
 ) -> DataFrame:
     """A3: trimmed mean of three metrics and maximum light, rounded."""
-    aggs = [F.round(_scaled(trimmed_mean(F.col(m)), spec), digits).alias(STAT_OF[m]) for m in METRICS[:3]]
+    whole = {f.name: isinstance(f.dataType, T.IntegralType) for f in readings.schema}
+    aggs = [F.round(_scaled(trimmed_mean(F.col(m), whole[m]), spec), digits).alias(STAT_OF[m]) for m in METRICS[:3]]
     aggs.append(F.round(_scaled(F.max("light"), spec).cast("double"), digits).alias(STAT_OF["light"]))
     return _per_window(readings, spec, aggs)
 

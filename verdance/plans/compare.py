@@ -34,15 +34,15 @@ def engine_stats(table: DataFrame, as_of: Column, alive_seconds: int = ALIVE_SEC
 
 
 def compare_report(
-    left: DataFrame, right: DataFrame, newest: int | None = 150, max_n: int | None = 36, greenhouse: str | None = None
+    left: DataFrame, right: DataFrame, newest: int | None = None, max_n: int | None = None, greenhouse: str | None = None
 ) -> DataFrame:
-    """Newest aligned pairs in ascending time. Inputs are labelled tables."""
+    """Aligned pairs in ascending time, the newest only if asked for. Inputs are labelled tables."""
     if newest is not None:
         left, right = (latest_windows(t, newest) for t in (left, right))
     return align(left, right, max_n, greenhouse).orderBy("win_start", "greenhouse")
 
 
-def compare_export(left: DataFrame, right: DataFrame, newest: int | None = 2000) -> DataFrame:
+def compare_export(left: DataFrame, right: DataFrame, newest: int | None = None) -> DataFrame:
     """K6: the comparison as a report table, times as text, localized header."""
     pairs = compare_report(left, right, newest, newest)
     cols = [F.coalesce("greenhouse", F.lit("")), time_text(F.col("win_start")), time_text(F.col("win_end"))]
@@ -55,12 +55,13 @@ def engine_diff(
     left: DataFrame,
     right: DataFrame,
     as_of: Column,
-    newest: int | None = 100,
+    newest: int | None = None,
     digits: int = 4,
     alive_seconds: int = ALIVE_SECONDS,
 ) -> DataFrame:
     """Number of aligned pairs, mean temperature difference, health of both sides."""
-    pairs = compare_report(left, right, newest, newest).agg(
+    aligned = align(left, right) if newest is None else compare_report(left, right, newest, newest)
+    pairs = aligned.agg(
         F.count("*").alias("pairs"), F.round(F.avg("diff_temp"), digits).alias("avg_diff_temp")
     )
     health = [
@@ -82,7 +83,10 @@ def compare_payload(
     pairs: DataFrame, left_stats: DataFrame, right_stats: DataFrame, greenhouse: str | None = None
 ) -> DataFrame:
     """Comparison as one JSON object per aligned pair, health rows first. Rows
-    stay separate so that a long report is written in parallel."""
+    stay separate so that a long report is written in parallel. ``greenhouse`` keeps its
+    pairs only."""
+    if greenhouse is not None:
+        pairs = pairs.where(F.col("greenhouse") == greenhouse)
 
     def line(df: DataFrame, kind: str) -> DataFrame:
         return df.select(

@@ -26,14 +26,17 @@ def _stripped(c: str) -> Column:
 
 
 def route(questions: DataFrame) -> DataFrame:
-    """(q_id, q) to (q_id, q, intent, gh1, gh2). Empty questions are left out, see ``empty``."""
+    """(q_id, q) to (q_id, q, intent, gh1, gh2). A question without text is of the intent
+    ``empty`` (Q5)."""
     q = F.col("q")
     found = (
-        questions.select("q_id", _stripped("q").alias("q"))
-        .where(q != "")
+        questions.select("q_id", F.coalesce(_stripped("q"), F.lit("")).alias("q"))
         .withColumns({"lowered": F.lower(q), "named": intents.first_greenhouse(q)})
         .withColumn("second", intents.first_greenhouse(q, F.col("named")))
-        .withColumn("intent", intents.intent(q, F.col("lowered"), F.col("named"), F.col("second")))
+        .withColumn(
+            "intent",
+            F.when(q == "", "empty").otherwise(intents.intent(q, F.col("lowered"), F.col("named"), F.col("second"))),
+        )
     )
 
     def param(i: int) -> Column:
@@ -45,6 +48,17 @@ def route(questions: DataFrame) -> DataFrame:
     return found.select("q_id", "q", "intent", param(0).alias("gh1"), param(1).alias("gh2"))
 
 
+def records(questions: DataFrame) -> DataFrame:
+    """Q5: one record per question, whatever the number of greenhouses: its intent, its
+    parameters and the key under which ``answers`` holds its lines; a question without
+    text is an error. ``record`` is the same as JSON."""
+    routed = route(questions)
+    key = F.when(~F.col("intent").isin("unknown", "empty"), F.concat_ws("|", "intent", "gh1", "gh2"))
+    error = F.when(F.col("intent") == "empty", F.lit("empty question"))
+    named = routed.select("q_id", "q", "intent", "gh1", "gh2", key.alias("answer_key"), error.alias("error"))
+    return named.withColumn("record", F.to_json(F.struct("q_id", "q", "intent", "gh1", "gh2", "answer_key", "error")))
+
+
 def empty(questions: DataFrame) -> DataFrame:
     """Q5: questions without text, which are errors."""
     return questions.where(F.coalesce(_stripped("q"), F.lit("")) == "")
@@ -138,7 +152,7 @@ def _latest_lines(keyed: DataFrame) -> DataFrame:
             F.round("max_light", 0),
         ),
     )
-    newest = reports.gh_latest(keyed.where(who.isin(*LABELS)))
+    newest = reports.gh_latest(keyed)
     return _rows(newest, _line("gh_latest", told, who))
 
 
@@ -174,7 +188,7 @@ def answers(
         )
     if alarm is not None:
         others = F.transform(
-            F.slice("secondary", 1, 2), lambda r: F.format_string("次要：%s（%d%%）", r["reason"], r["score"])
+            F.col("secondary"), lambda r: F.format_string("次要：%s（%d%%）", r["reason"], r["score"])
         )
         main = F.format_string(
             "%s 主因：%s（置信度 %d%%）", F.col("greenhouse"), F.col("primary.reason"), F.col("confidence")
@@ -197,7 +211,7 @@ def answer(questions: DataFrame, answer_rows: DataFrame) -> DataFrame:
         & routed["gh1"].eqNullSafe(answer_rows["gh1"])
         & routed["gh2"].eqNullSafe(answer_rows["gh2"])
     )
-    line = F.coalesce(F.col("line"), F.when(routed["intent"] != "unknown", NO_DATA)).alias("line")
+    line = F.coalesce(F.col("line"), F.when(~routed["intent"].isin("unknown", "empty"), NO_DATA)).alias("line")
     return routed.join(answer_rows, same, "left").select(
         routed["q_id"], routed["q"], routed["intent"], routed["gh1"], routed["gh2"], "sort_value", line
     )

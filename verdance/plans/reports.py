@@ -82,9 +82,9 @@ def _label_rows(df: DataFrame) -> DataFrame:
 
 
 def gh_rank_synthetic(
-    windows: DataFrame, last_n: int | None = 60, window_seconds: int = 5, digits: int = 4
+    windows: DataFrame, last_n: int | None = None, window_seconds: int = 5, digits: int = 4
 ) -> DataFrame:
-    """A10: mean environment per synthetic label over the newest window starts: mean
+    """A10: mean environment per synthetic label over all window starts, or the newest: mean
     per start, then mean of those. Every label shows, with nulls if it has no data."""
     means = ("avg_temp", "avg_humidity", "max_light")
     starts = windows.groupBy("win_start").agg(*[F.avg(m).alias(m) for m in means])
@@ -146,13 +146,14 @@ def gh_compare(windows: DataFrame, first: str, second: str, last_n: int | None =
 
 
 def window_export(
-    windows: DataFrame, real: bool | Column = True, newest: int | None = 2000, window_seconds: int = 5
+    windows: DataFrame, real: bool | Column = True, newest: int | None = None, window_seconds: int = 5
 ) -> DataFrame:
-    """K5: newest windows as a report table: label, times as text, two decimals."""
+    """K5: windows as a report table, newest first, all or the newest n: label, times as
+    text, two decimals. Without n the rows are range-sorted, in no single task."""
     rows = with_key_column(windows)
-    if newest is not None:
-        # the values break ties between repeats, so the cut is the same on every run
-        rows = rows.orderBy(F.desc("win_start"), "greenhouse_id", *STATS).limit(newest)
+    # the values break ties between repeats, so a cut is the same on every run
+    rows = rows.orderBy(F.desc("win_start"), "greenhouse_id", *STATS)
+    rows = rows if newest is None else rows.limit(newest)
     named = labelled(rows, real, window_seconds)
     cols = [
         F.coalesce("greenhouse", F.lit("")),

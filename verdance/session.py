@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -9,6 +11,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+MICROS = "spark.sql.parquet.outputTimestampType"
+_made: list[str] = []
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "verdance") -> SparkSession:
@@ -22,6 +26,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config(MICROS, "TIMESTAMP_MICROS")  # the default format carries no statistics
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call site per column
         .getOrCreate()
     )
@@ -41,8 +46,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one, never used before."""
-    return f"{shared_dir(spark)}/verdance/{name}-{uuid.uuid4().hex}"
+    """A new folder below the shared one, never used before; see ``remove_run_dirs``."""
+    path = f"{shared_dir(spark)}/verdance/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def remove_run_dirs(spark: SparkSession) -> None:
+    """Deletes the folders that ``run_dir`` named so far. Runs when the driver ends; a
+    long-lived one calls it once nothing reads them any more."""
+    while _made:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@atexit.register
+def _remove_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        with contextlib.suppress(Exception):
+            remove_run_dirs(spark)
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:
@@ -53,8 +76,10 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     is left as it was. Valid for queries with one stateful operator.
     """
     s = spark.newSession()
-    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-        s.conf.set(key, spark.conf.get(key))
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            s.conf.set(key, value)
+    s.conf.set(MICROS, "TIMESTAMP_MICROS")
     s.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     s.conf.set("spark.sql.streaming.statefulOperator.allowMultiple", "false")
     return s

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verdance.functions.values import epoch_ms
+from verdance.functions.values import HUGE, epoch_ms
 from verdance.model import DEFAULT_KEY, FEED, METRICS, READING, READING_TEXT
 
 TIME = "event_time"
@@ -76,14 +76,15 @@ def parse(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def parse_strict(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse that judges each message. Adds ``reject``: null for a good reading,
-    else what is wrong with it. Numbers may come as text; a missing or empty key
-    becomes the default key."""
+    else what is wrong with it. Numbers may come as text, but must be finite and below
+    HUGE; a missing or empty key becomes the default key."""
     d = _fields(messages, READING_TEXT, (*keep, _message().alias("value")))
     number = {m: F.col(m).try_cast("double") for m in METRICS}
     ms = F.coalesce(F.col("timestamp").try_cast("long"), F.col("timestamp").try_cast("double").try_cast("long"))
     bad = F.when(F.coalesce(*READING_TEXT.fieldNames()).isNull(), F.lit("no reading"))
     for m in METRICS:
         bad = bad.when(number[m].isNull(), F.lit(f"bad {m}"))
+        bad = bad.when(~(F.abs(number[m]) < HUGE), F.lit(f"{m} out of range"))
     bad = bad.when(ms.isNull(), F.lit("bad timestamp"))
     return d.select(
         *keep,

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdance.model import STATS, WINDOW_STATS
-from verdance.operators.tables import with_key_column
+from verdance.operators.tables import KEY, with_key_column
+from verdance.session import MICROS
 
 DAY = "day"
 COLUMNS = ("greenhouse_id", "win_start", "win_end", *STATS)
@@ -64,6 +65,15 @@ def read_parquet(spark: SparkSession, path: str, since: str | None = None) -> Da
 
 def store(windows: DataFrame, path: str) -> DataFrame:
     """Writes a window table and returns it as read back: what several reports, or
-    several steps of one, read is computed once, and their filters reach the files."""
-    window_table(windows).write.parquet(path)
+    several steps of one, read is computed once, and their filters reach the files. Rows
+    are range-sorted by start and starts are written as microseconds, which Parquet keeps
+    statistics for: a filter on time skips files and row groups."""
+    spark = windows.sparkSession
+    before = spark.conf.get(MICROS)
+    spark.conf.set(MICROS, "TIMESTAMP_MICROS")
+    try:
+        ordered = window_table(windows).repartitionByRange("win_start").sortWithinPartitions("win_start", KEY)
+        ordered.write.parquet(path)
+    finally:
+        spark.conf.set(MICROS, before)
     return windows.sparkSession.read.schema(WINDOW_STATS).parquet(path)

@@ -6,6 +6,7 @@ a sink end the query, which resumes from its checkpoint (N8).
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from verdance.sources.tables import DAY
 
+#: How often to look whether a query has ended.
+POLL_SECONDS = 0.2
+
 
 def as_message(df: DataFrame, key: str | None = None) -> DataFrame:
     """K7: each row as one JSON text in ``value``."""
@@ -109,10 +113,20 @@ def start_all(*writers: DataStreamWriter) -> list[StreamingQuery]:
 
 
 def run_until_any_ends(spark: SparkSession, *writers: DataStreamWriter, timeout: int | None = None) -> bool | None:
-    """Start all, wait for the first to end, then stop the others."""
+    """Start all, wait for the first to end, then stop the others. True if one has
+    ended before the timeout; the failure of one that ended by itself is raised. Watches
+    the queries it started, whatever session they run in and whatever ended earlier."""
     queries = start_all(*writers)
+    until = None if timeout is None else time.monotonic() + timeout
+    ended: list[StreamingQuery] = []
     try:
-        return spark.streams.awaitAnyTermination(timeout)
+        while not ended and (until is None or time.monotonic() < until):
+            time.sleep(POLL_SECONDS)
+            ended = [q for q in queries if not q.isActive]
     finally:
         for q in queries:
             q.stop()
+    for q in ended:
+        if q.exception() is not None:
+            raise q.exception()
+    return bool(ended)
