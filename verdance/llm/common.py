@@ -6,9 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +82,14 @@ def _forget_all() -> None:
             _delete(spark, path)
 
 
+def fresh(taken: list[str], name: str) -> str:
+    """A column name like ``name`` that is not taken."""
+    used = {x.lower() for x in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def row_id() -> Column:
     """A number for each row of one scan. Only for rows that are stored before the number
     is read twice."""
@@ -93,22 +99,3 @@ def row_id() -> Column:
 def remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n. Null where the id is null."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n))
-
-
-def batches(out: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for columns in out:
-        yield pa.RecordBatch.from_pydict(columns, schema=schema)
-
-
-def in_pieces(rows: list, weight, most: int) -> Iterator[list]:
-    """Cuts rows into runs whose weights add up to ``most`` or that hold a single row."""
-    run, total = [], 0
-    for row in rows:
-        w = weight(row)
-        if run and total + w > most:
-            yield run
-            run, total = [], 0
-        run.append(row)
-        total += w
-    if run:
-        yield run

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdance.llm.common import forget, stored
+from verdance.llm.common import forget, fresh, stored
 
 SIZE = 5
 #: Percent of an item's shingles.
@@ -133,7 +133,8 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that leak no item."""
-    bad = leaks(docs, items).select(F.col("doc_id").alias("_bad"), F.col("text_hash").alias("_hash")).distinct()
+    bad_id, bad_hash = fresh(docs.columns, "_bad_id"), fresh(docs.columns, "_bad_hash")
+    bad = leaks(docs, items).select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
     bad = stored(bad, "bad")
-    same = docs["doc_id"].eqNullSafe(F.col("_bad")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col(bad_id)) & (F.xxhash64("text") == F.col(bad_hash))
     return docs.join(bad, same, "left_anti")

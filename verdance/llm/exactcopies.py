@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdance.llm.common import BLANKS, forget, row_id, stored
+from verdance.llm.common import BLANKS, forget, fresh, row_id, stored
 
 #: Characters of a block.
 BLOCK = 4096
@@ -127,11 +127,13 @@ def drop_exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     ids = identities(docs, block=block)
     groups = _groups(ids, "doc_id")
     mark = lambda key, digest: F.concat_ws(":", F.coalesce(key.cast("string"), F.lit("-")), digest)
+    name, number = fresh(docs.columns, "_mark"), fresh(docs.columns, "_number")
     stays = stored(
-        ids.join(groups, ["n_blocks", "name"]).where("rid = keep_rid").select(mark(F.col("doc_id"), F.col("text_sha256")).alias("_mark")),
+        ids.join(groups, ["n_blocks", "name"]).where("rid = keep_rid").select(mark(F.col("doc_id"), F.col("text_sha256")).alias(name)),
         "stays",
     )
     forget(ids, groups)
-    marked = docs.withColumn("_mark", mark(F.col("doc_id"), F.sha2(normalised(F.col("text")), 256)))
-    one = F.row_number().over(Window.partitionBy("_mark").orderBy("_mark"))
-    return marked.join(stays, "_mark", "left_semi").withColumn("_one", one).where("_one = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = docs.withColumn(name, mark(F.col("doc_id"), F.sha2(normalised(F.col("text")), 256)))
+    one = F.row_number().over(Window.partitionBy(name).orderBy(name))
+    kept = marked.join(stays, name, "left_semi").withColumn(number, one).where(F.col(number) == 1)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from verdance.llm.common import forget, remainder, small_batches, stored
+from verdance.llm.common import forget, fresh, remainder, small_batches, stored
 
 DIMENSIONS, NONZERO, REACH = 64, 6, 2
 #: Bound of the labelled sample, of the words with context vectors, of shapes.
@@ -277,9 +277,9 @@ def _scored(batches: Iterator[pa.RecordBatch], shared, schema: pa.Schema) -> Ite
     rows, vectors, net = shared.value
     pool = Pooler(rows, vectors)
     for batch in batches:
-        texts = batch.column("_text").to_pylist()
+        texts = batch.column(0).to_pylist()
         x = np.array([pool(t) for t in texts], np.float64).reshape(len(texts), -1)
-        kept = [batch.column(c) for c in schema.names[:-1]]
+        kept = batch.columns[1:]
         yield pa.RecordBatch.from_arrays([*kept, pa.array(probability(x, net), pa.float64())], schema=schema)
 
 
@@ -291,7 +291,7 @@ def score(docs: DataFrame, model, columns: list[str], text: str = "text", name:
     named = [F.col(f"`{c}`") for c in columns]
     schema = to_arrow_schema(docs.select(*named).schema).append(pa.field(name, pa.float64()))
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*named).schema) + f"`{name}` double"
-    return docs.select(*named, F.col(f"`{text}`").alias("_text")).mapInArrow(lambda it: _scored(it, shared, schema), kinds)
+    return docs.select(F.col(f"`{text}`").alias(fresh(columns, "_text")), *named).mapInArrow(lambda it: _scored(it, shared, schema), kinds)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -303,5 +303,6 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are predicted as good."""
-    scored = score(docs, fit(docs, labels), docs.columns, name="_score")
-    return scored.where(F.col("_score") >= CUT).select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = fresh(docs.columns, "_score")
+    scored = score(docs, fit(docs, labels), docs.columns, name=name)
+    return scored.where(F.col(name) >= CUT).select(*[F.col(f"`{c}`") for c in docs.columns])
