@@ -29,6 +29,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return done
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node is tied to one smaller node at most, and that one to none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    per = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return per.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """(node, comp) for every node of ``pairs`` (two columns of longs): comp is the smallest
     node that can be reached. Stored. Loops, repeated and reversed pairs do no harm."""
@@ -37,12 +46,7 @@ def components(pairs: DataFrame) -> DataFrame:
         pairs.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges"
     )
     loops = pairs.where(F.col(a) == F.col(b)).select(F.col(a).alias("node"))
-    seen = None
-    while True:
-        mark = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            break
-        seen = mark
+    while not _all_stars(edges):
         wide = _star(edges, True)
         narrow = _star(wide, False)
         forget(edges, wide)

@@ -9,11 +9,15 @@ agree by accident; a pair that may reach the threshold is then settled on the fu
 No bucket is turned into all its pairs:
 
 - texts with the same set form one class from the start, only its first row goes on;
-- each class is first compared with a single other one, the smallest that it shares a bucket
-  with, which ties most of a large group together;
+- each class is first compared with a single other one: of the first members of its buckets the
+  one that looks most alike, which ties most of a large group together;
 - after that a bucket is only looked at where it holds several components: each member is
-  compared with one member of each other component. This repeats with other members until a
-  round finds no link any more;
+  compared with one member of each other component. Where two components have several members
+  there, this repeats with other members until a round finds no link any more; elsewhere all
+  has been compared;
+- who looks alike is told from 128 bits, one per register, that travel with the bucket keys: of
+  two texts at the threshold 13 differ, and 31 or more in one of two million cases. A pair that
+  differs in more never leaves the join that would make it;
 - a bucket that still holds more than CROWDED components (texts that share a passage, but are
   no copies) is split by asking for a second equal band. A pair at the threshold that shares
   one band shares no other in 5 of a million cases.
@@ -34,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -47,6 +51,8 @@ MANTISSA = 10
 #: How far below the threshold an estimate may lie: five standard deviations at 0.8.
 MARGIN = 0.16
 CROWDED = 64
+#: Registers that give a bit each, and the bits that may differ: mean and five deviations at 0.8.
+BITS, DIFFERING = 128, 30
 #: Words whose hashes a task remembers.
 MEMO = 300_000
 
@@ -112,6 +118,16 @@ def bands(signatures: np.ndarray) -> np.ndarray:
     return acc.view(np.int64)
 
 
+def bits(signature: np.ndarray) -> tuple[int, int]:
+    """One bit of each of the first BITS registers, as two longs."""
+    mixed = _mixed(signature[:BITS].astype(np.uint64) + _C.reshape(-1)[:BITS])
+    return tuple(np.packbits((mixed & np.uint64(1)).astype(np.uint8)).view(np.int64).tolist())
+
+
+def _differing(a: str, b: str) -> Column:
+    return F.bit_count(F.col(f"{a}1").bitwiseXOR(F.col(f"{b}1"))) + F.bit_count(F.col(f"{a}2").bitwiseXOR(F.col(f"{b}2")))
+
+
 def accidental(n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
     """Chance that a register agrees although the smallest values differ, for two set sizes.
     Within the values with l leading zeros a cell is 2 ** -(l + 1 + MANTISSA) wide."""
@@ -133,16 +149,19 @@ def estimate(s1: np.ndarray, s2: np.ndarray, n1: np.ndarray, n2: np.ndarray) ->
 def _sign(batches: Iterator[pa.RecordBatch], size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     sets = Shingles(size)
     for batch in batches:
-        n, digests, signatures = [], [], []
+        n, digests, signatures, first, second = [], [], [], [], []
         for text in batch.column("_text").to_pylist():
             s = sets(text)
             n.append(len(s))
             digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-            signatures.append(registers(s).tobytes() if len(s) else None)
-        kept = {name: batch.column(name) for name in schema.names[:-3]}
-        yield pa.RecordBatch.from_arrays(
-            [*kept.values(), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())], schema=schema
-        )
+            signature = registers(s) if len(s) else None
+            signatures.append(None if signature is None else signature.tobytes())
+            one, two = (None, None) if signature is None else bits(signature)
+            first.append(one)
+            second.append(two)
+        made = [pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())]
+        made += [pa.array(first, pa.int64()), pa.array(second, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema=schema)
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,10 +197,10 @@ class NearCopies:
         named = [F.col(f"`{c}`").alias(f"c_{c}") for c in (columns if columns is not None else docs.columns)]
         src = docs.select(row_id().alias("_rid"), F.col(f"`{text}`").alias("_text"), *named)
         arrow = to_arrow_schema(src.schema)
-        for name, kind in (("_n", pa.int64()), ("_digest", pa.binary()), ("_sig", pa.binary())):
+        for name, kind in (("_n", pa.int64()), ("_digest", pa.binary()), ("_sig", pa.binary()), ("_b1", pa.int64()), ("_b2", pa.int64())):
             arrow = arrow.append(pa.field(name, kind))
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema)
-        self.rows = stored(src.mapInArrow(lambda it: _sign(it, size, arrow), f"{kinds}, _n long, _digest binary, _sig binary"), "signed")
+        self.rows = stored(src.mapInArrow(lambda it: _sign(it, size, arrow), f"{kinds}, _n long, _digest binary, _sig binary, _b1 long, _b2 long"), "signed")
 
     def classes(self) -> DataFrame:
         """(digest, rid): the first row of each set."""
@@ -219,15 +238,23 @@ class NearCopies:
         """(node, comp) of the classes that have links; nodes are row numbers. Stored."""
         first = self.classes()
         nodes = stored(
-            self.rows.where("_n > 0").select(F.col("_rid").alias("rid"), F.col("_n").alias("n"), F.col("_sig").alias("sig")).join(first.select("rid"), "rid", "left_semi"),
+            self.rows.where("_n > 0")
+            .select(F.col("_rid").alias("rid"), F.col("_n").alias("n"), F.col("_sig").alias("sig"), F.col("_b1").alias("x1"), F.col("_b2").alias("x2"))
+            .join(first.select("rid"), "rid", "left_semi"),
             "nodes",
         )
         keyed = nodes.select("rid", "sig").mapInArrow(_keys, "rid long, key long")
         shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rid").alias("center")).where("n > 1").drop("n"), "shared")
-        members = stored(keyed.join(shared, "key"), "members")
-        forget(shared)
-        pairs = members.groupBy("rid").agg(F.min("center").alias("b")).where("rid != b").select(F.col("rid").alias("a"), "b")
-        pairs = stored(pairs, "pairs")
+        looks = nodes.select("rid", "x1", "x2")
+        firsts = looks.toDF("center", "y1", "y2").join(shared.select("center").distinct(), "center", "left_semi")
+        shared_looks = stored(shared.join(firsts, "center"), "shared")
+        members = stored(keyed.join(shared_looks, "key").join(looks, "rid"), "members")
+        forget(shared, shared_looks)
+        nearest = members.where(F.col("rid") != F.col("center")).withColumn("d", _differing("x", "y")).where(F.col("d") <= DIFFERING)
+        # distance first, then the smaller row number
+        pairs = nearest.groupBy("rid").agg(F.min_by("center", F.col("d") + F.col("center") / 2.0**63).alias("b"))
+        pairs = stored(pairs.select(F.col("rid").alias("a"), "b"), "pairs")
+        members = members.select("key", "rid", "x1", "x2")
         links = self._verify(pairs, nodes)
         tested, labels, turn = [pairs], components(links), 0
         while True:
@@ -243,13 +270,13 @@ class NearCopies:
             elif turn:
                 break
             turn += 1
-        forget(members, nodes, *tested)
+        forget(nodes, *tested)
         return labels
 
     def _across(self, members: DataFrame, labels: DataFrame, keyed: DataFrame, tested: list[DataFrame], turn: int) -> DataFrame:
         """Untested pairs of a member and one member of another component of its bucket."""
-        own = members.select("key", "rid").join(labels.select(F.col("node").alias("rid"), "comp"), "rid", "left").select(
-            "key", "rid", F.coalesce("comp", "rid").alias("comp")
+        own = members.join(labels.select(F.col("node").alias("rid"), "comp"), "rid", "left").select(
+            "key", "rid", F.coalesce("comp", "rid").alias("comp"), "x1", "x2"
         )
         own = stored(own, "own")
         sides = own.groupBy("key").agg(F.approx_count_distinct("comp", 0.02).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
@@ -260,13 +287,18 @@ class NearCopies:
         split = (
             crowded.join(second, "rid")
             .where("other != key")
-            .select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "rid", "comp")
+            .select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "rid", "comp", "x1", "x2")
             .distinct()
         )
-        held = stored(open_.where(F.col("m") <= CROWDED).select("key", "rid", "comp").union(split), "held")
+        held = stored(open_.where(F.col("m") <= CROWDED).select("key", "rid", "comp", "x1", "x2").union(split), "held")
         turned = F.xxhash64("rid", F.lit(turn)) if turn else F.col("rid")
-        centers = stored(held.groupBy("key", "comp").agg(F.min_by("rid", turned).alias("b")), "centers")
-        pairs = held.join(centers.withColumnRenamed("comp", "other"), "key").where("comp != other")
+        one = [F.min_by(c, turned).alias(n) for c, n in (("rid", "b"), ("x1", "y1"), ("x2", "y2"))]
+        centers = held.groupBy("key", "comp").agg(*one, F.count("*").alias("size"))
+        if turn:  # two components of one member each, or one and many, were compared whole
+            several = centers.where("size > 1").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+            centers = centers.join(several, "key", "left_semi")
+        centers = stored(centers.select("key", F.col("comp").alias("other"), "b", "y1", "y2"), "centers")
+        pairs = held.join(centers, "key").where((F.col("comp") != F.col("other")) & (_differing("x", "y") <= DIFFERING))
         pairs = pairs.select(F.greatest("rid", "b").alias("a"), F.least("rid", "b").alias("b")).distinct()
         for past in tested:
             pairs = pairs.join(past, ["a", "b"], "left_anti")
