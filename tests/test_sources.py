@@ -58,9 +58,9 @@ def test_strict_parse_s6(spark):
 @pytest.mark.parametrize("text", ["Infinity", "-Infinity", "NaN", "1e300", "-1e15"])
 def test_strict_parse_refuses_what_is_not_a_reading_s6(spark, text):
     body = f'{{"greenhouse_id":"gh_01","air_temp":"{text}","air_humidity":1,"soil_humidity":1,"light":1,"timestamp":1}}'
-    judged = src.parse_strict(spark.createDataFrame([(body,)], "value string"))
-    assert [r["reject"] for r in src.rejected(judged).collect()] == ["air_temp out of range"]
-    assert src.accepted(judged).collect() == []
+    judged = readings.parse_strict(spark.createDataFrame([(body,)], "value string"))
+    assert [r["reject"] for r in readings.rejected(judged).collect()] == ["air_temp out of range"]
+    assert readings.accepted(judged).collect() == []
 
 
 def test_lenient_parse_s4(spark):

@@ -154,6 +154,5 @@ def audit_join(
         a, b = F.col(f"left_{name}"), F.col(f"right_{name}")
         cols += [a, b, abs_diff(a, b, None).alias(f"diff_{name}")]
     out = both.select(*cols, (F.col("left_n") * F.col("right_n")).alias("n_pairs"))
-    if newest is None:
-        return out
-    return out.orderBy(F.desc("win_start"), *[F.col(f"{s}_{n}") for s in SIDES for n in SHORT.values()]).limit(newest)
+    out = out.orderBy(F.desc("win_start"), *[F.col(f"{s}_{n}") for s in SIDES for n in SHORT.values()])
+    return out if newest is None else out.limit(newest)

@@ -93,13 +93,14 @@ def duplicate_windows(
         )
         .where(F.col("cnt") > 1)
     )
-    return latest(found, newest, KEY)
+    ordered = found.orderBy(F.desc("win_start"), F.asc(KEY))
+    return ordered if newest is None else ordered.limit(newest)
 
 
 def key_counts(windows: DataFrame, top: int | None = None) -> DataFrame:
-    """Rows per key value, null included; the most frequent only if asked for."""
-    counts = with_key_column(windows).groupBy(KEY).agg(F.count("*").alias("n"))
-    return counts if top is None else counts.orderBy(F.desc("n"), F.asc(KEY)).limit(top)
+    """Rows per key value, null included, most frequent first; all or the top n."""
+    counts = with_key_column(windows).groupBy(KEY).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.asc(KEY))
+    return counts if top is None else counts.limit(top)
 
 
 def key_rows(windows: DataFrame, keys: tuple[str | None, ...]) -> DataFrame:
