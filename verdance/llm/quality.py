@@ -269,7 +269,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_MOST):
     rows = sample.mapInArrow(lambda it: _pooled(it, shared), "quality int, vector binary").collect()
     forget(sample)
     rows.sort(key=lambda r: (bytes(r["vector"]), r["quality"]))
-    x = np.array([np.frombuffer(r["vector"], np.float32) for r in rows], np.float64).reshape(len(rows), -1)
+    x = np.array([np.frombuffer(r["vector"], np.float32) for r in rows], np.float64).reshape(len(rows), 2 * DIMENSIONS)
     return (*words, fit_network(x, np.array([r["quality"] for r in rows], np.float64)))
 
 
@@ -278,7 +278,7 @@ def _scored(batches: Iterator[pa.RecordBatch], shared, schema: pa.Schema) -> Ite
     pool = Pooler(rows, vectors)
     for batch in batches:
         texts = batch.column(0).to_pylist()
-        x = np.array([pool(t) for t in texts], np.float64).reshape(len(texts), -1)
+        x = np.array([pool(t) for t in texts], np.float64).reshape(len(texts), 2 * DIMENSIONS)
         kept = batch.columns[1:]
         yield pa.RecordBatch.from_arrays([*kept, pa.array(probability(x, net), pa.float64())], schema=schema)
 
