@@ -41,7 +41,7 @@ from verdance.llm.common import row_id, small_batches
 MODEL = "piece_bpe_32k.model"
 #: A text with more tokens than this is over the limit.
 LIMIT = 4096
-HOT_ROWS, HOT_MOST, HOT_BYTES = 1000, 32768, 48
+HOT_ROWS, HOT_CHARS, HOT_MOST, HOT_BYTES = 1000, 20_000, 32768, 48
 #: Postings and pre-token characters held before a run's rows leave.
 RUN_POSTINGS, RUN_CHARS = 2_000_000, 4_000_000
 #: Postings of one row; a longer list is common enough to be salted.
@@ -93,34 +93,15 @@ def pieces(sp: sentencepiece.SentencePieceProcessor, keys: list[str]) -> list[in
     ]
 
 
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
-    for batch in batches:
-        for text in batch.column(0).to_pylist():
-            seen.update(frequencies(text or ""))
-            if len(seen) > 4 * HOT_MOST:
-                seen = Counter(dict(seen.most_common(2 * HOT_MOST)))
-    top = [(x, n) for x, n in seen.most_common(2 * HOT_MOST) if len(x.encode()) <= HOT_BYTES]
-    yield pa.RecordBatch.from_pydict(
-        {"piece": [x for x, _ in top], "n": [n for _, n in top]},
-        schema=pa.schema([("piece", pa.string()), ("n", pa.int64())]),
-    )
-
-
 def common_pieces(docs: DataFrame, text: str, path: str) -> dict[str, int]:
-    """Counts of the commonest pre-tokens of a sample: at most HOT_MOST entries of HOT_BYTES."""
-    rows = (
-        docs.select(F.col(text).alias("text"))
-        .limit(HOT_ROWS)
-        .mapInArrow(_sampled, "piece string, n long")
-        .groupBy("piece")
-        .agg(F.sum("n").alias("n"))
-        .where("n > 1")
-        .orderBy(F.desc("n"), "piece")
-        .limit(HOT_MOST)
-        .collect()
-    )
-    keys = [r["piece"] for r in rows]
+    """Counts of the commonest pre-tokens of a sample: at most HOT_MOST entries of HOT_BYTES.
+    At most HOT_ROWS times HOT_CHARS characters come to the driver, from as few partitions as
+    hold them."""
+    seen: Counter = Counter()
+    for r in docs.select(F.substring(F.col(text), 1, HOT_CHARS).alias("text")).limit(HOT_ROWS).collect():
+        seen.update(frequencies(r["text"] or ""))
+    ranked = sorted(((n, x) for x, n in seen.items() if n > 1 and len(x.encode()) <= HOT_BYTES), key=lambda r: (-r[0], r[1]))
+    keys = [x for _, x in ranked[:HOT_MOST]]
     return dict(zip(keys, pieces(_library(path), keys), strict=True)) if keys else {}
 
 
