@@ -125,10 +125,17 @@ def _small(x: str) -> str:
     return f"CASE WHEN abs({x}) < 1e15 THEN {rnd(f'CASE WHEN abs({x}) < 1e15 THEN {x} END', 4)} ELSE {x} END"
 
 
-SORTED = ", ".join(
-    f"CASE WHEN count({a}) > 2 THEN list_sum(list_slice(list_sort(list({a})), 2, count({a}) - 1)) / (count({a}) - 2) ELSE avg({a}) END AS {m.STAT_OF[a]}"
-    for a in m.METRICS[:3]
-)
+def _sliced(a: str) -> str:
+    """Mean of the sorted values without the first and last; in decimals where they fit, as a
+    sum of doubles falls beside the halves that are rounded."""
+    values = f"list_sort(list({a}))"
+    rest = f"CASE WHEN count({a}) > 2 THEN list_slice({values}, 2, count({a}) - 1) ELSE {values} END"
+    exact = f"list_sum(list_transform({rest}, lambda x: TRY_CAST(x AS DECIMAL(28, 6))))::double"
+    fits = f"coalesce(list_max(list_transform({rest}, lambda x: abs(x))) < 1e15, false)"
+    return f"CASE WHEN {fits} THEN {exact} ELSE list_sum({rest}) END / len({rest})"
+
+
+SORTED = ", ".join(f"{_sliced(a)} AS {m.STAT_OF[a]}" for a in m.METRICS[:3])
 
 SLIDING = q(
     "SELECT greenhouse_id, s + INTERVAL 2 HOUR AS ts, "
