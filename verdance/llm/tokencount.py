@@ -12,7 +12,8 @@ no merge crosses a pre-token's border and the sum is what the library gives for
    The others leave as one row per distinct pre-token of a run of documents, with a packed list
    of (row, frequency).
 3. All rows of a pre-token meet in one partition, where its pieces are counted once, multiplied
-   and added up per document before the last shuffle. A pre-token that many documents share and
+   and added up per document. The sums of a run of documents leave as one packed row, and are
+   added to the run's documents after the last shuffle. A pre-token that many documents share and
    that the sample missed is salted by its run, so its lists are never gathered in one place.
 
 Defined cases: null text counts as empty (0 bytes, 0 tokens); equal ids, null ids and repeated
@@ -105,22 +106,23 @@ def common_pieces(docs: DataFrame, text: str, path: str) -> dict[str, int]:
     return dict(zip(keys, pieces(_library(path), keys), strict=True)) if keys else {}
 
 
-def _rows(key: pa.DataType) -> pa.Schema:
-    return pa.schema(
-        [("piece", pa.string()), ("salt", pa.int32()), ("rid", pa.int64()), ("post", pa.binary()), ("key", key), ("n_bytes", pa.int64()), ("tokens", pa.int64())]
-    )
+def _rows(key: pa.DataType, *first: tuple[str, pa.DataType]) -> pa.Schema:
+    """Rows of pre-tokens (base, packed postings or sums) and of documents (base, rid, ...)."""
+    rest = [("base", pa.int64()), ("post", pa.binary()), ("rid", pa.int64()), ("key", key), ("n_bytes", pa.int64()), ("tokens", pa.int64())]
+    return pa.schema([*first, *rest])
 
 
-def _packed(pairs: list[int]) -> bytes:
+def _packed(pairs: list[int] | np.ndarray) -> bytes:
     if max(pairs) > 0xFFFF:
         return b"\4" + np.array(pairs, "<u4").tobytes()
     return b"\2" + np.array(pairs, "<u2").tobytes()
 
 
 def _spread(batches: Iterator[pa.RecordBatch], hot, salted: int, key: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """A row for each document (rid, key, bytes, tokens of its common pre-tokens) and one for
-    each other pre-token of a run (piece, base rid, packed (rid - base, frequency) pairs)."""
-    known, schema = hot.value, _rows(key)
+    """A row for each document (base of its run, rid, key, bytes, tokens of its common
+    pre-tokens) and one for each other pre-token of a run (base, packed pairs of row number
+    less base and frequency). A run is a stretch of documents, named by its first row."""
+    known, schema = hot.value, _rows(key, ("piece", pa.string()), ("salt", pa.int32()))
     found: dict[str, list[int]] = {}
     base, held, chars, runs = -1, 0, 0, 0
 
@@ -130,25 +132,17 @@ def _spread(batches: Iterator[pa.RecordBatch], hot, salted: int, key: pa.DataTyp
         for at in range(0, len(keys), 20_000):
             part = keys[at : at + 20_000]
             nulls = [None] * len(part)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "piece": part,
-                    "salt": [salt if len(found[x]) >= 2 * salted else 0 for x in part],
-                    "rid": [base] * len(part),
-                    "post": [_packed(found[x]) for x in part],
-                    "key": nulls,
-                    "n_bytes": nulls,
-                    "tokens": nulls,
-                },
-                schema=schema,
-            )
+            salts = [salt if len(found[x]) >= 2 * salted else 0 for x in part]
+            columns = (part, salts, [base] * len(part), [_packed(found[x]) for x in part], nulls, nulls, nulls, nulls)
+            yield pa.RecordBatch.from_pydict(dict(zip(schema.names, columns, strict=True)), schema=schema)
 
     for batch in batches:
-        rids, sums, sizes = batch.column(0).to_pylist(), [], []
+        rids, sums, sizes, bases = batch.column(0).to_pylist(), [], [], []
         for rid, text in zip(rids, batch.column(2).to_pylist(), strict=True):
             total = 0
             if base < 0:
                 base = rid
+            bases.append(base)
             for x, n in frequencies(text).items():
                 c = known.get(x)
                 if c is not None:
@@ -167,28 +161,34 @@ def _spread(batches: Iterator[pa.RecordBatch], hot, salted: int, key: pa.DataTyp
                 yield from leave()
                 found, base, held, chars, runs = {}, -1, 0, 0, runs + 1
         nulls = [None] * len(rids)
-        yield pa.RecordBatch.from_pydict(
-            {"piece": nulls, "salt": [0] * len(rids), "rid": rids, "post": nulls, "key": batch.column(1), "n_bytes": sizes, "tokens": sums}, schema=schema
-        )
+        columns = (nulls, [0] * len(rids), bases, nulls, rids, batch.column(1), sizes, sums)
+        yield pa.RecordBatch.from_pydict(dict(zip(schema.names, columns, strict=True)), schema=schema)
     if found:
         yield from leave()
 
 
+def _unpacked(post: bytes) -> np.ndarray:
+    return np.frombuffer(post, "<u2" if post[0] == 2 else "<u4", offset=1).astype(np.int64).reshape(-1, 2)
+
+
 def _join(batches: Iterator[pa.RecordBatch], path: str, key: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """Counts each pre-token when its first row comes and adds up by document. The rows of the
+    """Counts each pre-token when its first row comes, and adds up by document. What it has
+    of a run leaves as one row of packed (row number less base, tokens) pairs. The rows of the
     documents themselves pass."""
-    sp = _library(path)
-    schema = pa.schema([("rid", pa.int64()), ("key", key), ("n_bytes", pa.int64()), ("tokens", pa.int64())])
+    sp, schema = _library(path), _rows(key)
     memo: dict[str, int] = {}
-    rids: list[np.ndarray] = []
-    sums: list[np.ndarray] = []
-    held = chars = 0
+    held: dict[int, list[np.ndarray]] = {}
+    total = chars = 0
 
     def leave() -> pa.RecordBatch:
-        every, at = np.unique(np.concatenate(rids), return_inverse=True)
-        total = np.bincount(at, weights=np.concatenate(sums), minlength=len(every)).astype(np.int64)
-        nulls = [None] * len(every)
-        return pa.RecordBatch.from_pydict({"rid": every, "key": nulls, "n_bytes": nulls, "tokens": total}, schema=schema)
+        posts = []
+        for parts in held.values():
+            pairs = np.concatenate(parts)
+            offsets, at = np.unique(pairs[:, 0], return_inverse=True)
+            sums = np.bincount(at, weights=pairs[:, 1]).astype(np.int64)
+            posts.append(_packed(np.stack([offsets, sums], axis=1).reshape(-1)))
+        nulls = [None] * len(posts)
+        return pa.RecordBatch.from_pydict(dict(zip(schema.names, (list(held), posts, nulls, nulls, nulls, nulls), strict=True)), schema=schema)
 
     for batch in batches:
         own = batch.column("piece").is_null()
@@ -201,27 +201,55 @@ def _join(batches: Iterator[pa.RecordBatch], path: str, key: pa.DataType) -> Ite
         if new:
             memo.update(zip(new, pieces(sp, new), strict=True))
             chars += sum(map(len, new))
-        single: list[tuple[int, int]] = []
-        for x, base, post in zip(keys, batch.column("rid").to_pylist(), batch.column("post").to_pylist(), strict=True):
+        single: dict[int, list[int]] = {}
+        for x, base, post in zip(keys, batch.column("base").to_pylist(), batch.column("post").to_pylist(), strict=True):
             if len(post) == 5:
-                single.append((base + post[1] + (post[2] << 8), memo[x] * (post[3] + (post[4] << 8))))
+                one = single.setdefault(base, [])
+                one.append(post[1] + (post[2] << 8))
+                one.append(memo[x] * (post[3] + (post[4] << 8)))
+                total += 1
             else:
-                pairs = np.frombuffer(post, "<u2" if post[0] == 2 else "<u4", offset=1).astype(np.int64).reshape(-1, 2)
-                rids.append(base + pairs[:, 0])
-                sums.append(pairs[:, 1] * memo[x])
-                held += len(pairs)
-        if single:
-            both = np.array(single, np.int64)
-            rids.append(both[:, 0])
-            sums.append(both[:, 1])
-            held += len(both)
-        if held >= 2_000_000:
+                pairs = _unpacked(post)
+                pairs[:, 1] *= memo[x]
+                held.setdefault(base, []).append(pairs)
+                total += len(pairs)
+        for base, one in single.items():
+            held.setdefault(base, []).append(np.array(one, np.int64).reshape(-1, 2))
+        if total >= 2_000_000:
             yield leave()
-            rids, sums, held = [], [], 0
+            held, total = {}, 0
     if held:
         yield leave()
 
 
+def _total(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Adds the sums of a run to its documents; rows come run by run."""
+    base = None
+    rows: list[tuple] = []
+    parts: list[np.ndarray] = []
+
+    def leave() -> pa.RecordBatch:
+        pairs = np.concatenate(parts) if parts else np.zeros((0, 2), np.int64)
+        last = max((r[0] for r in rows), default=base) - base
+        sums = np.bincount(pairs[:, 0], weights=pairs[:, 1], minlength=last + 1).astype(np.int64)
+        columns = ([r[1] for r in rows], [r[2] for r in rows], [r[3] + int(sums[r[0] - base]) for r in rows])
+        return pa.RecordBatch.from_pydict(dict(zip(schema.names, columns, strict=True)), schema=schema)
+
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("base", "post", "rid", "key", "n_bytes", "tokens")]
+        for b, post, *row in zip(*columns, strict=True):
+            if b != base:
+                if rows:
+                    yield leave()
+                base, rows, parts = b, [], []
+            if post is None:
+                rows.append(tuple(row))
+            else:
+                parts.append(_unpacked(post))
+    if rows:
+        yield leave()
+
+
 def count_tokens(
     docs: DataFrame,
     text: str = "text",
@@ -238,16 +266,11 @@ def count_tokens(
     rows = docs.select(row_id().alias("rid"), F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["key"].dataType
     arrow = to_arrow_type(kind)
-    spread = rows.mapInArrow(
-        lambda it: _spread(it, hot, salted, arrow),
-        f"piece string, salt int, rid long, post binary, key {kind.simpleString()}, n_bytes long, tokens long",
-    )
+    rest = f"base long, post binary, rid long, key {kind.simpleString()}, n_bytes long, tokens long"
+    spread = rows.mapInArrow(lambda it: _spread(it, hot, salted, arrow), f"piece string, salt int, {rest}")
     met = spread.repartition(F.coalesce("piece", F.col("rid").cast("string")), "salt")
-    sums = met.mapInArrow(
-        lambda it: _join(it, path, arrow), f"rid long, key {kind.simpleString()}, n_bytes long, tokens long"
-    )
-    return (
-        sums.groupBy("rid")
-        .agg(F.max("key").alias(key), F.max("n_bytes").alias("n_bytes"), F.sum("tokens").alias("n_tokens"))
-        .select(key, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
-    )
+    sums = met.mapInArrow(lambda it: _join(it, path, arrow), rest)
+    runs = sums.repartition("base").sortWithinPartitions("base")
+    schema = pa.schema([("key", arrow), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
+    done = runs.mapInArrow(lambda it: _total(it, schema), f"key {kind.simpleString()}, n_bytes long, n_tokens long")
+    return done.select(F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
