@@ -9,8 +9,10 @@ agree by accident; a pair that may reach the threshold is then settled on the fu
 No bucket is turned into all its pairs:
 
 - texts with the same set form one class from the start, only its first row goes on;
-- each class is first compared with a single other one: of the first members of its buckets the
-  one that looks most alike, which ties most of a large group together;
+- each class is first compared with a single other one: of the centers of its buckets the one
+  that looks most alike. A bucket's center is its member that shares most buckets with others:
+  of the copies of a text that is the text itself, which is nearer to each of them than they
+  are to each other, so a large group is tied together in one step;
 - after that a bucket is only looked at where it holds several components: each member is
   compared with one member of each other component. Where two components have several members
   there, this repeats with other members until a round finds no link any more; elsewhere all
@@ -244,17 +246,18 @@ class NearCopies:
             "nodes",
         )
         keyed = nodes.select("rid", "sig").mapInArrow(_keys, "rid long, key long")
-        shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rid").alias("center")).where("n > 1").drop("n"), "shared")
-        looks = nodes.select("rid", "x1", "x2")
-        firsts = looks.toDF("center", "y1", "y2").join(shared.select("center").distinct(), "center", "left_semi")
-        shared_looks = stored(shared.join(firsts, "center"), "shared")
-        members = stored(keyed.join(shared_looks, "key").join(looks, "rid"), "members")
-        forget(shared, shared_looks)
-        nearest = members.where(F.col("rid") != F.col("center")).withColumn("d", _differing("x", "y")).where(F.col("d") <= DIFFERING)
+        shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+        met = stored(keyed.join(shared, "key"), "met")
+        weights = met.groupBy("rid").agg(F.sum("n").alias("weight")).join(nodes.select("rid", "x1", "x2"), "rid")
+        members = stored(met.drop("n").join(stored(weights, "weights"), "rid"), "members")
+        forget(shared, met)
+        first = members.groupBy("key").agg(F.max(F.struct("weight", "rid", "x1", "x2")).alias("c"))
+        centers = stored(first.select("key", F.col("c.rid").alias("center"), F.col("c.x1").alias("y1"), F.col("c.x2").alias("y2")), "centers")
+        faced = members.join(centers, "key").where(F.col("rid") != F.col("center"))
+        nearest = faced.withColumn("d", _differing("x", "y")).where(F.col("d") <= DIFFERING)
         # distance first, then the smaller row number
         pairs = nearest.groupBy("rid").agg(F.min_by("center", F.col("d") + F.col("center") / 2.0**63).alias("b"))
         pairs = stored(pairs.select(F.col("rid").alias("a"), "b"), "pairs")
-        members = members.select("key", "rid", "x1", "x2")
         links = self._verify(pairs, nodes)
         tested, labels, turn = [pairs], components(links), 0
         while True:
@@ -276,7 +279,7 @@ class NearCopies:
     def _across(self, members: DataFrame, labels: DataFrame, keyed: DataFrame, tested: list[DataFrame], turn: int) -> DataFrame:
         """Untested pairs of a member and one member of another component of its bucket."""
         own = members.join(labels.select(F.col("node").alias("rid"), "comp"), "rid", "left").select(
-            "key", "rid", F.coalesce("comp", "rid").alias("comp"), "x1", "x2"
+            "key", "rid", F.coalesce("comp", "rid").alias("comp"), "x1", "x2", "weight"
         )
         own = stored(own, "own")
         sides = own.groupBy("key").agg(F.approx_count_distinct("comp", 0.02).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
@@ -287,17 +290,19 @@ class NearCopies:
         split = (
             crowded.join(second, "rid")
             .where("other != key")
-            .select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "rid", "comp", "x1", "x2")
+            .select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "rid", "comp", "x1", "x2", "weight")
             .distinct()
         )
-        held = stored(open_.where(F.col("m") <= CROWDED).select("key", "rid", "comp", "x1", "x2").union(split), "held")
-        turned = F.xxhash64("rid", F.lit(turn)) if turn else F.col("rid")
-        one = [F.min_by(c, turned).alias(n) for c, n in (("rid", "b"), ("x1", "y1"), ("x2", "y2"))]
-        centers = held.groupBy("key", "comp").agg(*one, F.count("*").alias("size"))
+        # what a row of ``held`` is compared with: one center for each other component
+        held = stored(open_.where(F.col("m") <= CROWDED).select("key", "rid", "comp", "x1", "x2", "weight").union(split), "held")
+        turned = F.xxhash64("rid", F.lit(turn)) if turn else F.col("weight")
+        one = F.max(F.struct(turned.alias("order"), "rid", "x1", "x2")).alias("c")  # as a whole, ties included
+        centers = held.groupBy("key", "comp").agg(one, F.count("*").alias("size"))
         if turn:  # two components of one member each, or one and many, were compared whole
             several = centers.where("size > 1").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
             centers = centers.join(several, "key", "left_semi")
-        centers = stored(centers.select("key", F.col("comp").alias("other"), "b", "y1", "y2"), "centers")
+        chosen = [F.col(f"c.{c}").alias(n) for c, n in (("rid", "b"), ("x1", "y1"), ("x2", "y2"))]
+        centers = stored(centers.select("key", F.col("comp").alias("other"), *chosen), "centers")
         pairs = held.join(centers, "key").where((F.col("comp") != F.col("other")) & (_differing("x", "y") <= DIFFERING))
         pairs = pairs.select(F.greatest("rid", "b").alias("a"), F.least("rid", "b").alias("b")).distinct()
         for past in tested:
