@@ -203,6 +203,25 @@ def test_near_duplicates(spark, docs, monkeypatch, crowded):
     assert got == sorted(want, key=repr)
 
 
+def test_near_groups_tied_by_one_pair(spark):
+    """Two dense groups have a single link, between members that are nobody's center."""
+    one, texts = [f"w6x{i}" for i in range(240)], []
+    places = [3 + 4 * i for i in range(15)]
+    two = [f"q6x{i}" if i in places else w for i, w in enumerate(one)]
+    for side, base, other in (("a", one, two), ("b", two, one)):
+        members = [list(base) for _ in range(100)]
+        for i in range(1, 99):
+            members[i][64 + i] = f"{side}6x{i}"
+        place = places[side == "b"]
+        members[99][place] = other[place]
+        texts += [" ".join(m) for m in members]
+    sets = [shingles(t, 2) for t in texts]
+    met = [(i, j) for i in range(100) for j in range(100, 200) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    assert met == [(99, 199)]
+    got = nearcopies.near_duplicates(documents(spark, list(enumerate(texts))))
+    assert {r["component_id"] for r in got.collect()} == {0}
+
+
 def test_near_stage_keeps_one_of_each(docs):
     kept = nearcopies.drop_near_duplicates(docs)
     assert kept.columns == docs.columns

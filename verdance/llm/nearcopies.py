@@ -15,8 +15,10 @@ No bucket is turned into all its pairs:
   are to each other, so a large group is tied together in one step;
 - after that a bucket is only looked at where it holds several components: each member is
   compared with one member of each other component. Where two components have several members
-  there, this repeats with other members until a round finds no link any more; elsewhere all
-  has been compared;
+  there, this repeats with other members until a round finds no link any more, then with about
+  FEW members of each component, and at last with all: the rounds end when every pair of members
+  of different components that may reach the threshold has been compared. Elsewhere all has
+  been compared at once;
 - who looks alike is told from 128 bits, one per register, that travel with the bucket keys: of
   two texts at the threshold 13 differ, and 31 or more in one of two million cases. A pair that
   differs in more never leaves the join that would make it;
@@ -53,6 +55,10 @@ MANTISSA = 10
 #: How far below the threshold an estimate may lie: five standard deviations at 0.8.
 MARGIN = 0.16
 CROWDED = 64
+#: Members of a component that are compared in the rounds before the last.
+FEW = 16
+#: Members of a bucket that meet the others in one piece of work.
+BLOCK = 256
 #: Registers that give a bit each, and the bits that may differ: mean and five deviations at 0.8.
 BITS, DIFFERING = 128, 30
 #: Words whose hashes a task remembers.
@@ -248,7 +254,7 @@ class NearCopies:
         keyed = nodes.select("rid", "sig").mapInArrow(_keys, "rid long, key long")
         shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
         met = stored(keyed.join(shared, "key"), "met")
-        weights = met.groupBy("rid").agg(F.sum("n").alias("weight")).join(nodes.select("rid", "x1", "x2"), "rid")
+        weights = met.groupBy("rid").agg(F.sum("n").alias("weight")).join(nodes.select("rid", F.col("n").alias("words"), "x1", "x2"), "rid")
         members = stored(met.drop("n").join(stored(weights, "weights"), "rid"), "members")
         forget(shared, met)
         first = members.groupBy("key").agg(F.max(F.struct("weight", "rid", "x1", "x2")).alias("c"))
@@ -259,27 +265,33 @@ class NearCopies:
         pairs = nearest.groupBy("rid").agg(F.min_by("center", F.col("d") + F.col("center") / 2.0**63).alias("b"))
         pairs = stored(pairs.select(F.col("rid").alias("a"), "b"), "pairs")
         links = self._verify(pairs, nodes)
-        tested, labels, turn = [pairs], components(links), 0
+        tested, labels, turn, most = [pairs], components(links), 0, 1
         while True:
-            pairs = stored(self._across(members, labels, keyed, tested, turn), "pairs")
-            if pairs.isEmpty():
-                break
+            spent: list[DataFrame] = []
+            held = self._held(members, labels, keyed, spent)
+            pairs = self._across(held, turn, spent) if most == 1 else self._further(held, turn, most, spent)
+            for past in tested:
+                pairs = pairs.join(past, ["a", "b"], "left_anti")
+            pairs = stored(pairs, "pairs")
+            forget(*spent)
             tested.append(pairs)
-            links = self._verify(pairs, nodes)
-            if not links.isEmpty():
+            links = None if pairs.isEmpty() else self._verify(pairs, nodes)
+            if links is not None and not links.isEmpty():
                 before = labels
                 labels = components(before.toDF("a", "b").union(links))
                 forget(before)
-            elif turn:
+            elif most is None:
                 break
+            else:
+                most = FEW if most == 1 else None
             turn += 1
         forget(nodes, *tested)
         return labels
 
-    def _across(self, members: DataFrame, labels: DataFrame, keyed: DataFrame, tested: list[DataFrame], turn: int) -> DataFrame:
-        """Untested pairs of a member and one member of another component of its bucket."""
+    def _held(self, members: DataFrame, labels: DataFrame, keyed: DataFrame, spent: list[DataFrame]) -> DataFrame:
+        """The members of buckets that hold several components, crowded buckets split. Stored."""
         own = members.join(labels.select(F.col("node").alias("rid"), "comp"), "rid", "left").select(
-            "key", "rid", F.coalesce("comp", "rid").alias("comp"), "x1", "x2", "weight"
+            "key", "rid", F.coalesce("comp", "rid").alias("comp"), "x1", "x2", "weight", "words"
         )
         own = stored(own, "own")
         sides = own.groupBy("key").agg(F.approx_count_distinct("comp", 0.02).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
@@ -290,24 +302,51 @@ class NearCopies:
         split = (
             crowded.join(second, "rid")
             .where("other != key")
-            .select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "rid", "comp", "x1", "x2", "weight")
+            .select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "rid", "comp", "x1", "x2", "weight", "words")
             .distinct()
         )
+        held = stored(open_.where(F.col("m") <= CROWDED).select("key", "rid", "comp", "x1", "x2", "weight", "words").union(split), "held")
+        forget(own, mixed)
+        spent.append(held)
+        return held
+
+    def _alike(self) -> Column:
+        """Whether a pair may reach the threshold by its register bits and the sizes of its sets."""
+        sizes = 100 * F.least("words", "others") >= self.threshold * F.greatest("words", "others")
+        return (_differing("x", "y") <= DIFFERING) & sizes
+
+    def _across(self, held: DataFrame, turn: int, spent: list[DataFrame]) -> DataFrame:
+        """Pairs of a member and one member of another component of its bucket."""
         # what a row of ``held`` is compared with: one center for each other component
-        held = stored(open_.where(F.col("m") <= CROWDED).select("key", "rid", "comp", "x1", "x2", "weight").union(split), "held")
         turned = F.xxhash64("rid", F.lit(turn)) if turn else F.col("weight")
-        one = F.max(F.struct(turned.alias("order"), "rid", "x1", "x2")).alias("c")  # as a whole, ties included
+        one = F.max(F.struct(turned.alias("order"), "rid", "x1", "x2", "words")).alias("c")  # as a whole, ties included
         centers = held.groupBy("key", "comp").agg(one, F.count("*").alias("size"))
         if turn:  # two components of one member each, or one and many, were compared whole
             several = centers.where("size > 1").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
             centers = centers.join(several, "key", "left_semi")
-        chosen = [F.col(f"c.{c}").alias(n) for c, n in (("rid", "b"), ("x1", "y1"), ("x2", "y2"))]
+        chosen = [F.col(f"c.{c}").alias(n) for c, n in (("rid", "b"), ("x1", "y1"), ("x2", "y2"), ("words", "others"))]
         centers = stored(centers.select("key", F.col("comp").alias("other"), *chosen), "centers")
-        pairs = held.join(centers, "key").where((F.col("comp") != F.col("other")) & (_differing("x", "y") <= DIFFERING))
-        pairs = pairs.select(F.greatest("rid", "b").alias("a"), F.least("rid", "b").alias("b")).distinct()
-        for past in tested:
-            pairs = pairs.join(past, ["a", "b"], "left_anti")
-        return pairs
+        spent.append(centers)
+        pairs = held.join(centers, "key").where((F.col("comp") != F.col("other")) & self._alike())
+        return pairs.select(F.greatest("rid", "b").alias("a"), F.least("rid", "b").alias("b")).distinct()
+
+    def _further(self, held: DataFrame, turn: int, most: int | None, spent: list[DataFrame]) -> DataFrame:
+        """Pairs of members of two components that have several in a bucket: about ``most`` of the
+        smaller one (None: all) against all of the larger, whose members are dealt into blocks."""
+        sizes = held.groupBy("key", "comp").agg(F.count("*").alias("size")).where("size > 1")
+        several = sizes.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("total")).where("n > 1")
+        several = several.select("key", F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks"))
+        sized = stored(held.join(sizes.join(several, "key"), ["key", "comp"]), "several")
+        spent.append(sized)
+        large = sized.withColumn("block", F.pmod(F.xxhash64("rid"), "blocks").cast("int"))
+        few = sized if most is None else sized.where(F.pmod(F.xxhash64("rid", F.lit(turn)), F.ceil(F.col("size") / most)) == 0)
+        small = few.select(
+            "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("rid").alias("b"), F.col("comp").alias("other"),
+            F.col("size").alias("less"), F.col("x1").alias("y1"), F.col("x2").alias("y2"), F.col("words").alias("others"),
+        )
+        smaller = (F.col("less") < F.col("size")) | ((F.col("less") == F.col("size")) & (F.col("other") < F.col("comp")))
+        pairs = large.join(small, ["key", "block"]).where(smaller & self._alike())
+        return pairs.select(F.greatest("rid", "b").alias("a"), F.least("rid", "b").alias("b")).distinct()
 
     def resolved(self) -> DataFrame:
         """(_rid, _n, c_doc_id, comp): every row with the smallest class of its component."""
