@@ -301,6 +301,16 @@ def test_decontamination(spark, docs, sketch_most, monkeypatch):
         assert decontaminate.drop_contaminated(docs, benchmark(spark, [])).count() == docs.count()
 
 
+@pytest.mark.parametrize("length", [6, 9])
+def test_decontamination_tells_items_of_one_id_apart(spark, length):
+    rnd = random.Random(6)
+    items = [(i, " ".join(f"r{rnd.randrange(10**6)}" for _ in range(length))) for i in [None] * 30 + [1] * 10 + [2]]
+    table = documents(spark, [(i, "x y " + text + " z") for i, (_, text) in enumerate(items)])
+    found = decontaminate.leaks(table, benchmark(spark, items))
+    assert listed(found, "doc_id", "item_id", "n", "shared") == sorted(((i, x, length - 4, length - 4) for i, (x, _) in enumerate(items)), key=repr)
+    assert decontaminate.drop_contaminated(table, benchmark(spark, items)).count() == 0
+
+
 def test_language(spark, sf_dir, docs):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = language.identify(table).join(table.select("doc_id", "lang"), "doc_id").where("held_out").collect()

@@ -15,8 +15,9 @@ The sketch is broadcast while it has at most ``SKETCH_MOST`` rows of three numbe
 the hashes are joined by a shuffle. Everything is DataFrame code; shingles of documents are
 hashed in generated code and never stored.
 
-Defined cases: null and empty texts and items without a word contain and leak nothing; equal
-ids with different texts are told apart by the text's hash; repeated rows give one row per
+Defined cases: null and empty texts and items without a word contain and leak nothing; documents
+of equal ids with different texts are told apart by the text's hash, items of equal or null ids
+by a number, so each has a sketch of its own; repeated rows give one row per
 (doc_id, item_id); null ids take part like others; an empty table gives an empty result.
 """
 
@@ -27,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdance.llm.common import forget, fresh, stored
+from verdance.llm.common import forget, fresh, row_id, stored
 
 SIZE = 5
 #: Percent of an item's shingles.
@@ -58,30 +59,30 @@ def _texts(of: Column, size: Column) -> Column:
 
 
 def item_sets(items: DataFrame, size: int = SIZE) -> DataFrame:
-    """(item_id, k, n, shingles): the set of each item. Stored."""
-    rows = items.select("item_id", words(F.col("text")).alias("words")).where(F.size("words") > 0)
+    """(item, item_id, words, k, n, shingles): the set of each row, numbered by ``item``. Stored."""
+    rows = items.select(row_id().alias("item"), "item_id", words(F.col("text")).alias("words")).where(F.size("words") > 0)
     rows = rows.withColumn("k", F.least(F.size("words"), F.lit(size)))
     rows = rows.withColumn("shingles", _texts(F.col("words"), F.col("k")))
-    return stored(rows.select("item_id", "words", "k", F.size("shingles").alias("n"), "shingles"), "items")
+    return stored(rows.select("item", "item_id", "words", "k", F.size("shingles").alias("n"), "shingles"), "items")
 
 
 def sketches(sets: DataFrame, lengths: list[int], threshold: int = THRESHOLD) -> DataFrame:
-    """(k, h, item_id, words_needed) of each item's smallest hashes. Stored."""
+    """(k, h, item, words_needed) of each item's smallest hashes. Stored."""
     sized = sets.withColumn("part", F.floor(F.log2("n")).cast("int"))
     # ceil(n * threshold / 100) shingles suffice, so this many may be missing
     missing = lambda n: n - F.ceil(n * threshold / 100)
     bounds = sized.groupBy("part").agg(F.max("n").alias("largest"), F.min("n").alias("least"))
     sized = sized.join(bounds, "part").select(
-        "item_id",
+        "item",
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
         "k",
         (missing(F.col("largest")) + 1).alias("keep"),
         (F.ceil(F.col("least") * threshold / 100) + F.col("k") - 1).cast("int").alias("words_needed"),
     )
     hashed = [_shingles(sized.where(F.col("k") == k), k) for k in lengths]
-    every = reduce(DataFrame.unionByName, hashed).select("item_id", "k", "keep", "words_needed", "h").distinct()
-    low = F.row_number().over(Window.partitionBy("item_id", "k").orderBy("h"))
-    return stored(every.withColumn("low", low).where("low <= keep").select("k", "h", "item_id", "words_needed"), "sketch")
+    every = reduce(DataFrame.unionByName, hashed).select("item", "k", "keep", "words_needed", "h").distinct()
+    low = F.row_number().over(Window.partitionBy("item").orderBy("h"))
+    return stored(every.withColumn("low", low).where("low <= keep").select("k", "h", "item", "words_needed"), "sketch")
 
 
 def leaks(docs: DataFrame, items: DataFrame, size: int = SIZE, threshold: int = THRESHOLD, sketch_most: int = SKETCH_MOST) -> DataFrame:
@@ -100,14 +101,14 @@ def leaks(docs: DataFrame, items: DataFrame, size: int = SIZE, threshold: int =
     for k in lengths:
         hashed = _shingles(hashed_words, k).select("doc_id", "text_hash", F.size("hashes").alias("n_words"), "h")
         hits = hashed.join(side.where(F.col("k") == k), "h").where("n_words >= words_needed")
-        found.append(hits.select("doc_id", "text_hash", "item_id"))
+        found.append(hits.select("doc_id", "text_hash", "item"))
     candidates = stored(reduce(DataFrame.union, found).distinct(), "candidates")
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_hash") == F.col("c.text_hash"))
-    texts = rows.alias("d").join(candidates.alias("c"), same).select("d.doc_id", "d.text_hash", "c.item_id", words(F.col("d.text")).alias("doc_words")).alias("t")
-    both = texts.join(sets.alias("s"), F.col("t.item_id").eqNullSafe(F.col("s.item_id")))
+    texts = rows.alias("d").join(candidates.alias("c"), same).select("d.doc_id", "d.text_hash", "c.item", words(F.col("d.text")).alias("doc_words")).alias("t")
+    both = texts.join(sets.alias("s"), F.col("t.item") == F.col("s.item"))
     shared = F.size(F.array_intersect("shingles", _texts(F.col("doc_words"), F.col("k"))))
     out = stored(
-        both.select("t.doc_id", "text_hash", "t.item_id", "n", shared.alias("shared"))
+        both.select("t.doc_id", "text_hash", "s.item_id", "n", shared.alias("shared"))
         .where(F.col("shared") * 100 >= F.col("n") * threshold),
         "leaks",
     )
