@@ -427,6 +427,29 @@ def test_page_text(spark):
     assert pagetext.main_text(pages(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_page_text_of_copies_and_near_copies(spark, partitions, monkeypatch):
+    """Runs of copies and near-copies take their frame from the next different page."""
+    def page(*body):
+        return "<div>The name of the site</div>" + "".join(f"<p>{x}</p>" for x in body) + "<div>All about us</div>"
+
+    long = [f"{i}th sentence of a story that is told on more than one page" for i in range(12)]
+    rows = [(i, f"http://h/a/{i:02}", page(*long)) for i in range(5)]
+    rows += [(i, f"http://h/a/{i:02}", page(*long, f"changed {i}")) for i in range(5, 12)]
+    rows += [(20, "http://h/b", page("A quite different text that stands here", "and has a second line"))]
+    rows += [(30 + i, f"http://one/{i}", page(*long, f"changed {i}")) for i in range(3)]
+    rows += [(40 + i, f"http://two/{i}", page(*long)) for i in range(2)]
+    by_range = type(pages(spark, [])).repartitionByRange  # a number keeps the planner from joining small partitions
+    monkeypatch.setattr(type(pages(spark, [])), "repartitionByRange", lambda df, *order: by_range(df, partitions, *order))
+    got = {r["page_id"]: r["text"] for r in pagetext.main_text(pages(spark, rows)).collect()}
+    story = " ".join(long)
+    want = {i: story for i in range(5)} | {i: f"{story} changed {i}" for i in range(5, 12)}
+    want[20] = "A quite different text that stands here and has a second line"
+    framed = lambda x: f"The name of the site {x} All about us"
+    want |= {30 + i: framed(f"{story} changed {i}") for i in range(3)} | {40 + i: framed(story) for i in range(2)}
+    assert got == want
+
+
 def test_page_text_of_the_test_pages(spark, sf_dir):
     import html
 
