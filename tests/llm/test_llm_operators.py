@@ -103,6 +103,20 @@ def test_sharding_laws(docs):
     assert sharding.shard(empty(docs)).collect() == []
 
 
+def test_sharding_numbers_a_hot_id_in_pieces(spark):
+    table = documents(spark, [(None if i % 2 else 7, f"text {i}") for i in range(600)])
+    sharded = sharding.shard(table)
+    assert any("slot-map" in f for f in sharded.inputFiles())
+    places = defaultdict(list)
+    for r in sharded.collect():
+        places[r["shard"]].append(r["slot"])
+    assert sum(map(len, places.values())) == 600
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    plan = sharded._jdf.queryExecution().optimizedPlan().toString()
+    numbered = next(line for line in plan.splitlines() if "row_number" in line and "Window" in line)
+    assert re.search(r"\[vslot#\d+, sub#\d+\], \[_key", numbered)
+
+
 def test_sharding_maps():
     now = sharding.slot_map(24)
     counts = Counter(now)

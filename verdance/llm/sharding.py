@@ -1,7 +1,7 @@
 """Sharding by fixed virtual slots.
 
 A record's id is hashed into one of ``SLOTS`` virtual slots; that never changes. A small table
-maps every slot to a shard. Its versions are kept side by side: adding a shard or evening out
+maps every slot to a shard. Its versions are kept side by side in the shared folder: adding a shard or evening out
 bytes edits the map and moves whole slots, no record is hashed again. The map has ``SLOTS``
 rows whatever the data, so it may be broadcast and edited on the driver.
 
@@ -11,7 +11,9 @@ and one more shard takes rows only into itself. ``rebalance`` serves the general
 moves slots by their aggregated bytes from full shards to empty ones.
 
 A record's place within its shard counts on from the records of the shard's earlier virtual
-slots, so no shard is ever sorted as a whole.
+slots and, within a slot, of earlier sub-slots, which a hash of the text decides. So neither a
+shard nor a slot is ever sorted as a whole; only rows with the same id and text must share a
+sub-slot.
 
 Defined cases: null text has no bytes and the checksum of the empty string; null ids share a
 virtual slot and are numbered like others; repeated rows get places of their own; an empty
@@ -23,9 +25,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from verdance.llm.common import stored
+
 SHARDS = 24
 #: Fixed number of virtual slots; a power of two, thousands, far above any number of shards.
 SLOTS = 4096
+#: Pieces in which the records of one virtual slot are numbered.
+SUB_SLOTS = 64
 #: Bytes a record takes besides its text.
 OVERHEAD = 8
 
@@ -90,28 +96,28 @@ def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, key: str =
     """(key, size, text_crc32, law, shard, slot, grown_shard, vslot, map_version) of each row;
     ``slot`` is the row's place within its shard, counted from 0."""
     now = slot_map(shards, slots)
-    versions = map_table(docs.sparkSession, {shards: now, shards + 1: grown(now, shards)})
+    versions = stored(map_table(docs.sparkSession, {shards: now, shards + 1: grown(now, shards)}), "slot-map")
     content = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
     rows = docs.select(
         F.col(key).alias("_key"),
         (F.octet_length(content) + OVERHEAD).cast("long").alias("size"),
         F.crc32(content).alias("text_crc32"),
         virtual_slot(F.col(key), slots).alias("vslot"),
+        F.pmod(F.xxhash64(content), F.lit(SUB_SLOTS)).cast("int").alias("sub"),
     )
     # both have one row per virtual slot
     pair = versions.groupBy("vslot").agg(
         F.max(F.when(F.col("version") == shards, F.col("shard"))).alias("shard"),
         F.max(F.when(F.col("version") == shards + 1, F.col("shard"))).alias("grown_shard"),
     )
-    before = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        pair.join(slot_bytes(rows), "vslot", "left")
-        .select("vslot", "shard", "grown_shard", F.coalesce(F.sum(F.coalesce("records", F.lit(0))).over(before), F.lit(0)).alias("start"))
-    )
-    place = F.row_number().over(Window.partitionBy("vslot").orderBy("_key", "text_crc32", "size")) - 1
+    # as many rows as there are sub-slots, whatever the data
+    before = Window.partitionBy("shard").orderBy("vslot", "sub").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("vslot", "sub").agg(F.count("*").alias("records"))
+    starts = counts.join(pair, "vslot").select("vslot", "sub", "shard", "grown_shard", F.coalesce(F.sum("records").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("vslot", "sub").orderBy("_key", "text_crc32", "size")) - 1
     return (
         rows.withColumn("place", place)
-        .join(F.broadcast(starts), "vslot")
+        .join(F.broadcast(starts), ["vslot", "sub"])
         .select(
             F.col("_key").alias(key),
             "size",
