@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdance.llm import archive, bytebpe, decontaminate, exactcopies, language, nearcopies, pagetext, quality, sharding, tokencount
+from verdance.llm import archive, bytebpe, collocations, decontaminate, exactcopies, language, nearcopies, pagetext, quality, sharding, tokencount
 from verdance.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.archived(table(spark, sf_dir, "pages"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
         op8_byte_bpe,
         op9_page_text,
         op10_warc,
+        op13_collocations,
         pipeline,
     )
 }
@@ -104,4 +109,40 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, item_id, item_shingles, shared_shingles, shared_shingles / item_shingles AS containment
         FROM hit JOIN n USING (item_id) WHERE 100 * shared_shingles >= 80 * item_shingles
     """,
+    "op13_collocations": r"""
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang,
+                 unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents
+        ), words AS (
+          SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+        ), grams AS (
+          SELECT lang, k.k, unnest(list_transform(range(1, len(w) - k.k + 2), lambda i: array_to_string(list_slice(w, i, i + k.k - 1), ' '))) AS phrase
+          FROM words, (SELECT unnest([1, 2, 3, 4]) AS k) k WHERE len(w) >= k.k
+        ), f AS (
+          SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY lang, k, phrase
+        ), n AS (
+          SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+        ), candidates AS (
+          SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 30
+        ), longer AS (
+          SELECT lang, phrase, max(a) AS longer FROM (
+            SELECT lang, a, unnest(list_transform(range(1, c.k - s.s + 2), lambda i: array_to_string(list_slice(w, i, i + s.s - 1), ' '))) AS phrase
+            FROM candidates c, (SELECT unnest([2, 3]) AS s) s WHERE c.k > s.s
+          ) GROUP BY lang, phrase
+        ), cut AS (
+          SELECT lang, phrase, a, cut.cut, array_to_string(list_slice(w, 1, cut.cut), ' ') AS p, array_to_string(list_slice(w, cut.cut + 1, k), ' ') AS q
+          FROM candidates, (SELECT unnest([1, 2, 3]) AS cut) cut WHERE cut.cut < k
+        ), scored AS (
+          SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a // (x.a + y.a))::BIGINT AS score,
+                 row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY 2000000::HUGEINT * c.a // (x.a + y.a), c.cut) AS first
+          FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = c.p JOIN f y ON y.lang = c.lang AND y.phrase = c.q
+        ), kept AS (
+          SELECT s.* FROM scored s LEFT JOIN longer USING (lang, phrase) WHERE first = 1 AND (longer IS NULL OR 100 * longer < 80 * s.a)
+        )
+        SELECT * FROM (
+          SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+          FROM kept JOIN n USING (lang)
+        ) WHERE rank <= 2000
+    """,
 }
