@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdance.llm import archive, bytebpe, collocations, decontaminate, exactcopies, language, nearcopies, pagetext, quality, sharding, tokencount, whitening
+from verdance.llm import archive, bytebpe, collocations, decontaminate, exactcopies, language, nearcopies, pagetext, personal, quality, sharding, tokencount, whitening
 from verdance.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.archived(table(spark, sf_dir, "pages"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Query] = {
         op8_byte_bpe,
         op9_page_text,
         op10_warc,
+        op11_personal_data,
         op12_whitening,
         op13_collocations,
         pipeline,
