@@ -24,6 +24,11 @@ SLIDING = WindowSpec(seconds=2 * HOUR, slide_seconds=HOUR, scale=100)
 ALARM = AlarmSpec(lookback_seconds=12 * HOUR, bucket_seconds=96 * HOUR)
 ALIVE_SECONDS = 24 * HOUR
 AUDIT_MINUTES = 360 * 60
+#: Replays: days in a micro-batch, what is still in time, and windows that wait for everything.
+SPAN_DAYS = 6
+LATE = WindowSpec(seconds=HOUR, slide_seconds=HOUR, scale=100, watermark="2 days")
+PATIENT = WindowSpec(seconds=HOUR, slide_seconds=HOUR, scale=100, watermark="400 days")
+ARRIVAL = WindowSpec(seconds=5, scale=100)
 
 
 # declared, so that reading starts no job to look at file footers
@@ -50,6 +55,14 @@ def as_readings(ev: DataFrame) -> DataFrame:
     )
 
 
+def dealt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the micro-batch they come in: that of their days, or one or two later."""
+    i = F.col("event_id")
+    late = F.when(i % 11 == 5, 2).when(i % 7 == 3, 1).otherwise(0)
+    span = F.floor(F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")) / SPAN_DAYS)
+    return events(spark, sf_dir).withColumn("batch", (span + late).cast("int"))
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_readings(events(spark, sf_dir))
 

@@ -680,12 +680,49 @@ ON routed.intent = lines.intent AND routed.gh1 IS NOT DISTINCT FROM lines.gh1 AN
 
 _CLOSED = "WHERE win_end <= (SELECT t FROM now) - INTERVAL 10 SECOND"
 
+# A replay: rows come with their six days, or one or two micro-batches later. The watermark of a
+# micro-batch is two days before the newest row of all micro-batches before it, in milliseconds; a
+# row is late if its window ends at or before it.
+REPLAY = {
+    "dealt": """SELECT *, CASE WHEN event_id % 11 = 5 THEN 2 WHEN event_id % 7 = 3 THEN 1 ELSE 0 END
+                  + date_diff('day', DATE '2024-01-01', event_time::date) // 6 AS batch FROM readings""",
+    "tops": "SELECT batch, count(*) AS n, max(epoch_us(event_time) // 1000) AS top FROM dealt GROUP BY batch",
+    "marks": """SELECT batch, n, row_number() OVER (ORDER BY batch) - 1 AS batch_id,
+                  coalesce(max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 172800000, 0) AS mark FROM tops""",
+    "judged": """SELECT d.*, marks.batch_id, epoch_us(date_trunc('hour', event_time) + INTERVAL 1 HOUR) // 1000 <= mark AS late
+                 FROM dealt d JOIN marks USING (batch)""",
+    "intime": "SELECT * FROM judged WHERE NOT late",
+}
+_IN_TIME = q(
+    "SELECT * FROM w WHERE epoch_us(win_end) // 1000 <= (SELECT max(top) FROM tops) - 172800000",
+    **REPLAY,
+    w=_plain("intime"),
+)
+
 STREAMS = {
     "stream_tumbling_avg_max": q(f"SELECT * FROM l {_CLOSED}"),
     "stream_tumbling_trimmed": q(f"SELECT * FROM r {_CLOSED}"),
     "stream_sliding_avg": SLIDING,
+    "stream_late_rows": _IN_TIME,
+    "stream_resume": _IN_TIME,
+    "stream_late_counts": q(
+        """SELECT batch_id, n, (SELECT count(DISTINCT (greenhouse_id, date_trunc('hour', event_time))) FROM judged
+                               WHERE judged.batch = marks.batch AND late) AS late_groups FROM marks""",
+        **REPLAY,
+    ),
+    "stream_upsert": q("SELECT * FROM r"),
+    "stream_table_and_feed": q("SELECT * FROM l"),
+    "feed_consumed": q(
+        """SELECT greenhouse_id, win_end AS ts, avg_temp AS air_temp_avg, avg_humidity AS air_humidity_avg,
+                  avg_soil_humidity AS soil_humidity_avg, max_light AS light_avg FROM l"""
+    ),
     "stream_processing_time": q(
-        "SELECT greenhouse_id, count(*) AS n, max(light) AS max_light FROM readings GROUP BY greenhouse_id"
+        """SELECT greenhouse_id, win_start, win_start + INTERVAL 5 SECOND AS win_end, sum(air_temp)::double / count(*) / 100 AS avg_temp,
+                  sum(air_humidity)::double / count(*) / 100 AS avg_humidity, sum(soil_humidity)::double / count(*) / 100 AS avg_soil_humidity,
+                  max(light)::double / 100 AS max_light, count(*) AS n
+           FROM (SELECT *, to_timestamp(epoch(TIMESTAMP '2024-02-01') + 3 * batch_id // 5 * 5)::timestamp AS win_start FROM judged)
+           GROUP BY greenhouse_id, win_start""",
+        **REPLAY,
     ),
 }
 

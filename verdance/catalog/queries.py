@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from verdance.operators.align import align, audit_join
 from verdance.operators.priority import keyed_source, priority_source
 from verdance.plans import alarms, compare, questions, reports
 from verdance.sources import readings as src
-from verdance.streaming import sinks
+from verdance.streaming import keyed, replay, sinks
 from verdance.session import run_dir, streaming_session
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -425,19 +426,86 @@ def stream_sliding_avg(spark, sf):
     return sinks.last_update(spark.read.parquet(out), ["greenhouse_id", "ts"], list(FEED_METRICS))
 
 
-def stream_processing_time(spark, sf):
-    """Windows by arrival. Their bounds differ from run to run; what must hold is that
-    each reading is in exactly one window."""
-    arrived = src.on_arrival(_event_stream(spark, sf))
-    counted = (
-        windowing.with_watermark(arrived, fr.SPEC)
-        .groupBy("greenhouse_id", F.window("event_time", "5 seconds").alias("w"))
-        .agg(F.count("*").alias("n"), F.max("light").alias("light"))
-        .select("greenhouse_id", F.col("w.start").alias("win_start"), "n", "light")
+def _replay(spark, sf, name):
+    """Events staged out of order, a file per micro-batch: the stream, and a folder for the rest."""
+    base = run_dir(spark, name)
+    replay.stage(fr.dealt_events(spark, sf), f"{base}/in")
+    return lambda: fr.as_readings(replay.staged_stream(streaming_session(spark), f"{base}/in", fr.EVENTS)), base
+
+
+def _late(spark, sf, name):
+    stream, base = _replay(spark, sf, name)
+    windows = windowing.tumbling_avg_max(stream(), fr.LATE)
+    query = sinks.table_writer(windows, f"{base}/out", f"{base}/checkpoint", name, every=None).start()
+    query.awaitTermination()
+    return _window_table(spark, f"{base}/out", windows.schema), replay.batch_counts(query)
+
+
+def stream_late_rows(spark, sf):
+    """Windows of a stream whose rows come up to two micro-batches late: what the watermark has
+    passed is dropped, the rest counts."""
+    return _late(spark, sf, "late_rows")[0]
+
+
+def stream_late_counts(spark, sf):
+    """Rows of each micro-batch, and the greenhouse windows in it that came too late."""
+    return spark.createDataFrame(_late(spark, sf, "late_counts")[1], "batch_id long, n long, late_groups long")
+
+
+def stream_upsert(spark, sf):
+    """Every update of every window into a keyed table; two micro-batches come twice."""
+    stream, base = _replay(spark, sf, "upsert")
+    table = keyed.KeyedTable(f"{base}/table")
+    windows = windowing.tumbling_trimmed_mean(stream(), fr.PATIENT)
+    write = replay.repeated(table, (2, 4))
+    sinks.batch_writer(windows, write, f"{base}/checkpoint", "upsert", "update", every=None).start().awaitTermination()
+    return table.read(spark)
+
+
+def stream_resume(spark, sf):
+    """The late stream, broken down in three micro-batches and started again each time."""
+    stream, base = _replay(spark, sf, "resume")
+    sink = replay.Interrupted(sinks.BatchFolders(f"{base}/out"), before=(2,), after=(2, 4))
+    windows = lambda: windowing.tumbling_avg_max(stream(), fr.LATE)
+    replay.run_with_restarts(
+        lambda: sinks.batch_writer(windows(), sink, f"{base}/checkpoint", "resume", every=None), restarts=3
     )
-    out = _replayed(spark, counted, "processing_time", "update")
-    final = sinks.last_update(spark.read.parquet(out), ["greenhouse_id", "win_start"], ["n", "light"])
-    return final.groupBy("greenhouse_id").agg(F.sum("n").alias("n"), F.max("light").alias("max_light"))
+    return _window_table(spark, f"{base}/out", windows().schema).drop("batch_id")
+
+
+def _table_and_feed(spark, sf, name):
+    """Updates of windows, each micro-batch to a keyed table and to the feed."""
+    stream, base = _replay(spark, sf, name)
+    table = keyed.KeyedTable(f"{base}/table")
+    both = keyed.Fanout(table, keyed.FeedFolders(f"{base}/feed"))
+    windows = windowing.tumbling_avg_max(stream(), fr.PATIENT)
+    sinks.batch_writer(windows, both, f"{base}/checkpoint", name, "update", every=None).start().awaitTermination()
+    return table, base
+
+
+def stream_table_and_feed(spark, sf):
+    return _table_and_feed(spark, sf, "table_and_feed")[0].read(spark)
+
+
+def feed_consumed(spark, sf):
+    """The feed of the same job read back as a stream by a second query."""
+    base = _table_and_feed(spark, sf, "feed_consumed")[1]
+    rows = src.parse_feed(keyed.feed_messages(streaming_session(spark), f"{base}/feed", max_files=20), ("sent",))
+    sink = sinks.BatchFolders(f"{base}/consumed")
+    sinks.batch_writer(rows, sink, f"{base}/consumer", "feed_consumer", every=None).start().awaitTermination()
+    return keyed.newest_messages(spark.read.schema(rows.schema).parquet(f"{base}/consumed"))
+
+
+def stream_processing_time(spark, sf):
+    """Windows by arrival, which the ledger remembers. Here a micro-batch comes every 3 s, and two
+    are taken twice."""
+    stream, base = _replay(spark, sf, "processing_time")
+    first = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
+    ledger = keyed.ArrivalLedger(f"{base}/ledger", lambda batch_id: first + dt.timedelta(seconds=3 * batch_id))
+    windows = keyed.ArrivalWindows(f"{base}/sums", ledger, fr.ARRIVAL)
+    write = replay.repeated(windows, (1, 3))
+    sinks.batch_writer(stream(), write, f"{base}/checkpoint", "processing_time", every=None).start().awaitTermination()
+    return windows.read(spark)
 
 
 QUERIES: dict[str, Query] = {
@@ -502,5 +570,11 @@ QUERIES: dict[str, Query] = {
     "stream_tumbling_avg_max": stream_tumbling_avg_max,
     "stream_tumbling_trimmed": stream_tumbling_trimmed,
     "stream_sliding_avg": stream_sliding_avg,
+    "stream_late_rows": stream_late_rows,
+    "stream_late_counts": stream_late_counts,
+    "stream_upsert": stream_upsert,
+    "stream_resume": stream_resume,
+    "stream_table_and_feed": stream_table_and_feed,
+    "feed_consumed": feed_consumed,
     "stream_processing_time": stream_processing_time,
 }

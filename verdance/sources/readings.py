@@ -111,6 +111,6 @@ def on_arrival(readings: DataFrame) -> DataFrame:
     return readings.withColumn(TIME, F.current_timestamp())
 
 
-def parse_feed(messages: DataFrame) -> DataFrame:
+def parse_feed(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of the result feed."""
-    return _fields(messages, FEED, ())
+    return _fields(messages, FEED, keep)

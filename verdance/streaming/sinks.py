@@ -15,6 +15,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from verdance.sources.tables import DAY
 
+#: Takes a micro-batch and its number.
+Write = Callable[[DataFrame, int], None]
+
 #: How often to look whether a query has ended.
 POLL_SECONDS = 0.2
 
@@ -64,7 +67,7 @@ def table_writer(
 
 def batch_writer(
     windows: DataFrame,
-    write: Callable[[DataFrame, int], None],
+    write: Write,
     checkpoint: str,
     name: str,
     mode: str = "append",
