@@ -1,5 +1,6 @@
 """Golden cases of the column expressions."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from verdance.functions import labels
 from verdance.functions.alarm_rules import scored_reasons
 from verdance.functions.values import abs_diff, text, trimmed_mean
 from verdance.model import LABELS
-from verdance.plans import questions
+from verdance.plans import facts, questions
 
 
 @pytest.mark.parametrize(
@@ -152,27 +153,70 @@ def test_routing_q1_to_q3(spark):
     assert told[7]["answer_key"] == "gh_compare|大棚一|大棚二" and told[11]["answer_key"] is None
 
 
+WINDOWS = "greenhouse_id string, win_start timestamp, win_end timestamp, avg_temp double, avg_humidity double, avg_soil_humidity double, max_light double"
+
+
+def answered(spark, table, real=True, asked=None):
+    known = facts.known_names(spark)
+    asked = asked or [(i, q[0]) for i, q in enumerate(QUESTIONS)]
+    rows = questions.answer(spark.createDataFrame(asked, "q_id long, q string"), facts.facts(table, real, known)).collect()
+    assert len(rows) == len(asked)
+    return {r["q_id"]: r for r in rows}
+
+
 def test_answers_without_data(spark):
-    empty = spark.createDataFrame(
-        [], "greenhouse string, win_start timestamp, avg_temp double, avg_humidity double, avg_soil_humidity double, max_light double"
-    )
-    asked = spark.createDataFrame([(i, q[0]) for i, q in enumerate(QUESTIONS)], "q_id long, q string")
-    got = questions.answer(asked, questions.answers(empty)).collect()
-    assert len(got) == len(QUESTIONS)
-    assert {r["line"] for r in got if r["intent"] != "unknown"} == {"暂无数据"}
-    assert {r["line"] for r in got if r["intent"] == "unknown"} == {None}
+    got = answered(spark, spark.createDataFrame([], WINDOWS))
+    assert {r["answer"] for r in got.values() if r["intent"] == "unknown"} == {questions.HELP}
+    assert {r["answer"] for r in got.values() if r["intent"] in questions.LISTED} == {None}
+    for r in got.values():
+        if r["intent"] in ("gh_latest", "alarm_count"):
+            assert r["answer"] == f"{r['gh1'] or 'all greenhouses'}: no " + ("data" if r["intent"] == "gh_latest" else "hot window")
+        if r["intent"] == "gh_compare":
+            assert r["answer"] == f"{r['gh1']}: no data; {r['gh2']}: no data"
 
 
 def test_answers_name_greenhouses_without_windows(spark):
-    rows = [("大棚一", "2024-01-01 00:00:05", 25.0, 50.0, 40.0, 3000.0)]
-    t = spark.createDataFrame(
-        rows, "greenhouse string, win_start string, avg_temp double, avg_humidity double, avg_soil_humidity double, max_light double"
-    ).withColumn("win_start", F.col("win_start").cast("timestamp"))
-    got = {(r["intent"], r["gh1"], r["gh2"]): r["line"] for r in questions.answers(t).collect()}
-    assert got[("alarm_count", None, None)] == "所有大棚：0 次高温告警"
-    assert got[("alarm_count", "大棚一", None)] == "大棚一：0 次高温告警"
-    assert got[("alarm_count", "大棚三", None)] == "大棚三：0 次高温告警"
-    assert got[("gh_latest", "大棚一", None)].startswith("大棚一 最新窗口（2024-01-01 00:00:05）: 温度 25.0℃")
-    assert got[("gh_latest", "大棚三", None)] == "暂无数据"
-    assert got[("gh_compare", "大棚一", "大棚二")] == "暂无数据"
-    assert ("alarm_top", None, None) not in got
+    at = dt.datetime(2024, 1, 1, 0, 0, 5)
+    t = spark.createDataFrame([("gh_01", at, at, 25.0, 50.0, 40.0, 3000.0)], WINDOWS)
+    asked = [(0, "大棚一最近温度多少"), (1, "大棚三最近温度多少"), (2, "大棚一与大棚二"), (3, "大棚三有多少次告警"), (4, "有多少次告警"), (5, " "), (6, None)]
+    got = answered(spark, t, asked=asked)
+    assert got[0]["answer"] == "大棚一 at 2024-01-01 00:00:05: temperature 25.0, humidity 50.0, soil 40.0, light 3000"
+    assert got[1]["answer"] == "大棚三: no data"
+    assert got[2]["answer"] == "大棚一: temperature 25.0, humidity 50.0, light 3000; 大棚二: no data"
+    assert got[3]["answer"] == "大棚三: no hot window" and got[4]["answer"] == "all greenhouses: no hot window"
+    assert got[5]["error"] == got[6]["error"] == "empty question" and got[5]["answer"] is None
+
+
+def test_facts_of_many_greenhouses_with_odd_keys(spark):
+    """Thousands of keys; null, blank and unknown ones; a key whose metrics are all null."""
+    at = lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=5 * i)
+    rows = [(f"site_{g}", at(i), at(i + 1), 20.0 + g % 13 + i, 50.0, 40.0, 100.0 * g) for g in range(2500) for i in range(2)]
+    rows += [(k, at(9), at(10), 99.0, 1.0, 1.0, 1.0) for k in (None, "", "  ")]
+    rows += [(" GH_02 ", at(3), at(4), 31.0, None, None, None), ("dark", at(3), at(4), None, None, None, None)]
+    table = facts.facts(spark.createDataFrame(rows, WINDOWS), True, facts.known_names(spark))
+    got = {r["greenhouse"]: r for r in table.collect()}
+    assert len(got) == 2500 + 3 + 1 + 1  # sites, known names, dark, all
+    assert got["site_12"]["hot_n"] == 2 and got["site_12"]["mean_temp"] == 32.5 and got["site_12"]["last_start"] == at(1)
+    assert got["大棚二"]["hot_n"] == 1 and got["大棚二"]["last_avg_humidity"] is None and got["大棚一"]["windows"] == 0
+    assert got["dark"]["mean_temp"] is None and got["dark"]["windows"] == 1
+    assert got[None]["hot_n"] == 1 + sum(20.0 + g % 13 + i > 30 for g in range(2500) for i in range(2))
+    ranks = facts.rankings(table)
+    warm = [r["greenhouse"] for r in ranks.where("answer_key = 'gh_rank'").orderBy("sort_value", "greenhouse").collect() if r["temp"] is not None]
+    assert len(warm) == 2501 and got[warm[0]]["mean_temp"] == 32.5
+
+
+def test_facts_told_by_time(spark):
+    """No real keys: hot windows cannot be told apart, rankings go by label, known names in order."""
+    at = lambda i: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=5 * i)
+    rows = [(at(i), at(i + 1), t, 50.0, 40.0, 100.0) for i, t in ((0, 31.0), (0, 35.0), (1, 20.0), (3, 40.0))]
+    table = spark.createDataFrame(rows, WINDOWS.partition(", ")[2])
+    by_time = facts.facts(table, False, facts.known_names(spark))
+    got = {r["greenhouse"]: r for r in by_time.collect()}
+    assert {r["mode"] for r in got.values()} == {"synthetic"}
+    assert [got[g]["hot_n"] for g in ("大棚一", "大棚二", None)] == [3, 3, 3]
+    assert [got[g]["ranked_hot"] for g in ("大棚一", "大棚二", "大棚三")] == [3, 0, 0]
+    assert got["大棚一"]["mean_temp"] == round(106 / 3, 4) and got["大棚一"]["rank_temp"] == 36.5 and got["大棚三"]["rank_temp"] is None
+    ranks = facts.rankings(by_time).where("answer_key = 'gh_rank'").orderBy("sort_value").collect()
+    assert [r["greenhouse"] for r in ranks] == ["大棚一", "大棚二", "大棚三"]
+    told = answered(spark, table, False, [(0, "大棚三最近温度多少"), (1, "大棚一最近温度多少")])
+    assert told[0]["answer"] == "大棚三: no data" and told[1]["answer"].startswith("大棚一 at 2024-01-01 00:00:15: temperature 40.0")

@@ -72,6 +72,7 @@ def test_stored_tables_have_statistics_that_prune(spark, sf_dir, tmp_path):
 
 
 STORING = {"engine_align_one", "engine_diff", "compare_export", "compare_payload", "answers", "answer_questions"}
+STORING |= {"answers_synthetic", "answer_rankings", "answer_rankings_synthetic", "answer_questions_synthetic", "answer_records", "feed_consumed"}
 STORING |= {"alarm_at_window", "alarm_latest", "alarm_latest_one"}
 
 

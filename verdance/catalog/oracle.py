@@ -599,32 +599,67 @@ ASKED = {
 }
 
 
-def _counted(name: str) -> str:
-    return (
-        f"{name} || '：' || count(*) || ' 次高温告警，平均温度 ' || {fmt('avg(avg_temp)', 1)} || '℃，最高 ' || "
-        f"{fmt('max(avg_temp)', 1)} || '℃'"
-    )
+_NAMED = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{g}')" for i, g in enumerate(m.LABELS)) + ") AS n(ord, greenhouse)"
+_MEANS = {"temp": "avg_temp", "humidity": "avg_humidity", "light": "max_light"}
+
+
+def _fact_parts(source: str, greenhouse: str, real: bool) -> dict[str, str]:
+    """Facts by plain grouping: rows per greenhouse, means per start, newest row by ranking."""
+    hot = f"FROM {source} WHERE avg_temp > 30"
+    own = "own" if real else "every"
+    rank = "by_row" if real else "by_start"
+    means = lambda t, c: ", ".join(f"{rnd(f'avg({v})', 4)} AS {c}_{k}" for k, v in t.items())
+    return {
+        "shown": f"SELECT {greenhouse} AS greenhouse, * EXCLUDE (greenhouse_id) FROM {source}",
+        "own": "SELECT greenhouse, count(*) AS hot_n, avg(avg_temp) AS hot_mean, max(avg_temp) AS hot_max FROM shown WHERE avg_temp > 30 GROUP BY 1",
+        "every": f"SELECT g.greenhouse, t.* FROM (SELECT count(*) AS hot_n, avg(avg_temp) AS hot_mean, max(avg_temp) AS hot_max {hot}) t, "
+        "(SELECT DISTINCT greenhouse FROM shown) g",
+        "by_row": f"SELECT greenhouse, count(*) AS windows, max(win_start) AS last_start, {means(_MEANS, 'mean')} FROM shown GROUP BY 1",
+        "starts": "SELECT greenhouse, win_start, " + ", ".join(f"avg({v}) AS mean_{k}" for k, v in _MEANS.items()) + " FROM shown GROUP BY 1, 2",
+        "by_start": f"SELECT greenhouse, {means({k: f'mean_{k}' for k in _MEANS}, 'mean')} FROM starts GROUP BY 1",
+        "newest": f"SELECT * FROM shown QUALIFY row_number() OVER (PARTITION BY greenhouse ORDER BY win_start DESC, {', '.join(f'{x} DESC' for x in m.STATS)}) = 1",
+        "facts": f"""SELECT '{"real" if real else "synthetic"}' AS mode, greenhouse, ord, coalesce(by_row.windows, 0) AS windows, coalesce(h.hot_n, 0) AS hot_n,
+              {rnd("h.hot_mean", 4)} AS hot_mean, {rnd("h.hot_max", 4)} AS hot_max, coalesce(own.hot_n, 0) AS ranked_hot,
+              {", ".join(f"by_row.mean_{k}" for k in _MEANS)}, {", ".join(f"k.mean_{x} AS rank_{x}" for x in _MEANS)}, by_row.last_start,
+              {", ".join(f"{rnd(f'newest.{x}', 4)} AS last_{x}" for x in m.STATS)}
+            FROM by_row FULL JOIN ({_NAMED}) USING (greenhouse) LEFT JOIN {own} h USING (greenhouse) LEFT JOIN own USING (greenhouse)
+                 LEFT JOIN {rank} k USING (greenhouse) LEFT JOIN newest USING (greenhouse)
+            UNION ALL SELECT '{"real" if real else "synthetic"}', NULL, NULL, (SELECT count(*) FROM {source}), count(*), {rnd("avg(avg_temp)", 4)},
+              {rnd("max(avg_temp)", 4)}, count(*), NULL, NULL, NULL, NULL, NULL, NULL, (SELECT max(win_start) FROM {source}), NULL, NULL, NULL, NULL {hot}""",
+    }
 
 
 _G = label()
-LINES = f"""
-SELECT 'alarm_count' AS intent, {_G} AS gh1, NULL::varchar AS gh2, 0.0::double AS sort_value, {_counted(_G)} AS line
-FROM l WHERE avg_temp > 30 GROUP BY {_G}
-UNION ALL SELECT 'alarm_count', NULL, NULL, 0, {_counted("'所有大棚'")} FROM l WHERE avg_temp > 30
-UNION ALL SELECT 'alarm_top', NULL, NULL, -count(*), {_G} || '：' || count(*) || ' 次高温告警' FROM l WHERE avg_temp > 30 GROUP BY {_G}
-UNION ALL SELECT 'gh_rank', NULL, NULL, -{rnd("avg(avg_temp)", 4)}, {_G} || '（截止 ' || strftime(max(win_start), '%H:%M:%S') || '）: 均温 ' ||
-  {fmt("avg(avg_temp)", 1)} || '℃ · 均湿 ' || {fmt("avg(avg_humidity)", 1)} || '% · 光照 ' || {fmt("avg(max_light)", 0)} || ' lux' FROM l GROUP BY {_G}
-UNION ALL SELECT 'gh_latest', {_G}, NULL, 0, {_G} || ' 最新窗口（' || strftime(win_start, '%Y-%m-%d %H:%M:%S') || '）: 温度 ' || {fmt("avg_temp", 1)} ||
-  '℃ · 湿度 ' || {fmt("avg_humidity", 1)} || '% · 土壤湿度 ' || {fmt("avg_soil_humidity", 1)} || '% · 光照 ' || {fmt("max_light", 0)} || ' lux'
-  FROM (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY greenhouse_id ORDER BY win_start DESC) = 1)
-UNION ALL SELECT 'gh_compare', x.g, y.g, 0, x.g || CASE WHEN d > 0 THEN ' 高于 ' ELSE ' 低于 ' END || y.g || '，相差 ' || {fmt("abs(d)", 1)} || '℃'
-  FROM per x, per y, LATERAL (SELECT {rnd("x.t - y.t", 4)} AS d) WHERE x.k < y.k
-UNION ALL SELECT 'engine_diff', NULL, NULL, 0, 'Spark: ' || lw || ' 窗口 · ' || la || '；Flink: ' || rw || ' 窗口 · ' || ra || '；对齐窗口: ' ||
-  (SELECT count(*) FROM pairs) || '；平均温度偏差: ' || (SELECT {fmt("avg(diff_temp)", 2)} FROM pairs) || '℃'
-  FROM (SELECT count(DISTINCT win_start) AS lw, CASE WHEN {ALIVE} THEN '运行中' ELSE '离线' END AS la FROM l),
-       (SELECT count(DISTINCT win_start) AS rw, CASE WHEN {ALIVE} THEN '运行中' ELSE '离线' END AS ra FROM r)
-UNION ALL SELECT 'alarm_reason', NULL, NULL, 0, string_agg(CASE WHEN rank = 1 THEN greenhouse || ' 主因：' || reason || '（置信度 ' || score || '%）；' || detail
-  ELSE '次要：' || reason || '（' || score || '%）' END, '；' ORDER BY rank) FROM ranked"""
+FACTS, FACTS_BY_TIME = _fact_parts("l", _G, True), _fact_parts("l", synth("win_start"), False)
+
+RANKINGS = """SELECT 'alarm_top' AS answer_key, greenhouse, -ranked_hot::double AS sort_value, ranked_hot AS n, NULL::double AS temp,
+       NULL::double AS humidity, NULL::double AS light, NULL::timestamp AS last_start FROM facts WHERE greenhouse IS NOT NULL AND ranked_hot > 0
+UNION ALL SELECT 'gh_rank', greenhouse, CASE WHEN mode = 'real' THEN -rank_temp ELSE ord END, windows, rank_temp, rank_humidity, rank_light, last_start
+FROM facts WHERE greenhouse IS NOT NULL AND (mode = 'synthetic' OR windows > 0)"""
+
+_HELP = "ask for the newest window of a greenhouse, two greenhouses, hot windows, rankings, the engines or a cause"
+_ENGINES = f"""(SELECT 'left ' || lw || ' windows (' || la || '), right ' || rw || ' windows (' || ra || '), ' || (SELECT count(*) FROM pairs) ||
+  ' pairs, mean difference ' || (SELECT {fmt("avg(diff_temp)", 2)} FROM pairs)
+  FROM (SELECT count(DISTINCT win_start) AS lw, CASE WHEN {ALIVE} THEN 'up' ELSE 'down' END AS la FROM l),
+       (SELECT count(DISTINCT win_start) AS rw, CASE WHEN {ALIVE} THEN 'up' ELSE 'down' END AS ra FROM r))"""
+_CAUSE = f"""(SELECT string_agg(CASE WHEN rank = 1 THEN greenhouse || ' at ' || {fmt("avg_temp", 1)} || ': ' ELSE '' END || reason || ' ' || score || '%' ||
+  CASE WHEN rank = 1 THEN ', ' || detail ELSE '' END, '; ' ORDER BY rank) FROM ranked WHERE rank <= 3)"""
+
+
+def _answer_sql(engines: str, cause: str) -> str:
+    env = lambda g, t: f"""coalesce({g} || ': temperature ' || {fmt(f"{t}.mean_temp", 1)} || ', humidity ' || {fmt(f"{t}.mean_humidity", 1)} ||
+      ', light ' || {fmt(f"{t}.mean_light", 0)}, {g} || ': no data')"""
+    return f"""SELECT q_id, q, intent, gh1, gh2, (SELECT max(mode) FROM facts) AS mode,
+      CASE WHEN intent IN ('alarm_top', 'gh_rank') THEN intent END AS answer_key,
+      CASE intent
+        WHEN 'alarm_count' THEN coalesce(gh1, 'all greenhouses') || CASE WHEN a.hot_n > 0 THEN ': ' || a.hot_n || ' hot windows, mean ' ||
+          {fmt("a.hot_mean", 1)} || ', highest ' || {fmt("a.hot_max", 1)} ELSE ': no hot window' END
+        WHEN 'gh_latest' THEN coalesce(gh1 || ' at ' || strftime(a.last_start, '%Y-%m-%d %H:%M:%S') || ': temperature ' || {fmt("a.last_avg_temp", 1)} ||
+          ', humidity ' || {fmt("a.last_avg_humidity", 1)} || ', soil ' || {fmt("a.last_avg_soil_humidity", 1)} || ', light ' || {fmt("a.last_max_light", 0)}, gh1 || ': no data')
+        WHEN 'gh_compare' THEN concat_ws('; ', {env("gh1", "a")}, {env("gh2", "b")}, 'difference ' || {fmt("a.mean_temp - b.mean_temp", 1)})
+        WHEN 'engine_diff' THEN {engines} WHEN 'alarm_reason' THEN {cause} WHEN 'unknown' THEN '{_HELP}' END AS answer,
+      CASE WHEN intent = 'empty' THEN 'empty question' END AS error
+    FROM routed LEFT JOIN facts a ON a.greenhouse IS NOT DISTINCT FROM gh1 LEFT JOIN facts b ON b.greenhouse = gh2"""
 
 
 def _asked(body: str, **more: str) -> str:
@@ -649,10 +684,8 @@ _PAIRS = {("pairs" if k == "pairs" else f"e_{k}"): _renamed(v) for k, v in align
 
 ANSWERS = _PAIRS | _history("c", "r") | _reasons() | {
     "alarm": _latest(),
-    "per": f"SELECT greenhouse_id AS k, {_G} AS g, {rnd('avg(avg_temp)', 4)} AS t FROM l GROUP BY ALL",
-    "lines": LINES,
 }
-_ORDER = ("e_a", "e_b", "e_ra", "e_rb", "pairs", "p", "b", "sided", "seen", "h", "alarm", "hits", "scored", "ranked", "per", "lines")
+_ORDER = ("e_a", "e_b", "e_ra", "e_rb", "pairs", "p", "b", "sided", "seen", "h", "alarm", "hits", "scored", "ranked")
 ANSWERS = {k: ANSWERS[k] for k in _ORDER}
 
 RECORDS = """SELECT *, CASE WHEN intent NOT IN ('unknown', 'empty') THEN concat_ws('|', intent, gh1, gh2) END AS answer_key,
@@ -668,11 +701,17 @@ _RECORD = _object(*[(c, _escaped(c), True) for c in ("q_id", "q", "intent", "gh1
 QUESTIONS = {
     "route_questions": _asked("SELECT * FROM routed"),
     "question_records": _asked(f"SELECT *, {_RECORD} AS record FROM records", records=RECORDS),
-    "answers": q("SELECT * FROM lines", **ANSWERS),
-    "answer_questions": _asked(
-        """SELECT routed.q_id, routed.intent, routed.gh1, routed.gh2, lines.sort_value, lines.line FROM routed LEFT JOIN lines
-ON routed.intent = lines.intent AND routed.gh1 IS NOT DISTINCT FROM lines.gh1 AND routed.gh2 IS NOT DISTINCT FROM lines.gh2""",
+    "answers": q("SELECT * FROM facts", **FACTS),
+    "answers_synthetic": q("SELECT * FROM facts", **FACTS_BY_TIME),
+    "answer_rankings": q(RANKINGS, **FACTS),
+    "answer_rankings_synthetic": q(RANKINGS, **FACTS_BY_TIME),
+    "answer_questions": _asked(f"SELECT * EXCLUDE (q) FROM ({_answer_sql(_ENGINES, _CAUSE)})", **ANSWERS, **FACTS),
+    "answer_questions_synthetic": _asked(f"""SELECT * EXCLUDE (q) FROM ({_answer_sql("'no data'", "'no hot window'")})""", **FACTS_BY_TIME),
+    "answer_records": _asked(
+        f"SELECT q_id, {_object(*[(c, _escaped(c), True) for c in ('q_id', 'q', 'intent', 'mode', 'answer_key', 'answer', 'error')])} AS record "
+        f"FROM ({_answer_sql(_ENGINES, _CAUSE)})",
         **ANSWERS,
+        **FACTS,
     ),
 }
 

@@ -14,7 +14,7 @@ from verdance.model import FEED_METRICS, METRICS, SHORT, STATS
 from verdance.operators import tables, windowing
 from verdance.operators.align import align, audit_join
 from verdance.operators.priority import keyed_source, priority_source
-from verdance.plans import alarms, compare, questions, reports
+from verdance.plans import alarms, compare, facts, questions, reports
 from verdance.sources import readings as src
 from verdance.streaming import keyed, replay, sinks
 from verdance.session import run_dir, streaming_session
@@ -367,21 +367,53 @@ def question_records(spark, sf):
     return questions.records(fr.questions(spark, sf))
 
 
-def _answers(spark, sf):
-    l, r = _stored_pair(spark, sf)
-    named = fr.labelled(l)
-    diff = compare.engine_diff(named, fr.labelled(r), fr.as_of(spark, sf), alive_seconds=fr.ALIVE_SECONDS)
+def _facts(spark, left, right):
+    """Facts of whichever of two stored tables has real keys, else of the first, by time."""
+    rows, real = keyed_source(left, right)
+    return facts.facts(rows, real, facts.known_names(spark), window_seconds=fr.HOUR)
+
+
+def _keyless(spark, sf):
+    """Two tables without real keys: one without the column, one with a single value in it."""
+    left = fr.stored(fr.left(spark, sf), "keyless").drop("greenhouse_id")
+    return left, fr.stored(fr.right(spark, sf).withColumn("greenhouse_id", F.lit("gh_01")), "single")
+
+
+def _answered(spark, sf, left, right):
+    named = [compare.load_windows(t, w, window_seconds=fr.HOUR) for t, w in ((left, True), (right, True))]
+    diff = compare.engine_diff(*named, fr.as_of(spark, sf), alive_seconds=fr.ALIVE_SECONDS)
     gappy = fr.stored(fr.gappy(spark, sf), "gappy")
-    newest = alarms.latest_alarm(gappy, r, fr.ALARM, fr.HOUR)
-    return questions.answers(named, diff, newest)
+    newest = alarms.latest_alarm(gappy, right, fr.ALARM, fr.HOUR)
+    return questions.answer(fr.questions(spark, sf), _facts(spark, left, right), diff, newest)
 
 
 def answers(spark, sf):
-    return _answers(spark, sf)
+    return _facts(spark, *_stored_pair(spark, sf))
+
+
+def answers_synthetic(spark, sf):
+    return _facts(spark, *_keyless(spark, sf))
+
+
+def answer_rankings(spark, sf):
+    return facts.rankings(_facts(spark, *_stored_pair(spark, sf)))
+
+
+def answer_rankings_synthetic(spark, sf):
+    return facts.rankings(_facts(spark, *_keyless(spark, sf)))
 
 
 def answer_questions(spark, sf):
-    return questions.answer(fr.questions(spark, sf), _answers(spark, sf)).drop("q")
+    return _answered(spark, sf, *_stored_pair(spark, sf)).drop("q")
+
+
+def answer_questions_synthetic(spark, sf):
+    """Nothing but facts told by time."""
+    return questions.answer(fr.questions(spark, sf), _facts(spark, *_keyless(spark, sf))).drop("q")
+
+
+def answer_records(spark, sf):
+    return questions.answer_records(_answered(spark, sf, *_stored_pair(spark, sf)))
 
 
 # ---------------------------------------------------------------- streams
@@ -566,7 +598,12 @@ QUERIES: dict[str, Query] = {
     "route_questions": route_questions,
     "question_records": question_records,
     "answers": answers,
+    "answers_synthetic": answers_synthetic,
+    "answer_rankings": answer_rankings,
+    "answer_rankings_synthetic": answer_rankings_synthetic,
     "answer_questions": answer_questions,
+    "answer_questions_synthetic": answer_questions_synthetic,
+    "answer_records": answer_records,
     "stream_tumbling_avg_max": stream_tumbling_avg_max,
     "stream_tumbling_trimmed": stream_tumbling_trimmed,
     "stream_sliding_avg": stream_sliding_avg,

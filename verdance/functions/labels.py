@@ -41,12 +41,18 @@ def synthetic(win_start: Column, window_seconds: int = 5) -> Column:
 def synthetic_text(text: Column, window_seconds: int = 5) -> Column:
     """The same for a timestamp held as text; text without a time of day
     falls back to the sum of its code points."""
-    tail = r"(\d{1,2}):(\d{2}):(\d{2})\s*$"
+    parts = F.split(F.rtrim(text), ":")
 
-    def part(i: int) -> Column:
-        return F.regexp_extract(text, tail, i).try_cast("int")
+    def number(c: Column) -> Column:
+        return F.when(F.translate(c, "0123456789", "") == "", c.try_cast("int"))
 
-    second = part(1) * 3600 + part(2) * 60 + part(3)
+    def two(place: int) -> Column:
+        part = F.try_element_at(parts, F.lit(place))
+        return F.when(F.length(part) == 2, number(part))
+
+    before = F.try_element_at(parts, F.lit(-3))
+    hours = F.coalesce(number(F.right(before, F.lit(2))), number(F.right(before, F.lit(1))))
+    second = hours * 3600 + two(-2) * 60 + two(-1)
     points = F.aggregate(
         F.transform(F.split(text, ""), F.ascii), F.lit(0).cast("long"), lambda acc, x: acc + x
     )
