@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -316,6 +317,58 @@ def test_given_window_equals_history(spark):
         assert list(map(str, one)) == [str(w) for w in want if w["greenhouse"] == A]
 
 
+def rows_taken(monkeypatch, run):
+    """How many rows of the window tables the searches look at."""
+    taken, real = [], alarms._of
+    monkeypatch.setattr(alarms, "_of", lambda t, *rest: (taken.append(t.count()), real(t, *rest))[1])
+    out = run()
+    monkeypatch.setattr(alarms, "_of", real)
+    return sum(taken), out
+
+
+def test_alarm_searches_do_not_read_all_history(spark, monkeypatch):
+    """Ten times the history: the same rows are read, and the same alarm is found."""
+    spec = AlarmSpec(lookback_seconds=60, bucket_seconds=200)
+    seen = []
+    for n in (200, 2000):
+        rows = [(k, i, 31.0 if i == n - 7 else 25.0) for k in ("gh_01", "gh_02") for i in range(n)]
+        first, second = windows(spark, *rows), windows(spark, *rows[::2])
+        given, at_start = rows_taken(monkeypatch, lambda f=first, s=second, n=n: alarms.alarms_at(f, s, F.lit(at(n - 7)), spec).collect())
+        newest, found = rows_taken(monkeypatch, lambda f=first, s=second: alarms.latest_alarm(f, s, spec).collect())
+        assert [(r["greenhouse"], r["win_start"]) for r in found] == [(A, at(n - 7))]
+        assert sorted((r["greenhouse"], r["prev"]["win_start"]) for r in at_start) == sorted((g, at(n - 8)) for g in (A, B))
+        seen.append((given, newest))
+    assert seen[0] == seen[1]
+
+
+def test_alarm_search_goes_back_as_far_as_it_must(spark):
+    """The previous window lies many slices back, for one greenhouse there is none, and a backup
+    that is searched though the primary has windows but no hot one."""
+    spec = AlarmSpec(lookback_seconds=60, bucket_seconds=100)
+    first = windows(spark, ("gh_01", 0, 20.0), ("gh_01", 3000, 31.0), ("gh_02", 3000, 33.0), ("gh_03", 2999, 25.0))
+    got = {r["greenhouse"]: r["prev"] and r["prev"]["win_start"] for r in alarms.alarms_at(first, None, F.lit(at(3000)), spec).collect()}
+    assert got == {A: at(0), B: None}
+    want = alarms.alarms(alarms.history(first, None, spec), spec).where(F.col("win_start") == at(3000)).collect()
+    assert {r["greenhouse"]: r["recent_hot"] for r in want} == {A: 1, B: 1}
+    cool, old = first.where("avg_temp < 30"), windows(spark, ("gh_01", 1, 35.0), ("gh_01", 2900, 20.0))
+    assert [(r["win_start"], r["prev"]["win_start"]) for r in alarms.latest_alarm(cool, old, spec).collect()] == [(at(1), at(0))]
+
+
+def test_label_filter_reaches_the_scan(spark, tmp_path):
+    """L2: odd spellings and rows without key are kept; keys of others are told by the files."""
+    keys = ("gh_01", "GH_01 ", "1", "大棚一", None, "", " ", "gh_02", "gh_03", "gh_99", " gh_99")
+    rows = windows(spark, *[(k, i, 31.0) for i, k in enumerate(keys)])
+    rows.write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    for name in (A, B, C, "gh_99", "nobody"):
+        kept = alarms._of(stored, name, 5)
+        named = alarms._named(stored, 5).where(F.col("greenhouse") == name)
+        assert sorted(map(str, kept.collect())) == sorted(map(str, named.collect()))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan).group(1)
+        assert ("Not(In(greenhouse_id" if name in (A, B, C) else f"StringContains(greenhouse_id,{name})") in pushed
+
+
 def test_alarm_spec_needs_room():
     with pytest.raises(ValueError):
         AlarmSpec(lookback_seconds=60, bucket_seconds=30)

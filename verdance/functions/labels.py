@@ -68,3 +68,13 @@ def label(key: Column, win_start: Column, window_seconds: int = 5) -> Column:
 def key_of(label_col: Column) -> Column:
     """label back to key; unknown labels unchanged."""
     return F.coalesce(_lookup(label_col, KEY_OF_LABEL), label_col)
+
+
+def may_be(key: Column, name: str) -> Column:
+    """L2: a condition that every row labelled ``name`` fulfils and that file statistics and
+    dictionaries can judge: not the usual spelling of another greenhouse's key, or for a name
+    that is no known label a key that contains it. The exact label is for a filter behind it."""
+    if name in LABELS:
+        others = [k for k, v in LABEL_OF_KEY.items() if v != name]
+        return key.isNull() | ~key.isin(*others)
+    return F.contains(key, F.lit(name))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdance.functions.alarm_rules import scored_reasons
-from verdance.functions.labels import label
+from verdance.functions.labels import label, may_be
 from verdance.functions.values import time_text
 from verdance.model import STATS, AlarmSpec
 from verdance.operators.align import SIDES, paired
@@ -67,29 +70,70 @@ def alarms(rows: DataFrame, spec: AlarmSpec = AlarmSpec()) -> DataFrame:
     return _attributed(rows, F.coalesce(*_sides(rows)), spec)
 
 
+def _of(table: DataFrame, greenhouse: str | None, window_seconds: int) -> DataFrame:
+    """The table with labels, of one greenhouse if named: what can be told from the key reaches
+    the scan, the label is computed for the rest."""
+    if greenhouse is None:
+        return _named(table, window_seconds)
+    t = with_key_column(table)
+    t = t.where(may_be(F.col("greenhouse_id"), greenhouse)) if "greenhouse_id" in table.columns else t
+    return _named(t, window_seconds).where(F.col("greenhouse") == greenhouse)
+
+
+def _time(micros: int) -> Column:
+    return F.timestamp_micros(F.lit(micros))
+
+
+def _before(table: DataFrame, start: int, spec: AlarmSpec) -> Iterator[DataFrame]:
+    """The windows before ``start`` (microseconds) in slices that reach twice as far back each
+    time, until nothing older is left. Only the slice is read, and one older row."""
+    back = spec.bucket_seconds * 1_000_000
+    at = F.col("win_start")
+    while True:
+        yield table.where((at >= _time(start - back)) & (at < _time(start)))
+        if table.where(at < _time(start - back)).select("win_start").isEmpty():
+            return
+        back *= 2
+
+
+def _near(
+    table: DataFrame, start: int, needed: DataFrame, spec: AlarmSpec, window_seconds: int, greenhouse: str | None
+) -> DataFrame:
+    """The rows that attributing the windows at ``start`` takes: those of the look-back, and the
+    previous window of each greenhouse in ``needed``. How far back that is, a search finds from the
+    key and start columns, slice by slice until every greenhouse has one; older rows are not read."""
+    at = F.col("win_start")
+    recent = start - spec.lookback_seconds * 1_000_000
+    lowest, lasts = recent, None
+    for slice_ in _before(table, start, spec):
+        lasts = _of(slice_, greenhouse, window_seconds).groupBy("greenhouse").agg(F.max(at).alias("last"))
+        met = needed.join(lasts, "greenhouse", "left")
+        found = met.agg(F.count_if(F.col("last").isNull()).alias("missing"), F.unix_micros(F.min("last")).alias("lowest")).first()
+        lowest = recent if found["lowest"] is None else min(recent, found["lowest"])
+        if not found["missing"]:
+            break
+    rows = _of(table.where((at >= _time(lowest)) & (at <= _time(start))), greenhouse, window_seconds)
+    if lowest == recent:
+        return rows
+    # some previous windows lie before the look-back: of those times these rows only
+    kept = rows.join(lasts, "greenhouse", "left").where((at >= _time(recent)) | (at == F.col("last")))
+    return kept.select(*rows.columns)
+
+
 def _at(
     primary: DataFrame,
     backup: DataFrame | None,
-    start: Column,
+    start: int,
     spec: AlarmSpec,
     window_seconds: int,
-    greenhouse: str | Column | None,
+    greenhouse: str | None,
 ) -> DataFrame:
-    """Windows that start at one time, with their look-back. Of one greenhouse only the
-    rows from its previous window on are read in full; that start is found first, from
-    the key and start columns."""
-    at, recent = F.col("win_start"), start - F.make_interval(secs=F.lit(spec.lookback_seconds))
-
-    def near(table: DataFrame) -> DataFrame:
-        t = _named(table.where(at <= start), window_seconds)
-        if greenhouse is None:
-            return t
-        t = t.where(F.col("greenhouse") == greenhouse)
-        previous = t.where(at < start).agg(F.max(at)).scalar()
-        return t.where(at >= F.least(previous, recent))
-
-    rows = paired(near(primary), None if backup is None else near(backup))
-    return at_window(rows, start, spec, _sides(rows))
+    """Windows that start at one time (microseconds), with their look-back."""
+    both = [primary] if backup is None else [primary, backup]
+    here = [_of(t.where(F.col("win_start") == _time(start)), greenhouse, window_seconds).select("greenhouse") for t in both]
+    needed = reduce(DataFrame.unionByName, here).distinct()
+    rows = paired(*[_near(t, start, needed, spec, window_seconds, greenhouse) for t in both])
+    return at_window(rows, _time(start), spec, _sides(rows))
 
 
 def alarms_at(
@@ -101,9 +145,28 @@ def alarms_at(
     greenhouse: str | None = None,
 ) -> DataFrame:
     """Given-window mode (L4): attribution of the hot windows that start at one time,
-    in all greenhouses or one."""
-    start = F.lit(win_start).cast("timestamp") if isinstance(win_start, str) else win_start
-    return alarms(_at(primary, backup, start, spec, window_seconds, greenhouse), spec)
+    in all greenhouses or one. Looks for the previous windows when it is called."""
+    start = F.lit(win_start) if isinstance(win_start, str) else win_start
+    micros = primary.sparkSession.range(1).select(F.unix_micros(start.cast("timestamp"))).first()[0]
+    if micros is None:  # no such time: no window
+        primary, micros = primary.where("false"), 0
+        backup = None if backup is None else backup.where("false")
+    return alarms(_at(primary, backup, micros, spec, window_seconds, greenhouse), spec)
+
+
+def _newest_hot(table: DataFrame, spec: AlarmSpec, window_seconds: int, greenhouse: str | None) -> tuple[int, str] | None:
+    """Start (microseconds) and greenhouse of the newest hot window: the newest start is found from
+    one column, then slices are read from there back until one has a hot window."""
+    last = table.agg(F.unix_micros(F.max("win_start"))).first()[0]
+    if last is None:
+        return None
+    for slice_ in _before(table, last + 1, spec):
+        windows = _of(slice_, greenhouse, window_seconds).groupBy("greenhouse", "win_start").agg(F.avg("avg_temp").alias("t"))
+        newest = windows.where(F.col("t") > spec.hot_above).orderBy(F.desc("win_start"), "greenhouse")
+        found = newest.select(F.unix_micros("win_start").alias("at"), "greenhouse").first()
+        if found is not None:
+            return found["at"], found["greenhouse"]
+    return None
 
 
 def latest_alarm(
@@ -113,22 +176,17 @@ def latest_alarm(
     window_seconds: int = 5,
     greenhouse: str | None = None,
 ) -> DataFrame:
-    """The newest hot window (T1), of one greenhouse if named: from the primary table,
-    or from the backup if the primary has no hot window at all (J6). That choice is
-    the leading sort key of a top-1; the history is then read for that greenhouse only."""
-
-    def hot(table: DataFrame, source: int) -> DataFrame:
-        t = _named(table, window_seconds)
-        t = t if greenhouse is None else t.where(F.col("greenhouse") == greenhouse)
-        windows = t.groupBy("greenhouse", "win_start").agg(F.avg("avg_temp").alias("avg_temp"))
-        return windows.where(F.col("avg_temp") > spec.hot_above).withColumn("source", F.lit(source))
-
-    found = hot(primary, 1) if backup is None else hot(primary, 1).unionByName(hot(backup, 2))
-    newest = found.orderBy("source", F.desc("win_start"), "greenhouse").limit(1)
-    pick = newest.select(F.struct("source", "win_start", "greenhouse").alias("pick")).scalar()
-    rows = _at(primary, backup, pick["win_start"], spec, window_seconds, pick["greenhouse"])
-    window = F.element_at(F.array(*_sides(rows)), pick["source"])
-    return _attributed(rows, window, spec)
+    """The newest hot window (T1), of one greenhouse if named: from the primary table, or from the
+    backup if the primary has no hot window at all (J6); the backup is searched only then. The
+    search runs when this is called."""
+    found, source = _newest_hot(primary, spec, window_seconds, greenhouse), 0
+    if found is None and backup is not None:
+        found, source = _newest_hot(backup, spec, window_seconds, greenhouse), 1
+    if found is None:
+        none = _at(primary.where("false"), None if backup is None else backup.where("false"), 0, spec, window_seconds, greenhouse)
+        return alarms(none, spec)
+    rows = _at(primary, backup, found[0], spec, window_seconds, found[1])
+    return _attributed(rows, F.col(_sides(rows)[source]), spec)
 
 
 def reason_rows(attributed: DataFrame) -> DataFrame:
