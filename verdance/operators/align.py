@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdance.functions.values import abs_diff
@@ -62,33 +62,22 @@ def _unkeyed_pairs(rows: DataFrame) -> DataFrame:
     unmatched window of the same start and the largest label on the other.
 
     A side has at most one window without greenhouse per start (``paired`` merged its
-    repeats), and where both sides have one they matched each other. So each start
-    yields at most one such pair, found as a maximum: no ranking, no group in one task.
+    repeats), and where both sides have one they matched each other. So a start has at
+    most one such row, and only the starts that have one are looked at: their windows of
+    the other side meet it and the largest label stays.
     """
     left, right, name = F.col("left"), F.col("right"), F.col("greenhouse")
-
-    def largest(side: str) -> Column:
-        return F.max(F.when(name.isNotNull() & F.col(side).isNotNull(), F.struct(name, F.col(side).alias("window"))))
-
-    per_start = (
-        rows.where(left.isNull() | right.isNull())
-        .groupBy("win_start")
-        .agg(
-            F.max(F.when(name.isNull(), left)).alias("null_left"),
-            F.max(F.when(name.isNull(), right)).alias("null_right"),
-            largest("left").alias("best_left"),
-            largest("right").alias("best_right"),
-        )
-    )
-    by_left = F.col("null_left").isNotNull() & F.col("best_right").isNotNull()
-    by_right = F.col("null_right").isNotNull() & F.col("best_left").isNotNull()
-    best = F.when(by_left, F.col("best_right")).otherwise(F.col("best_left"))
-    matched = per_start.where(by_left | by_right).select(
-        best["greenhouse"].alias("greenhouse"),
+    lone = rows.where(left.isNull() | right.isNull())
+    unnamed = lone.where(name.isNull()).select("win_start", left.alias("null_left"), right.alias("null_right"))
+    other = F.when(F.col("null_left").isNotNull(), right).otherwise(left)
+    met = lone.where(name.isNotNull()).join(unnamed, "win_start").where(other.isNotNull())
+    largest = Window.partitionBy("win_start").orderBy(F.desc("greenhouse"))
+    matched = met.withColumn("_place", F.row_number().over(largest)).where("_place = 1").select(
+        "greenhouse",
         "win_start",
-        F.when(by_left, F.col("null_left")).otherwise(F.col("best_left.window")).alias("left"),
-        F.when(by_left, F.col("best_right.window")).otherwise(F.col("null_right")).alias("right"),
-        F.when(by_left, 2).otherwise(3).alias("step"),
+        F.coalesce("null_left", "left").alias("left"),
+        F.coalesce("null_right", "right").alias("right"),
+        F.when(F.col("null_left").isNotNull(), 2).otherwise(3).alias("step"),
     )
     return _pairs(matched, F.col("step"))
 

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdance.functions import labels
@@ -104,12 +104,16 @@ def gh_rank_synthetic(
 
 
 def gh_latest(windows: DataFrame, greenhouse: str | None = None) -> DataFrame:
-    """V3: newest window of each greenhouse, or of one. ``windows`` is labelled, by
-    key or by time. Keeps one row per greenhouse while scanning."""
+    """V3: newest window of each greenhouse, or of one; of repeats the one with the largest
+    values. ``windows`` is labelled, by key or by time. The newest starts are found first, in
+    fixed-width buffers; only rows of these starts are ranked."""
     if greenhouse is not None:
         windows = windows.where(F.col("greenhouse") == greenhouse)
-    newest = F.max(F.struct("win_start", *STATS)).alias("w")
-    return windows.where(F.col("greenhouse").isNotNull()).groupBy("greenhouse").agg(newest).select("greenhouse", "w.*")
+    rows = windows.where(F.col("greenhouse").isNotNull()).select("greenhouse", "win_start", *STATS)
+    last = rows.groupBy("greenhouse").agg(F.max("win_start").alias("win_start"))
+    largest = Window.partitionBy("greenhouse").orderBy(*[F.desc(s) for s in STATS])
+    newest = rows.join(last, ["greenhouse", "win_start"]).withColumn("_place", F.row_number().over(largest))
+    return newest.where("_place = 1").drop("_place")
 
 
 def gh_means(windows: DataFrame, names: tuple[str, ...] = LABELS, last_n: int | None = None, digits: int = 4) -> DataFrame:
