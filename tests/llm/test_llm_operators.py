@@ -200,9 +200,10 @@ def near_rows():
     return [(i, t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("crowded", [64, 2])
-def test_near_duplicates(spark, docs, monkeypatch, crowded):
-    monkeypatch.setattr(nearcopies, "CROWDED", crowded)
+@pytest.mark.parametrize("most, block", [(nearcopies.PICKED_MOST, nearcopies.BLOCK), (0, 4)])
+def test_near_duplicates(spark, docs, monkeypatch, most, block):
+    monkeypatch.setattr(nearcopies, "PICKED_MOST", most)
+    monkeypatch.setattr(nearcopies, "BLOCK", block)
     table = docs.unionByName(documents(spark, [(1000 + i, t) for i, t in near_rows()]))
     every = table.collect()
     comps = linked([shingles(r["text"], 2) for r in every])

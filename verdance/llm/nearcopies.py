@@ -13,18 +13,20 @@ No bucket is turned into all its pairs:
   that looks most alike. A bucket's center is its member that shares most buckets with others:
   of the copies of a text that is the text itself, which is nearer to each of them than they
   are to each other, so a large group is tied together in one step;
-- after that a bucket is only looked at where it holds several components: each member is
-  compared with one member of each other component. Where two components have several members
-  there, this repeats with other members until a round finds no link any more, then with about
-  FEW members of each component, and at last with all: the rounds end when every pair of members
-  of different components that may reach the threshold has been compared. Elsewhere all has
-  been compared at once;
-- who looks alike is told from 128 bits, one per register, that travel with the bucket keys: of
-  two texts at the threshold 13 differ, and 31 or more in one of two million cases. A pair that
-  differs in more never leaves the join that would make it;
-- a bucket that still holds more than CROWDED components (texts that share a passage, but are
-  no copies) is split by asking for a second equal band. A pair at the threshold that shares
-  one band shares no other in 5 of a million cases.
+- after that a bucket is only looked at where it holds several components. Of the members of such
+  buckets the sets are read once, to count the shingles that no other of them has (counted within
+  groups of members that buckets tie together). What is left bounds any intersection: a member that
+  cannot reach the threshold with the smallest set of its bucket leaves it, and a pair that cannot
+  reach it never leaves the join that would make it. For copies that each changed other words this
+  bound is the similarity to the text they come from, so members of a dense group that lie below
+  the threshold make no pairs, and texts that only share a passage leave at once;
+- each member left is compared with one member of each other component. Where two components have
+  several members in a bucket, this repeats with other members until a round finds no link any
+  more, then with about FEW members of each component, and at last with all: the rounds end when
+  every pair of members of different components that may reach the threshold has been compared.
+  Elsewhere all has been compared at once;
+- who looks alike is also told from 128 bits, one per register, that travel with the bucket keys:
+  of two texts at the threshold 13 differ, and 31 or more in one of two million cases.
 
 With 32 bands of 5 a pair at 0.8 shares no band in 3 of a million cases; below 0.8 nothing is
 linked, because links are confirmed on the sets.
@@ -54,11 +56,12 @@ REGISTERS = BANDS * ROWS
 MANTISSA = 10
 #: How far below the threshold an estimate may lie: five standard deviations at 0.8.
 MARGIN = 0.16
-CROWDED = 64
 #: Members of a component that are compared in the rounds before the last.
 FEW = 16
 #: Members of a bucket that meet the others in one piece of work.
-BLOCK = 256
+BLOCK = 4096
+#: Row numbers that may be broadcast to pick texts by (two longs each); more are shuffled.
+PICKED_MOST = 1_000_000
 #: Registers that give a bit each, and the bits that may differ: mean and five deviations at 0.8.
 BITS, DIFFERING = 128, 30
 #: Words whose hashes a task remembers.
@@ -196,6 +199,18 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(found, pa.list_(pa.int64()))], names=["rid", "hashes"])
 
 
+def _marked(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Each shingle of each text, mixed with the text's group, and the text."""
+    sets = Shingles(size)
+    for batch in batches:
+        for text, rid, group in zip(*[batch.column(c).to_pylist() for c in ("_text", "rid", "g")], strict=True):
+            h = sets(text)
+            seed = _mixed(np.array([group], np.int64).view(np.uint64))
+            for at in range(0, len(h), 65_536):
+                part = _mixed(h[at : at + 65_536] ^ seed).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), rid, np.int64))], names=["h", "rid"])
+
+
 class NearCopies:
     """One run over ``docs``. ``rows`` are the stored rows with _rid, _n and _digest."""
 
@@ -226,8 +241,8 @@ class NearCopies:
         likely = stored(
             sized.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(lambda it: _likely(it, least), "a long, b long"), "likely"
         )
-        wanted = likely.select(F.explode(F.array("a", "b")).alias("_rid")).distinct()
-        texts = self.rows.select("_rid", "_text").join(wanted, "_rid", "left_semi").select(F.col("_rid").alias("rid"), "_text")
+        wanted = stored(likely.select(F.explode(F.array("a", "b")).alias("_rid")).distinct(), "wanted")
+        texts = self._picked(wanted).select(F.col("_rid").alias("rid"), "_text")
         sets = stored(texts.mapInArrow(lambda it: _sets(it, size), "rid long, hashes array<long>"), "sets")
         both = likely.join(sets.select(F.col("rid").alias("a"), F.col("hashes").alias("ha")), "a").join(
             sets.select(F.col("rid").alias("b"), F.col("hashes").alias("hb")), "b"
@@ -239,9 +254,15 @@ class NearCopies:
             .select("a", "b"),
             "links",
         )
-        forget(likely, sets)
+        forget(likely, sets, wanted)
         return found
 
+    def _picked(self, wanted: DataFrame) -> DataFrame:
+        """The texts of stored row numbers, with what columns these have. The texts stay where they
+        are as long as the numbers are few enough to be sent to them."""
+        side = F.broadcast(wanted) if wanted.count() <= PICKED_MOST else wanted
+        return self.rows.select("_rid", "_text").join(side, "_rid")
+
     def components(self) -> DataFrame:
         """(node, comp) of the classes that have links; nodes are row numbers. Stored."""
         first = self.classes()
@@ -255,8 +276,9 @@ class NearCopies:
         shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
         met = stored(keyed.join(shared, "key"), "met")
         weights = met.groupBy("rid").agg(F.sum("n").alias("weight")).join(nodes.select("rid", F.col("n").alias("words"), "x1", "x2"), "rid")
-        members = stored(met.drop("n").join(stored(weights, "weights"), "rid"), "members")
-        forget(shared, met)
+        weights = stored(weights, "weights")
+        members = stored(met.drop("n").join(weights, "rid"), "members")
+        forget(shared, met, weights)
         first = members.groupBy("key").agg(F.max(F.struct("weight", "rid", "x1", "x2")).alias("c"))
         centers = stored(first.select("key", F.col("c.rid").alias("center"), F.col("c.x1").alias("y1"), F.col("c.x2").alias("y2")), "centers")
         faced = members.join(centers, "key").where(F.col("rid") != F.col("center"))
@@ -264,67 +286,96 @@ class NearCopies:
         # distance first, then the smaller row number
         pairs = nearest.groupBy("rid").agg(F.min_by("center", F.col("d") + F.col("center") / 2.0**63).alias("b"))
         pairs = stored(pairs.select(F.col("rid").alias("a"), "b"), "pairs")
+        forget(centers)
         links = self._verify(pairs, nodes)
         tested, labels, turn, most = [pairs], components(links), 0, 1
+        forget(links)
+        held = self._open(members, labels)
+        forget(members)
+        if held.isEmpty():
+            forget(nodes, held, pairs)
+            return labels
+        counted = self._shared(held)
+        open_ = stored(held.join(counted, "rid"), "open")
+        forget(held, counted)
+        held = open_
         while True:
             spent: list[DataFrame] = []
-            held = self._held(members, labels, keyed, spent)
-            pairs = self._across(held, turn, spent) if most == 1 else self._further(held, turn, most, spent)
+            able = self._able(held)
+            pairs = self._across(able, turn, spent) if most == 1 else self._further(able, turn, most, spent)
             for past in tested:
                 pairs = pairs.join(past, ["a", "b"], "left_anti")
             pairs = stored(pairs, "pairs")
-            forget(*spent)
+            forget(able, *spent)
             tested.append(pairs)
             links = None if pairs.isEmpty() else self._verify(pairs, nodes)
             if links is not None and not links.isEmpty():
                 before = labels
                 labels = components(before.toDF("a", "b").union(links))
-                forget(before)
+                still = self._open(held, labels)
+                forget(before, held)
+                held = still
             elif most is None:
                 break
             else:
                 most = FEW if most == 1 else None
+            if links is not None:
+                forget(links)
             turn += 1
-        forget(nodes, *tested)
+        forget(nodes, held, *tested, *([links] if links is not None else []))
         return labels
 
-    def _held(self, members: DataFrame, labels: DataFrame, keyed: DataFrame, spent: list[DataFrame]) -> DataFrame:
-        """The members of buckets that hold several components, crowded buckets split. Stored."""
-        own = members.join(labels.select(F.col("node").alias("rid"), "comp"), "rid", "left").select(
-            "key", "rid", F.coalesce("comp", "rid").alias("comp"), "x1", "x2", "weight", "words"
-        )
-        own = stored(own, "own")
-        sides = own.groupBy("key").agg(F.approx_count_distinct("comp", 0.02).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        mixed = stored(sides.where("lo != hi").select("key", "m"), "mixed")
-        open_ = own.join(mixed, "key")
-        crowded = open_.where(F.col("m") > CROWDED)
-        second = keyed.select("rid", F.col("key").alias("other"))
-        split = (
-            crowded.join(second, "rid")
-            .where("other != key")
-            .select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "rid", "comp", "x1", "x2", "weight", "words")
-            .distinct()
-        )
-        held = stored(open_.where(F.col("m") <= CROWDED).select("key", "rid", "comp", "x1", "x2", "weight", "words").union(split), "held")
-        forget(own, mixed)
-        spent.append(held)
+    def _open(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """The members of buckets that hold several components, with these. A bucket that holds one
+        never holds several again, so the next round goes on from here. Stored."""
+        own = members.drop("comp").join(labels.select(F.col("node").alias("rid"), "comp"), "rid", "left")
+        own = stored(own.withColumn("comp", F.coalesce("comp", "rid")), "own")
+        sides = own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
+        held = stored(own.join(sides.select("key"), "key", "left_semi"), "held")
+        forget(own)
         return held
 
+    def _shared(self, held: DataFrame) -> DataFrame:
+        """(rid, c): of each member's shingles, how many another member has that a chain of common
+        buckets ties it to. Two shingles that get the same 64 bits count as shared, which only
+        weakens the bound. Stored."""
+        size = self.size
+        spans = held.select("key", "rid", "words")
+        low = spans.groupBy("key").agg(F.min("rid").alias("low"))
+        groups = components(spans.join(low, "key").select("rid", "low"))
+        wanted = stored(groups.select(F.col("node").alias("_rid"), F.col("comp").alias("g")), "wanted")
+        texts = self._picked(wanted).select(F.col("_rid").alias("rid"), "_text", "g")
+        marks = texts.mapInArrow(lambda it: _marked(it, size), "h long, rid long")
+        alone = marks.groupBy("h").agg(F.count("*").alias("n"), F.max("rid").alias("rid")).where("n = 1")
+        alone = alone.groupBy("rid").agg(F.count("*").alias("alone"))
+        sizes = spans.groupBy("rid").agg(F.max("words").alias("words")).join(alone, "rid", "left")
+        counted = stored(sizes.select("rid", (F.col("words") - F.coalesce("alone", F.lit(0))).alias("c")), "shared")
+        forget(groups, wanted)
+        return counted
+
+    def _able(self, held: DataFrame) -> DataFrame:
+        """The members that may reach the threshold with the smallest set of their bucket. Stored."""
+        least = held.groupBy("key").agg(F.min("words").alias("least"))
+        bound = (100 + self.threshold) * F.col("c") >= self.threshold * (F.col("words") + F.col("least"))
+        return stored(held.join(least, "key").where(bound).drop("least"), "able")
+
     def _alike(self) -> Column:
-        """Whether a pair may reach the threshold by its register bits and the sizes of its sets."""
+        """Whether a pair may reach the threshold by the sizes of its sets, by what each of them
+        shares with anyone, and by its register bits."""
         sizes = 100 * F.least("words", "others") >= self.threshold * F.greatest("words", "others")
-        return (_differing("x", "y") <= DIFFERING) & sizes
+        most = (100 + self.threshold) * F.least("c", "d") >= self.threshold * (F.col("words") + F.col("others"))
+        return sizes & most & (_differing("x", "y") <= DIFFERING)
 
     def _across(self, held: DataFrame, turn: int, spent: list[DataFrame]) -> DataFrame:
         """Pairs of a member and one member of another component of its bucket."""
         # what a row of ``held`` is compared with: one center for each other component
         turned = F.xxhash64("rid", F.lit(turn)) if turn else F.col("weight")
-        one = F.max(F.struct(turned.alias("order"), "rid", "x1", "x2", "words")).alias("c")  # as a whole, ties included
+        one = F.max(F.struct(turned.alias("order"), "rid", "x1", "x2", "words", "c")).alias("one")  # as a whole, ties included
         centers = held.groupBy("key", "comp").agg(one, F.count("*").alias("size"))
         if turn:  # two components of one member each, or one and many, were compared whole
             several = centers.where("size > 1").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
             centers = centers.join(several, "key", "left_semi")
-        chosen = [F.col(f"c.{c}").alias(n) for c, n in (("rid", "b"), ("x1", "y1"), ("x2", "y2"), ("words", "others"))]
+        chosen = [F.col(f"one.{c}").alias(n) for c, n in (("rid", "b"), ("x1", "y1"), ("x2", "y2"), ("words", "others"), ("c", "d"))]
         centers = stored(centers.select("key", F.col("comp").alias("other"), *chosen), "centers")
         spent.append(centers)
         pairs = held.join(centers, "key").where((F.col("comp") != F.col("other")) & self._alike())
@@ -342,7 +393,7 @@ class NearCopies:
         few = sized if most is None else sized.where(F.pmod(F.xxhash64("rid", F.lit(turn)), F.ceil(F.col("size") / most)) == 0)
         small = few.select(
             "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("rid").alias("b"), F.col("comp").alias("other"),
-            F.col("size").alias("less"), F.col("x1").alias("y1"), F.col("x2").alias("y2"), F.col("words").alias("others"),
+            F.col("size").alias("less"), F.col("x1").alias("y1"), F.col("x2").alias("y2"), F.col("words").alias("others"), F.col("c").alias("d"),
         )
         smaller = (F.col("less") < F.col("size")) | ((F.col("less") == F.col("size")) & (F.col("other") < F.col("comp")))
         pairs = large.join(small, ["key", "block"]).where(smaller & self._alike())
@@ -354,7 +405,9 @@ class NearCopies:
         classes = stored(self.classes().join(labels, F.col("rid") == F.col("node"), "left").select("_digest", F.coalesce("comp", "rid").alias("comp")), "classes")
         forget(labels)
         rows = self.rows.select("_rid", "_n", "_digest", "c_doc_id").join(classes, "_digest", "left")
-        return stored(rows.select("_rid", "_n", "c_doc_id", F.coalesce("comp", "_rid").alias("comp")), "resolved")
+        out = stored(rows.select("_rid", "_n", "c_doc_id", F.coalesce("comp", "_rid").alias("comp")), "resolved")
+        forget(classes)
+        return out
 
 
 def near_duplicates(docs: DataFrame, size: int = 2, threshold: int = 80) -> DataFrame:
