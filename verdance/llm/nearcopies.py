@@ -13,15 +13,16 @@ No bucket is turned into all its pairs:
   that looks most alike. A bucket's center is its member that shares most buckets with others:
   of the copies of a text that is the text itself, which is nearer to each of them than they
   are to each other, so a large group is tied together in one step;
-- after that a bucket is only looked at where it holds several components. Of the members of such
-  buckets the sets are read once, to count the shingles that no other of them has (counted within
-  groups of members that buckets tie together). What is left bounds any intersection: a member that
-  cannot reach the threshold with the smallest set of its bucket leaves it, and a pair that cannot
-  reach it never leaves the join that would make it. For copies that each changed other words this
-  bound is the similarity to the text they come from, so members of a dense group that lie below
-  the threshold make no pairs, and texts that only share a passage leave at once;
-- each member left is compared with one member of each other component. Where two components have
-  several members in a bucket, this repeats with other members until a round finds no link any
+- after that only buckets are looked at that hold several components. Of the members of those the
+  sets are read once. Within groups of members that buckets tie together, each set is sorted by how
+  many members have a shingle, rarest first. Two sets that reach the threshold share one of their
+  first shingles (a fifth of each), and the first one they share bounds what they share at all. So
+  these shingles take the place of the bands: copies of a text that each changed other words
+  have changed ones in front, which few others have, and texts that only share a passage meet
+  nowhere. A pair that cannot reach the threshold from there never leaves the join that would
+  make it;
+- each member is compared with one member of each other component. Where two components have
+  several members at a shingle, this repeats with other members until a round finds no link any
   more, then with about FEW members of each component, and at last with all: the rounds end when
   every pair of members of different components that may reach the threshold has been compared.
   Elsewhere all has been compared at once;
@@ -44,7 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -295,10 +296,10 @@ class NearCopies:
         if held.isEmpty():
             forget(nodes, held, pairs)
             return labels
-        counted = self._shared(held)
-        open_ = stored(held.join(counted, "rid"), "open")
-        forget(held, counted)
-        held = open_
+        first = self._prefixes(held)
+        opened = self._open(first, labels)
+        forget(held, first)
+        held = opened
         while True:
             spent: list[DataFrame] = []
             able = self._able(held)
@@ -335,23 +336,26 @@ class NearCopies:
         forget(own)
         return held
 
-    def _shared(self, held: DataFrame) -> DataFrame:
-        """(rid, c): of each member's shingles, how many another member has that a chain of common
-        buckets ties it to. Two shingles that get the same 64 bits count as shared, which only
-        weakens the bound. Stored."""
+    def _prefixes(self, held: DataFrame) -> DataFrame:
+        """The members under their rarest shingles instead of their bands: (key, rid, comp, x1, x2,
+        weight, words, c). A set of n goes under its first n - ceil(threshold n) + 1 shingles; c is
+        how many of its shingles are not before that one. Stored."""
         size = self.size
-        spans = held.select("key", "rid", "words")
+        spans = held.select("key", "rid")
         low = spans.groupBy("key").agg(F.min("rid").alias("low"))
         groups = components(spans.join(low, "key").select("rid", "low"))
         wanted = stored(groups.select(F.col("node").alias("_rid"), F.col("comp").alias("g")), "wanted")
         texts = self._picked(wanted).select(F.col("_rid").alias("rid"), "_text", "g")
-        marks = texts.mapInArrow(lambda it: _marked(it, size), "h long, rid long")
-        alone = marks.groupBy("h").agg(F.count("*").alias("n"), F.max("rid").alias("rid")).where("n = 1")
-        alone = alone.groupBy("rid").agg(F.count("*").alias("alone"))
-        sizes = spans.groupBy("rid").agg(F.max("words").alias("words")).join(alone, "rid", "left")
-        counted = stored(sizes.select("rid", (F.col("words") - F.coalesce("alone", F.lit(0))).alias("c")), "shared")
-        forget(groups, wanted)
-        return counted
+        marks = stored(texts.mapInArrow(lambda it: _marked(it, size), "h long, rid long"), "marks")
+        often = marks.groupBy("h").agg(F.count("*").alias("often"))
+        rarest = Window.partitionBy("rid").orderBy("often", "h")
+        placed = marks.join(often, "h").withColumn("place", F.row_number().over(rarest))
+        members = held.select("rid", "comp", "x1", "x2", "weight", "words").distinct()
+        within = F.col("place") <= F.col("words") - F.ceil(F.col("words") * self.threshold / 100) + 1
+        first = placed.join(members, "rid").where(within).withColumn("c", F.col("words") - F.col("place") + 1)
+        done = stored(first.select(F.col("h").alias("key"), "rid", "comp", "x1", "x2", "weight", "words", "c"), "prefixes")
+        forget(groups, wanted, marks)
+        return done
 
     def _able(self, held: DataFrame) -> DataFrame:
         """The members that may reach the threshold with the smallest set of their bucket. Stored."""
@@ -360,8 +364,8 @@ class NearCopies:
         return stored(held.join(least, "key").where(bound).drop("least"), "able")
 
     def _alike(self) -> Column:
-        """Whether a pair may reach the threshold by the sizes of its sets, by what each of them
-        shares with anyone, and by its register bits."""
+        """Whether a pair may reach the threshold by the sizes of its sets, by what is left of each
+        from the shingle on where they meet, and by its register bits."""
         sizes = 100 * F.least("words", "others") >= self.threshold * F.greatest("words", "others")
         most = (100 + self.threshold) * F.least("c", "d") >= self.threshold * (F.col("words") + F.col("others"))
         return sizes & most & (_differing("x", "y") <= DIFFERING)
