@@ -15,7 +15,7 @@ from verdance.model import LABELS, AlarmSpec, WindowSpec
 from verdance.operators import windowing
 from verdance.plans.compare import load_windows
 from verdance.session import run_dir
-from verdance.sources.tables import store
+from verdance.sources.tables import store, store_bucketed
 
 HOUR = 3600
 SPEC = WindowSpec(seconds=HOUR, slide_seconds=HOUR, scale=100)
@@ -107,6 +107,11 @@ def stored(windows: DataFrame, name: str) -> DataFrame:
     return store(windows, run_dir(windows.sparkSession, name))
 
 
+def bucketed(rows: DataFrame, name: str) -> DataFrame:
+    """A labelled table stored so that comparisons need not shuffle it."""
+    return store_bucketed(rows, run_dir(rows.sparkSession, name))
+
+
 def labelled(windows: DataFrame) -> DataFrame:
     return load_windows(windows, True, window_seconds=HOUR)
 

@@ -173,8 +173,8 @@ def engine_diff(spark, sf):
 
 
 def compare_export(spark, sf):
-    l, r = _stored_pair(spark, sf)
-    return compare.compare_export(fr.labelled(l), fr.labelled(r))
+    l, r = fr.labelled(fr.left(spark, sf)), fr.labelled(fr.right(spark, sf))
+    return compare.compare_export(fr.bucketed(l, "left"), fr.bucketed(r, "right"))
 
 
 def audit(spark, sf):

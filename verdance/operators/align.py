@@ -64,13 +64,18 @@ def _unkeyed_pairs(rows: DataFrame) -> DataFrame:
     A side has at most one window without greenhouse per start (``paired`` merged its
     repeats), and where both sides have one they matched each other. So a start has at
     most one such row, and only the starts that have one are looked at: their windows of
-    the other side meet it and the largest label stays.
+    the other side meet it and the largest label stays. Each condition takes a column that the
+    grouping makes, and starts meet null-safely, which says nothing of a single start: so no
+    condition sinks below the grouping, and its one shuffle serves all uses of ``rows``.
     """
     left, right, name = F.col("left"), F.col("right"), F.col("greenhouse")
-    lone = rows.where(left.isNull() | right.isNull())
-    unnamed = lone.where(name.isNull()).select("win_start", left.alias("null_left"), right.alias("null_right"))
+    lone = left.isNull() | right.isNull()
+    unnamed = rows.where(F.when(lone, name.isNull())).select(
+        F.col("win_start").alias("_start"), left.alias("null_left"), right.alias("null_right")
+    )
     other = F.when(F.col("null_left").isNotNull(), right).otherwise(left)
-    met = lone.where(name.isNotNull()).join(unnamed, "win_start").where(other.isNotNull())
+    named = rows.where(F.when(lone, name.isNotNull()))
+    met = named.join(unnamed, F.col("win_start").eqNullSafe(F.col("_start"))).where(other.isNotNull())
     largest = Window.partitionBy("win_start").orderBy(F.desc("greenhouse"))
     matched = met.withColumn("_place", F.row_number().over(largest)).where("_place = 1").select(
         "greenhouse",

@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 MICROS = "spark.sql.parquet.outputTimestampType"
 _made: list[str] = []
+_tables: list[str] = []
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "verdance") -> SparkSession:
@@ -52,12 +53,21 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def run_table(spark: SparkSession) -> str:
+    """A new name in the session's catalog, never used before; see ``remove_run_dirs``."""
+    name = f"verdance_{uuid.uuid4().hex}"
+    _tables.append(name)
+    return name
+
+
 def remove_run_dirs(spark: SparkSession) -> None:
-    """Deletes the folders that ``run_dir`` named so far. Runs when the driver ends; a
-    long-lived one calls it once nothing reads them any more."""
+    """Drops the tables that ``run_table`` named so far and deletes the folders of ``run_dir``.
+    Runs when the driver ends; a long-lived one calls it once nothing reads them any more."""
     while _made:
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
 
 
 @atexit.register

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdance.model import STATS, WINDOW_STATS
 from verdance.operators.tables import KEY, with_key_column
-from verdance.session import MICROS
+from verdance.session import MICROS, run_table
 
 DAY = "day"
 COLUMNS = ("greenhouse_id", "win_start", "win_end", *STATS)
@@ -63,17 +66,44 @@ def read_parquet(spark: SparkSession, path: str, since: str | None = None) -> Da
     return window_table(df)
 
 
+@contextlib.contextmanager
+def _micros(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(MICROS)
+    spark.conf.set(MICROS, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(MICROS, before)
+
+
 def store(windows: DataFrame, path: str) -> DataFrame:
     """Writes a window table and returns it as read back: what several reports, or
     several steps of one, read is computed once, and their filters reach the files. Rows
     are range-sorted by start and starts are written as microseconds, which Parquet keeps
     statistics for: a filter on time skips files and row groups."""
-    spark = windows.sparkSession
-    before = spark.conf.get(MICROS)
-    spark.conf.set(MICROS, "TIMESTAMP_MICROS")
-    try:
+    with _micros(windows.sparkSession):
         ordered = window_table(windows).repartitionByRange("win_start").sortWithinPartitions("win_start", KEY)
         ordered.write.parquet(path)
-    finally:
-        spark.conf.set(MICROS, before)
     return windows.sparkSession.read.schema(WINDOW_STATS).parquet(path)
+
+
+def store_bucketed(
+    windows: DataFrame, path: str, buckets: int | None = None, by: tuple[str, ...] = ("greenhouse", "win_start"), name: str | None = None
+) -> DataFrame:
+    """Writes a table bucketed and sorted by ``by``, one file per bucket, and returns it as
+    read back. Tables with the same ``by`` and number of buckets (the session's shuffle
+    partitions if not given) are aligned, grouped or joined on these columns where they lie:
+    the shuffle is paid once, when written, not by each comparison. Give labelled tables,
+    as alignment groups by label.
+
+    Unlike ``store`` this does not skip files by time. A window's repeats lie in one bucket.
+    Without a ``name`` the table is for this run only, see ``session.remove_run_dirs``.
+    """
+    spark = windows.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = name or run_table(spark)
+    with _micros(spark):
+        dealt = windows.repartition(buckets, *by)
+        dealt.write.format("parquet").bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(name)
+    # without the table's name on its columns: a union tells the two sides' layouts apart by it
+    return spark.table(name).toDF(*windows.columns)
