@@ -366,6 +366,102 @@ def test_quality(spark, sf_dir, docs):
     assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] for r in odd)
 
 
+def plain_grams(text, bits=language.BITS):
+    """Buckets of the 1-, 2- and 3-grams that start at each character, a blank before and two after."""
+    folded = [ord(c.lower()[0]) if c.isalpha() else 32 for c in " " + text]
+    out = []
+    for at in range(len(folded)):
+        for order in (1, 2, 3):
+            h = order
+            for k in range(order):
+                c = folded[at + k] if at + k < len(folded) else 32
+                h = (h ^ c) * (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)[k] % 2**32
+                h ^= h >> 15
+            out.append(h >> (32 - bits))
+    return out
+
+
+def test_language_against_plain_bayes(spark):
+    rnd = random.Random(8)
+    sounds = {"xa": "aeiou", "xb": "äöüst", "xc": "日本語のは"}
+    rows = [(i, "".join(rnd.choice(sounds[lang] + "n r") for _ in range(rnd.randint(1, 30))), lang) for i, lang in enumerate(rnd.choices([*sounds], k=60))]
+    rows += [(100, "", "xa"), (101, None, "xb"), (102, "no label", None), (103, "12 ,", "xc"), (7, "twice", "xa"), (7, "twice", "xa")]
+    counts, docs_of = {x: Counter() for x in sounds}, Counter()
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2 and lang and text is not None:
+            docs_of[lang] += 1
+            counts[lang].update(plain_grams(text) if text else [])
+    size = 2**language.BITS
+    want = []
+    for i, text, _ in rows:
+        held_out = zlib.crc32(str(i).encode()) % 4 == 2
+        if not any(c.isalpha() for c in text or ""):
+            want.append((i, held_out, "und", 0.0))
+            continue
+        logs = {}
+        for lang, seen in counts.items():
+            total = sum(seen.values()) + language.SMOOTHING * size
+            logs[lang] = np.log(docs_of[lang] / sum(docs_of.values())) + sum(np.log((seen[b] + language.SMOOTHING) / total) for b in plain_grams(text))
+        best = max(sorted(logs), key=logs.get)
+        want.append((i, held_out, best, 1 / sum(np.exp(v - logs[best]) for v in logs.values())))
+    got = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    got, want = sorted(tuple(r) for r in got), sorted(want)
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert np.allclose([r[3] for r in got], [r[3] for r in want], atol=1e-3)
+
+
+def plain_pool(text, contexts):
+    """The document vector, word by word."""
+    size = quality.DIMENSIONS
+    words, out = (text or "").split(), np.zeros(2 * size)
+    hashes = [zlib.crc32(w.encode()) for w in words]
+    for w, h in zip(words, hashes, strict=True):
+        out[:size] += contexts[h % (quality.ROWS - 1) + 1] / len(words)
+        kind = re.sub(r"(.)\1+", r"\1", "".join("0" if c.isdigit() else ("A" if c.isupper() else "a") if c.isalpha() else c for c in w))
+        out[size:] += quality.index_vector(f"shape {zlib.crc32(kind.encode()) % quality.SHAPES}") / len(words)
+    if words:
+        triples, lines = list(zip(words, words[1:], words[2:], strict=False)), text.split("\n")
+        out[size:] += quality.index_vector("triple seen") * (len(triples) - len(set(triples))) / len(words)
+        out[size:] += quality.index_vector("line seen") * (1 - len(set(lines)) / len(lines))
+    return out
+
+
+def test_quality_against_plain_python(spark, docs, monkeypatch):
+    monkeypatch.setattr(quality, "STEP", 1000)
+    texts = [r["text"] for r in docs.collect()]
+    sums = np.zeros((quality.ROWS, quality.DIMENSIONS))
+    for text in texts:
+        words = (text or "").split()
+        rows = [zlib.crc32(w.encode()) % (quality.ROWS - 1) + 1 for w in words]
+        for i, row in enumerate(rows):
+            for j in range(max(0, i - quality.REACH), min(len(rows), i + quality.REACH + 1)):
+                if j != i:
+                    sums[row] += quality.index_table()[rows[j]]
+    contexts = sums / np.maximum(1, np.linalg.norm(sums, axis=1))[:, None]
+    assert not quality.index_table()[0].any() and quality.index_table()[1:].any(axis=1).all()
+    for parts in (1, 5):
+        assert np.allclose(quality.word_vectors(docs.repartition(parts)), contexts, atol=1e-6)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(45)] + [(3, 0), (3, 1), (3, None), (None, 1), (99, 1)], "doc_id long, quality int")
+    vectors, net = quality.fit(docs, labels)
+    for r in quality.score(docs, (vectors, net), ["text"]).collect():
+        x = (plain_pool(r["text"], contexts) - net["mean"]) / net["std"]
+        hidden = [max(0.0, sum(a * w for a, w in zip(x, column, strict=True)) + b) for column, b in zip(net["w1"].T, net["b1"], strict=True)]
+        out = sum(a * w for a, w in zip(hidden, net["w2"], strict=True)) + net["b2"]
+        assert abs(r["score"] - 1 / (1 + np.exp(-out / net["temperature"]))) < 1e-3
+
+
+def test_quality_sample_is_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit_network", lambda x, y, seed=7: seen.append((len(x), sorted(set(y)))) or {"constant": 0.5})
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(ids[0], f"text {i}") for i in range(50)] + [(ids[1], "same text")] * 50 + [(i, f"own {i}") for i in ids[2:]]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)] * 2, "doc_id long, quality int")
+    quality.fit(table, labels)
+    quality.fit(table, labels, most=20)
+    assert seen[0][0] == 50 + 1 + len(ids) - 2 and seen[1][0] <= 20
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 

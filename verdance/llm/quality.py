@@ -1,21 +1,23 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a two-layer
 network in numpy with temperature-calibrated probabilities.
 
-Every word has a sparse ternary index vector drawn from its hash. A word's context vector is the
-sum of the index vectors of its neighbours within REACH words, added up over a bounded sample
-of labelled documents and scaled to length one. A document is the mean of its words' context
-vectors next to the mean of the index vectors of their shapes (letters folded to a, A, 0) and of
-marks for repetition: words that complete a triple seen before, lines seen before. Words without
-a context vector still count by shape.
-
-The sample has at most TRAIN_MOST labelled rows, those with the smallest hash of the id; every
-document is scored over its whole text. The network is fitted on four fifths of the sample; the
-temperature on the rest. Vectors and weights are broadcast; their size is fixed by VOCABULARY.
+A word's hash picks one of ROWS rows. Each row has a sparse ternary index vector, and a context
+vector: the sum of the index vectors of its words' neighbours within REACH words, added up over
+all documents and scaled to length one. No word is left out; those that share a row share its
+vectors. The sums of a task and of the whole corpus have ROWS rows whatever the data, so they
+are added up before they are shuffled, and the scaled table is broadcast. A document is the mean
+of its words' context vectors next to the mean of the index vectors of their shapes (letters
+folded to a, A, 0) and of marks for repetition: words that complete a triple seen before, lines
+seen before.
+
+Only the network is fitted on a sample: at most TRAIN_MOST different labelled texts, those with
+the smallest hash of the id. It learns from four fifths of the sample; the temperature comes
+from the rest. Every document is scored over its whole text.
 
 Defined cases: null and empty texts pool to zeros and are scored like that; labels without a
 document, null labels and null ids are not learned from; a document with several labels is
-learned once for each; without labels of both kinds every score is the share of label 1 (0.5
-without any); repeated rows are scored one by one.
+learned once for each, repeated rows once; without labels of both kinds every score is the share
+of label 1 (0.5 without any); repeated rows are scored one by one.
 """
 
 from __future__ import annotations
@@ -35,8 +37,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from verdance.llm.common import forget, fresh, remainder, small_batches, stored
 
 DIMENSIONS, NONZERO, REACH = 64, 6, 2
-#: Bound of the labelled sample, of the words with context vectors, of shapes.
-TRAIN_MOST, VOCABULARY, SHAPES = 6000, 20_000, 4096
+#: Bound of the labelled sample; rows that words and shapes are hashed into.
+TRAIN_MOST, ROWS, SHAPES = 6000, 1 << 16, 4096
+#: Words that are added up at once.
+STEP = 50_000
 HIDDEN, EPOCHS, RATE = 24, 25, 3e-3
 #: Scores from here on are predicted as good.
 CUT = 0.3
@@ -56,8 +60,8 @@ _fold = _Fold()
 
 
 def shape(word: str) -> str:
-    """'Aa,' for 'Hello,'; runs count once; at most twelve signs."""
-    return _run.sub(r"\1", word[:48].translate(_fold))[:12]
+    """'Aa,' for 'Hello,'; runs count once."""
+    return _run.sub(r"\1", word.translate(_fold))
 
 
 def index_vector(name: str) -> np.ndarray:
@@ -75,97 +79,108 @@ def _shape_vectors() -> np.ndarray:
     return np.array([*rows, index_vector("triple seen"), index_vector("line seen")], np.float32)
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n, sum of neighbours' index vectors) of the words of a partition."""
-    place: dict[str, int] = {}
-    vectors: list[np.ndarray] = []
-    sums = np.zeros((1024, DIMENSIONS), np.int32)
-    counts = np.zeros(1024, np.int64)
-
-    def leave() -> Iterator[pa.RecordBatch]:
-        words = list(place)
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part), pa.array(counts[at : at + len(part)]), pa.array([sums[at + i].tobytes() for i in range(len(part))], pa.binary())],
-                names=["word", "n", "vector"],
-            )
+@functools.cache
+def index_table() -> np.ndarray:
+    """The index vectors of the rows; row 0 is blank and stands between texts."""
+    rng = np.random.default_rng(11)
+    out = np.zeros((ROWS, DIMENSIONS), np.int8)
+    places = rng.integers(0, DIMENSIONS, (ROWS - 1, NONZERO))
+    np.put_along_axis(out[1:], places, rng.integers(0, 2, places.shape, np.int8) * 2 - 1, axis=1)
+    return out
+
+
+def word_rows(hashes: np.ndarray) -> np.ndarray:
+    """The rows of words with these 32-bit hashes."""
+    return (hashes % (ROWS - 1) + 1).astype(np.uint16)
+
+
+def _hash(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+
+
+def _grouped(rows: np.ndarray, vectors: np.ndarray, sums: np.ndarray) -> None:
+    """Adds each vector to the row it belongs to."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.diff(rows.astype(np.int32), prepend=-1))
+    sums[rows[first]] += np.add.reduceat(vectors[order], first, axis=0, dtype=sums.dtype)
+
 
+def _add_neighbours(rows: np.ndarray, sums: np.ndarray) -> None:
+    """Adds to each word's row the index vectors of the words within REACH."""
+    index = index_table()
+    for at in range(0, len(rows), STEP):
+        low, end = max(0, at - REACH), min(len(rows), at + STEP)
+        own = rows[low : end + REACH]
+        every = index[own]
+        around = np.zeros_like(every)
+        for d in range(1, REACH + 1):
+            around[d:] += every[:-d]
+            around[:-d] += every[d:]
+        _grouped(own[at - low : end - low], around[at - low : end - low], sums)
+
+
+def _leave(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+    used = np.flatnonzero(sums[1:].any(axis=1)) + 1
+    for at in range(0, len(used), 4096):
+        part = used[at : at + 4096]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([v.tobytes() for v in sums[part]], pa.binary())], names=["row", "vector"])
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, vector): the neighbours' index vectors, summed over a partition."""
+    sums, memo = np.zeros((ROWS, DIMENSIONS), np.int32), {}
+    between = np.zeros(REACH, np.uint16)
     for batch in batches:
+        held, n = [], 0
         for text in batch.column(0).to_pylist():
             words = (text or "").split()
-            ids = []
-            for w in words:
-                i = place.get(w)
-                if i is None:
-                    i = place[w] = len(place)
-                    vectors.append(index_vector(w))
-                ids.append(i)
-            while len(place) > len(sums):
-                sums, counts = np.concatenate([sums, np.zeros_like(sums)]), np.concatenate([counts, np.zeros_like(counts)])
-            if not ids:
+            if not words:
                 continue
-            for at in range(0, len(ids), 50_000):
-                own = np.array(ids[max(0, at - REACH) : at + 50_000 + REACH])
-                first, last = min(at, REACH), min(len(own), min(at, REACH) + 50_000)
-                every = np.array([vectors[i] for i in own])
-                around = np.zeros((last - first, DIMENSIONS), np.int32)
-                for d in range(-REACH, REACH + 1):
-                    lo, hi = max(first, -d), min(last, len(own) - d)
-                    if d and lo < hi:
-                        around[lo - first : hi - first] += every[lo + d : hi + d]
-                np.add.at(sums, own[first:last], around)
-                np.add.at(counts, own[first:last], 1)
-            if len(place) > 5 * VOCABULARY:
-                yield from leave()
-                place, vectors = {}, []
-                sums, counts = np.zeros((1024, DIMENSIONS), np.int32), np.zeros(1024, np.int64)
-    if place:
-        yield from leave()
+            for w in set(words).difference(memo):
+                memo[w] = _hash(w)
+            held += [word_rows(np.fromiter(map(memo.__getitem__, words), np.int64, len(words))), between]
+            n += len(words)
+            if len(memo) > MEMO:
+                memo.clear()
+            if n >= STEP:
+                _add_neighbours(np.concatenate(held), sums)
+                held, n = [], 0
+        if held:
+            _add_neighbours(np.concatenate(held), sums)
+    yield from _leave(sums)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: dict[str, list] = {}
+    """The sums of all partitions, for the rows that came here."""
+    sums = np.zeros((ROWS, DIMENSIONS), np.int64)
     for batch in batches:
-        for w, n, v in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-            v = np.frombuffer(v, np.int32)
-            if w in found:
-                found[w][0] += n
-                found[w][1] = found[w][1] + v
-            else:
-                found[w] = [n, v]
-    kept = [(w, n, v.tobytes()) for w, (n, v) in found.items() if n > 1]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([x[0] for x in kept], pa.string()), pa.array([x[1] for x in kept], pa.int64()), pa.array([x[2] for x in kept], pa.binary())],
-        names=["word", "n", "vector"],
-    )
-
-
-def word_vectors(texts: DataFrame) -> tuple[dict[str, int], np.ndarray]:
-    """Rows of the commonest words, and their context vectors; row 0 is for other words."""
-    kinds = "word string, n long, vector binary"
-    found = (
-        texts.select("text").mapInArrow(_contexts, kinds).repartition("word").mapInArrow(_summed, kinds)
-        .orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    )
-    out = np.zeros((len(found) + 1, DIMENSIONS), np.float32)
-    for i, r in enumerate(found):
-        v = np.frombuffer(r["vector"], np.int32).astype(np.float32)
-        out[i + 1] = v / max(1.0, float(np.linalg.norm(v)))
-    return {r["word"]: i + 1 for i, r in enumerate(found)}, out
+        if batch.num_rows:
+            vectors = np.frombuffer(b"".join(batch.column("vector").to_pylist()), np.int32).reshape(-1, DIMENSIONS)
+            _grouped(batch.column("row").to_numpy(), vectors, sums)
+    yield from _leave(sums)
+
+
+def word_vectors(texts: DataFrame) -> np.ndarray:
+    """The context vectors of all rows, from all texts. At most ROWS rows come to the driver."""
+    kinds = "row int, vector binary"
+    found = texts.select("text").mapInArrow(_contexts, kinds).repartition("row").mapInArrow(_summed, kinds).collect()
+    out = np.zeros((ROWS, DIMENSIONS), np.float32)
+    for r in found:
+        v = np.frombuffer(r["vector"], np.int64).astype(np.float64)
+        out[r["row"]] = v / max(1.0, float(np.linalg.norm(v)))
+    return out
 
 
 class Pooler:
-    """Document vectors; remembers rows, shapes and hashes of a bounded number of words."""
+    """Document vectors; remembers shapes and hashes of a bounded number of words."""
 
-    def __init__(self, rows: dict[str, int], vectors: np.ndarray):
-        self.rows, self.vectors, self.shapes, self.memo = rows, vectors, _shape_vectors(), {}
+    def __init__(self, vectors: np.ndarray):
+        self.vectors, self.shapes, self.memo = vectors, _shape_vectors(), {}
 
     def _word(self, w: str) -> int:
-        """Vector row, shape row and 32 bits of hash in one number."""
-        kind = zlib.crc32(shape(w).encode("utf-8", "surrogatepass")) % SHAPES
-        h = zlib.crc32(w.encode("utf-8", "surrogatepass"))
-        out = self.rows.get(w, 0) | kind << 18 | h << 31
+        """32 bits of hash and the row of the shape in one number."""
+        out = _hash(w) | _hash(shape(w)) % SHAPES << 32
         if len(w) <= 64:
             if len(self.memo) >= MEMO:
                 self.memo.clear()
@@ -180,10 +195,10 @@ class Pooler:
         get = self.memo.get
         packed = np.array([get(w) or self._word(w) for w in words], np.int64)
         n = len(packed)
-        rows, times = np.unique(packed & 0x3FFFF, return_counts=True)
+        rows, times = np.unique(word_rows(packed & 0xFFFFFFFF), return_counts=True)
         out[:DIMENSIONS] = times @ self.vectors[rows] / n
-        kinds = np.bincount((packed >> 18) & (SHAPES - 1), minlength=SHAPES + 2).astype(np.float32)
-        h = (packed >> 31).astype(np.uint64)
+        kinds = np.bincount(packed >> 32, minlength=SHAPES + 2).astype(np.float32)
+        h = (packed & 0xFFFFFFFF).astype(np.uint64)
         triples = (h[2:] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + h[:-2]
         kinds[SHAPES] = len(triples) - len(np.unique(triples))
         lines = text.split("\n")
@@ -250,32 +265,42 @@ def fit_network(x: np.ndarray, y: np.ndarray, seed: int = 7) -> dict:
 
 
 def _pooled(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    pool = Pooler(*shared.value)
+    pool = Pooler(shared.value)
     for batch in batches:
         vectors = [pool(t).tobytes() for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(vectors, pa.binary())], names=["quality", "vector"])
+        kept = [batch.column(c) for c in ("id", "digest", "quality")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(vectors, pa.binary())], names=["id", "digest", "quality", "vector"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_MOST):
-    """(word rows, word vectors, network) from at most ``most`` labelled documents that are not
-    held out."""
+    """(context vectors of all documents, network from at most ``most`` different labelled texts
+    that are not held out)."""
     spark = docs.sparkSession
     small_batches(spark)
-    learnable = labels.where(F.col("quality").isin(0, 1) & (remainder(F.col("doc_id"), 5) != 0)).select("doc_id", "quality")
+    vectors = word_vectors(docs)
+    shared = spark.sparkContext.broadcast(vectors)
+    learnable = labels.where(F.col("quality").isin(0, 1) & (remainder(F.col("doc_id"), 5) != 0))
+    learnable = learnable.select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     chosen = learnable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most)
-    sample = stored(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "quality"), "sample")
-    words = word_vectors(sample)
-    shared = spark.sparkContext.broadcast(words)
-    rows = sample.mapInArrow(lambda it: _pooled(it, shared), "quality int, vector binary").collect()
-    forget(sample)
+    digest = F.xxhash64("text").alias("digest")
+    named = docs.select("doc_id", digest).join(F.broadcast(chosen), "doc_id").distinct()
+    picked = stored(named.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "digest").limit(most), "picked")
+    sample = docs.select("doc_id", digest, "text").join(F.broadcast(picked), ["doc_id", "digest"])
+    rows = (
+        sample.select(F.xxhash64("doc_id").alias("id"), "digest", "quality", "text")
+        .mapInArrow(lambda it: _pooled(it, shared), "id long, digest long, quality int, vector binary")
+        .dropDuplicates(["id", "digest", "quality"])
+        .collect()
+    )
+    forget(picked)
     rows.sort(key=lambda r: (bytes(r["vector"]), r["quality"]))
     x = np.array([np.frombuffer(r["vector"], np.float32) for r in rows], np.float64).reshape(len(rows), 2 * DIMENSIONS)
-    return (*words, fit_network(x, np.array([r["quality"] for r in rows], np.float64)))
+    return vectors, fit_network(x, np.array([r["quality"] for r in rows], np.float64))
 
 
 def _scored(batches: Iterator[pa.RecordBatch], shared, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    rows, vectors, net = shared.value
-    pool = Pooler(rows, vectors)
+    vectors, net = shared.value
+    pool = Pooler(vectors)
     for batch in batches:
         texts = batch.column(0).to_pylist()
         x = np.array([pool(t) for t in texts], np.float64).reshape(len(texts), 2 * DIMENSIONS)
