@@ -131,6 +131,50 @@ def test_sharding_maps():
     assert sum(load(moved)) == sum(sizes)
 
 
+def test_sharding_map_holds_and_evens_out_bytes(docs):
+    slots = {(r["doc_id"], r["size"]): r["vslot"] for r in sharding.shard(docs, 5, 64).collect()}
+    records, size = Counter(), Counter()
+    for r in docs.collect():
+        n = len((r["text"] or "").encode()) + 8
+        slot = slots[r["doc_id"], n]
+        records[slot] += 1
+        size[slot] += n
+    rows = sharding.rebalanced(docs, 5, 64).collect()
+    now, more = ({r["vslot"]: r for r in rows if r["map_version"] == v} for v in (0, 1))
+    for version in (now, more):
+        assert len(version) == 64 and all((r["records"], r["bytes"]) == (records[s], size[s]) for s, r in version.items())
+    assert [now[s]["shard"] for s in range(64)] == sharding.slot_map(5, 64)
+    assert [more[s]["shard"] for s in range(64)] == sharding.rebalance(sharding.slot_map(5, 64), [size[s] for s in range(64)], 5)
+    none = sharding.rebalanced(empty(docs), 5, 64).collect()
+    assert len(none) == 128 and not any(r["records"] or r["bytes"] for r in none)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_block_names_are_ranks(spark, docs, parts):
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r["text_sha256"], r["n_blocks"], r["name"]) for r in exactcopies.identities(docs.repartition(parts), block=50).collect()}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    norms = {re.sub(r"[\x20\x09-\x0D]+", " ", r["text"] or "") for r in docs.collect()}
+    left = {n: [n[i : i + 50] for i in range(0, len(n), 50)] for n in norms}
+    counts, want = {n: len(b) for n, b in left.items()}, set()
+    while left:
+        # strings are ordered by their UTF-8 bytes, pairs by their names
+        place = {x: i for i, x in enumerate(sorted({x for b in left.values() for x in b}, key=lambda x: x.encode() if isinstance(x, str) else x))}
+        for n, b in list(left.items()):
+            named = [place[x] for x in b]
+            if len(named) <= 1:
+                want.add((hashlib.sha256(n.encode()).hexdigest(), counts[n], named[0] if named else -1))
+                del left[n]
+            else:
+                left[n] = [(named[i], named[i + 1] if i + 1 < len(named) else -1) for i in range(0, len(named), 2)]
+    assert got == want
+
+
 @pytest.mark.parametrize("block", [3, 16, 4096])
 def test_exact_duplicates(docs, block):
     groups, every = defaultdict(list), docs.collect()

@@ -1,9 +1,11 @@
 """Exact duplicates by deterministic block naming.
 
-A normalised text is cut into blocks of ``BLOCK`` characters. All distinct blocks are sorted and
-get integer names. Then the names of adjacent blocks are paired, the distinct pairs are sorted
-and named, and so on until each text has a single name. With the number of blocks it is the
-text's identity: equal texts have equal names, and different texts never do.
+A normalised text is cut into blocks of ``BLOCK`` characters. All distinct blocks are sorted, and
+a block's name is its place in that order, counted from 0. Then the names of adjacent blocks are
+paired, the distinct pairs are sorted and named likewise, and so on until each text has a single
+name. With the number of blocks it is the text's identity: equal texts have equal names, and
+different texts never do. Names depend on the texts alone, not on partitions or runs. Sorting is by
+ranges: a partition's places count on from the rows of those before it.
 
 Blocks meet their names by two 64-bit hashes, so block texts are shuffled once, after copies
 within a task have fallen together. That no two different blocks share both hashes is checked
@@ -41,6 +43,22 @@ def _hashes(block: Column) -> tuple[Column, Column]:
     return F.xxhash64(block).alias("h1"), F.xxhash64(F.lit(1), block).alias("h2")
 
 
+def ranked(rows: DataFrame, order: list[str], keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of distinct rows with ``name``, the row's place in the order of all. Stored."""
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    spread = stored(ranges.select(*keep, F.monotonically_increasing_id().alias("at")), "ranges")
+    part = F.shiftright("at", 33)  # Spark puts the partition above the row's place within it
+    # one row per partition
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = spread.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    place = F.col("at") - F.shiftleft("part", 33)
+    named = spread.withColumn("part", part).join(F.broadcast(starts), "part")
+    out = stored(named.select(*keep, (F.col("start") + place).alias("name")), "names")
+    forget(spread)
+    return out
+
+
 def block_names(texts: DataFrame, block: int) -> DataFrame:
     """(h1, h2, name) of all distinct blocks of the column ``norm``. Stored."""
     every = texts.select(F.explode(_blocks(F.col("norm"), block)).alias("block")).select("block", *_hashes(F.col("block")))
@@ -49,8 +67,8 @@ def block_names(texts: DataFrame, block: int) -> DataFrame:
         "h1",
         "h2",
         F.when(F.size("found") == 1, F.col("found")[0]).otherwise(F.raise_error(F.lit("two blocks share both hashes"))).alias("block"),
-    ).sortWithinPartitions("block")
-    return stored(checked.select("h1", "h2", F.monotonically_increasing_id().alias("name")), "names")
+    )
+    return ranked(checked, ["block"], ["h1", "h2"])
 
 
 def identities(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
@@ -83,8 +101,7 @@ def identities(docs: DataFrame, key: str = "doc_id", text: str = "text", block:
             ),
             "pairs",
         )
-        order = pairs.select("l", "r").distinct().sortWithinPartitions("l", "r")
-        names = stored(order.select("l", "r", F.monotonically_increasing_id().alias("name")), "names")
+        names = ranked(pairs.select("l", "r").distinct(), ["l", "r"], ["l", "r"])
         named = stored(pairs.join(names, ["l", "r"]).select("rid", "n_blocks", "place", "name"), "level")
         forget(pairs, names)
         reach *= 2

@@ -28,6 +28,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def shards_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every slot of the stored map before and after evening out bytes."""
+    return sharding.rebalanced(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactcopies.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
         op2_token_counts,
         op3_near_duplicates,
         op4_sharding,
+        shards_by_bytes,
         op5_exact_duplicates,
         op6_quality,
         op7_decontamination,
