@@ -1,11 +1,13 @@
 """Exact duplicates by deterministic block naming.
 
-A normalised text is cut into blocks of ``BLOCK`` characters. All distinct blocks are sorted, and
-a block's name is its place in that order, counted from 0. Then the names of adjacent blocks are
+A normalised text is cut into blocks of ``BLOCK`` characters. All distinct blocks are sorted
+by two 64-bit hashes, which tell any two of them apart (this is checked), and a block's name is its
+place in that order, counted from 0. Then the names of adjacent blocks are
 paired, the distinct pairs are sorted and named likewise, and so on until each text has a single
 name. With the number of blocks it is the text's identity: equal texts have equal names, and
 different texts never do. Names depend on the texts alone, not on partitions or runs. Sorting is by
-ranges: a partition's places count on from the rows of those before it.
+ranges: a partition's places count on from the rows of those before it. The borders of ranges come
+from a sample that Spark sends to the driver, so what is sorted has a fixed, small width.
 
 Blocks meet their names by two 64-bit hashes, so block texts are shuffled once, after copies
 within a task have fallen together. That no two different blocks share both hashes is checked
@@ -63,12 +65,9 @@ def block_names(texts: DataFrame, block: int) -> DataFrame:
     """(h1, h2, name) of all distinct blocks of the column ``norm``. Stored."""
     every = texts.select(F.explode(_blocks(F.col("norm"), block)).alias("block")).select("block", *_hashes(F.col("block")))
     met = every.groupBy("h1", "h2").agg(F.collect_set("block").alias("found"))
-    checked = met.select(
-        "h1",
-        "h2",
-        F.when(F.size("found") == 1, F.col("found")[0]).otherwise(F.raise_error(F.lit("two blocks share both hashes"))).alias("block"),
-    )
-    return ranked(checked, ["block"], ["h1", "h2"])
+    whole = F.when(F.size("found") == 1, True).otherwise(F.raise_error(F.lit("two blocks share both hashes")))
+    checked = met.where(whole)
+    return ranked(checked.select("h1", "h2"), ["h1", "h2"], ["h1", "h2"])
 
 
 def identities(docs: DataFrame, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
