@@ -599,6 +599,13 @@ ASKED = {
 }
 
 
+def _counted(name: str) -> str:
+    return (
+        f"{name} || '：' || count(*) || ' 次高温告警，平均温度 ' || {fmt('avg(avg_temp)', 1)} || '℃，最高 ' || "
+        f"{fmt('max(avg_temp)', 1)} || '℃'"
+    )
+
+
 _NAMED = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{g}')" for i, g in enumerate(m.LABELS)) + ") AS n(ord, greenhouse)"
 _MEANS = {"temp": "avg_temp", "humidity": "avg_humidity", "light": "max_light"}
 
@@ -630,6 +637,35 @@ def _fact_parts(source: str, greenhouse: str, real: bool) -> dict[str, str]:
 
 
 _G = label()
+LINES = f"""
+SELECT 'alarm_count' AS intent, {_G} AS gh1, NULL::varchar AS gh2, 0.0::double AS sort_value, {_counted(_G)} AS line
+FROM l WHERE avg_temp > 30 GROUP BY {_G}
+UNION ALL SELECT 'alarm_count', NULL, NULL, 0, {_counted("'所有大棚'")} FROM l WHERE avg_temp > 30
+UNION ALL SELECT 'alarm_top', NULL, NULL, -count(*), {_G} || '：' || count(*) || ' 次高温告警' FROM l WHERE avg_temp > 30 GROUP BY {_G}
+UNION ALL SELECT 'gh_rank', NULL, NULL, -{rnd("avg(avg_temp)", 4)}, {_G} || '（截止 ' || strftime(max(win_start), '%H:%M:%S') || '）: 均温 ' ||
+  {fmt("avg(avg_temp)", 1)} || '℃ · 均湿 ' || {fmt("avg(avg_humidity)", 1)} || '% · 光照 ' || {fmt("avg(max_light)", 0)} || ' lux' FROM l GROUP BY {_G}
+UNION ALL SELECT 'gh_latest', {_G}, NULL, 0, {_G} || ' 最新窗口（' || strftime(win_start, '%Y-%m-%d %H:%M:%S') || '）: 温度 ' || {fmt("avg_temp", 1)} ||
+  '℃ · 湿度 ' || {fmt("avg_humidity", 1)} || '% · 土壤湿度 ' || {fmt("avg_soil_humidity", 1)} || '% · 光照 ' || {fmt("max_light", 0)} || ' lux'
+  FROM (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY greenhouse_id ORDER BY win_start DESC) = 1)
+UNION ALL SELECT 'gh_compare', x.g, y.g, 0, x.g || CASE WHEN d > 0 THEN ' 高于 ' ELSE ' 低于 ' END || y.g || '，相差 ' || {fmt("abs(d)", 1)} || '℃'
+  FROM per x, per y, LATERAL (SELECT {rnd("x.t - y.t", 4)} AS d) WHERE x.k < y.k
+UNION ALL SELECT 'engine_diff', NULL, NULL, 0, 'Spark: ' || lw || ' 窗口 · ' || la || '；Flink: ' || rw || ' 窗口 · ' || ra || '；对齐窗口: ' ||
+  (SELECT count(*) FROM pairs) || '；平均温度偏差: ' || (SELECT {fmt("avg(diff_temp)", 2)} FROM pairs) || '℃'
+  FROM (SELECT count(DISTINCT win_start) AS lw, CASE WHEN {ALIVE} THEN '运行中' ELSE '离线' END AS la FROM l),
+       (SELECT count(DISTINCT win_start) AS rw, CASE WHEN {ALIVE} THEN '运行中' ELSE '离线' END AS ra FROM r)
+UNION ALL SELECT 'alarm_reason', NULL, NULL, 0, string_agg(CASE WHEN rank = 1 THEN greenhouse || ' 主因：' || reason || '（置信度 ' || score || '%）；' || detail
+  ELSE '次要：' || reason || '（' || score || '%）' END, '；' ORDER BY rank) FROM ranked"""
+
+# greenhouses without a hot window, and those a question can name without any window
+NO_LINES = f"""
+SELECT 'alarm_count' AS intent, greenhouse AS gh1, NULL::varchar AS gh2, 0.0::double AS sort_value, greenhouse || '：0 次高温告警' AS line
+FROM (SELECT greenhouse FROM ({_NAMED}) UNION SELECT {_G} FROM l WHERE greenhouse_id IS NOT NULL)
+WHERE greenhouse NOT IN (SELECT {_G} FROM l WHERE avg_temp > 30 AND greenhouse_id IS NOT NULL)
+UNION ALL SELECT 'alarm_count', NULL, NULL, 0, '所有大棚：0 次高温告警' WHERE NOT EXISTS (SELECT * FROM l WHERE avg_temp > 30)
+UNION ALL SELECT 'gh_latest', greenhouse, NULL, 0, '暂无数据' FROM absent
+UNION ALL SELECT 'gh_compare', x.greenhouse, y.greenhouse, 0, '暂无数据' FROM ({_NAMED}) x, ({_NAMED}) y
+WHERE x.ord < y.ord AND (x.greenhouse IN (FROM absent) OR y.greenhouse IN (FROM absent))"""
+
 FACTS, FACTS_BY_TIME = _fact_parts("l", _G, True), _fact_parts("l", synth("win_start"), False)
 
 RANKINGS = """SELECT 'alarm_top' AS answer_key, greenhouse, -ranked_hot::double AS sort_value, ranked_hot AS n, NULL::double AS temp,
@@ -687,6 +723,11 @@ ANSWERS = _PAIRS | _history("c", "r") | _reasons() | {
 }
 _ORDER = ("e_a", "e_b", "e_ra", "e_rb", "pairs", "p", "b", "sided", "seen", "h", "alarm", "hits", "scored", "ranked")
 ANSWERS = {k: ANSWERS[k] for k in _ORDER}
+ALL_LINES = ANSWERS | {
+    "per": f"SELECT greenhouse_id AS k, {_G} AS g, {rnd('avg(avg_temp)', 4)} AS t FROM l GROUP BY ALL",
+    "lines": LINES,
+    "absent": f"SELECT greenhouse FROM ({_NAMED}) WHERE greenhouse NOT IN (SELECT {_G} FROM l WHERE greenhouse_id IS NOT NULL)",
+}
 
 RECORDS = """SELECT *, CASE WHEN intent NOT IN ('unknown', 'empty') THEN concat_ws('|', intent, gh1, gh2) END AS answer_key,
        CASE WHEN intent = 'empty' THEN 'empty question' END AS error FROM routed"""
@@ -701,7 +742,8 @@ _RECORD = _object(*[(c, _escaped(c), True) for c in ("q_id", "q", "intent", "gh1
 QUESTIONS = {
     "route_questions": _asked("SELECT * FROM routed"),
     "question_records": _asked(f"SELECT *, {_RECORD} AS record FROM records", records=RECORDS),
-    "answers": q("SELECT * FROM facts", **FACTS),
+    "answers": q(f"SELECT * FROM lines WHERE line IS NOT NULL UNION ALL ({NO_LINES})", **ALL_LINES),
+    "answer_facts": q("SELECT * FROM facts", **FACTS),
     "answers_synthetic": q("SELECT * FROM facts", **FACTS_BY_TIME),
     "answer_rankings": q(RANKINGS, **FACTS),
     "answer_rankings_synthetic": q(RANKINGS, **FACTS_BY_TIME),

@@ -379,16 +379,25 @@ def _keyless(spark, sf):
     return left, fr.stored(fr.right(spark, sf).withColumn("greenhouse_id", F.lit("gh_01")), "single")
 
 
-def _answered(spark, sf, left, right):
+def _engines_and_alarm(spark, sf, left, right):
+    """The first table labelled, the engines' difference and the latest alarm."""
     named = [compare.load_windows(t, w, window_seconds=fr.HOUR) for t, w in ((left, True), (right, True))]
     diff = compare.engine_diff(*named, fr.as_of(spark, sf), alive_seconds=fr.ALIVE_SECONDS)
     gappy = fr.stored(fr.gappy(spark, sf), "gappy")
-    newest = alarms.latest_alarm(gappy, right, fr.ALARM, fr.HOUR)
+    return named[0], diff, alarms.latest_alarm(gappy, right, fr.ALARM, fr.HOUR)
+
+
+def _answered(spark, sf, left, right):
+    _, diff, newest = _engines_and_alarm(spark, sf, left, right)
     return questions.answer(fr.questions(spark, sf), _facts(spark, left, right), diff, newest)
 
 
 def answers(spark, sf):
-    return _facts(spark, *_stored_pair(spark, sf))
+    return questions.answers(*_engines_and_alarm(spark, sf, *_stored_pair(spark, sf)))
+
+
+def answer_facts(spark, sf):
+    return _facts(spark, fr.left(spark, sf), fr.right(spark, sf))
 
 
 def answers_synthetic(spark, sf):
@@ -598,6 +607,7 @@ QUERIES: dict[str, Query] = {
     "route_questions": route_questions,
     "question_records": question_records,
     "answers": answers,
+    "answer_facts": answer_facts,
     "answers_synthetic": answers_synthetic,
     "answer_rankings": answer_rankings,
     "answer_rankings_synthetic": answer_rankings_synthetic,

@@ -1,13 +1,19 @@
-"""Questions to answers (Q1-Q5): route a table of questions, one answer for each from the facts."""
+"""Questions to answers (Q1-Q5): route a table of questions, one answer for each from the facts;
+all answers there are, as lines under the key that a question's record names."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdance.functions import intents
-from verdance.functions.values import text, time_text
-from verdance.model import BLANKS
+from verdance.functions import intents, labels
+from verdance.functions.values import text, time_of_day, time_text
+from verdance.model import BLANKS, LABELS
+from verdance.plans import reports
+
+NO_DATA = "暂无数据"
 
 HELP = "ask for the newest window of a greenhouse, two greenhouses, hot windows, rankings, the engines or a cause"
 
@@ -61,6 +67,125 @@ def empty(questions: DataFrame) -> DataFrame:
     return questions.where(F.coalesce(_stripped("q"), F.lit("")) == "")
 
 
+#: Cells in which pairs of greenhouses meet, along each side.
+CELLS = 8
+
+
+def _line(intent: str, line: Column, gh1: Column | None = None, gh2: Column | None = None, order: Column | None = None) -> Column:
+    none = F.lit(None).cast("string")
+    return F.struct(
+        F.lit(intent).alias("intent"),
+        (none if gh1 is None else gh1).alias("gh1"),
+        (none if gh2 is None else gh2).alias("gh2"),
+        (F.lit(0.0) if order is None else order.cast("double")).alias("sort_value"),
+        F.coalesce(line, F.lit(NO_DATA)).alias("line"),
+    )
+
+
+def _rows(df: DataFrame, *lines: Column) -> DataFrame:
+    """The lines that apply to each row, each as a row; null lines are left out."""
+    return df.select(F.inline(F.array_compact(F.array(*lines))))
+
+
+def _counted(who: Column) -> Column:
+    told = text("%s：%d 次高温告警，平均温度 %.1f℃，最高 %.1f℃", who, F.col("hot_n"), F.round("hot_mean", 1), F.round("hot_top", 1))
+    return F.when(F.col("hot_n") > 0, told).otherwise(F.concat(who, F.lit("：0 次高温告警")))
+
+
+def _compared(per: DataFrame) -> DataFrame:
+    """Every two greenhouses, the earlier key first. They meet in a square of cells, so that
+    many greenhouses are many tasks."""
+    side = per.select("greenhouse", labels.key_of(F.col("greenhouse")).alias("k"), F.round("t", 4).alias("t"))
+    side = side.withColumn("cell", F.pmod(F.xxhash64("greenhouse"), F.lit(CELLS)))
+    every = F.explode(F.sequence(F.lit(0), F.lit(CELLS - 1)).cast("array<long>"))
+    a = side.withColumnsRenamed({"cell": "row"}).withColumn("column", every).alias("a")
+    b = side.withColumnsRenamed({"cell": "column"}).withColumn("row", every).alias("b")
+    met = a.join(b, (F.col("a.row") == F.col("b.row")) & (F.col("a.column") == F.col("b.column")) & (F.col("a.k") < F.col("b.k")))
+    one, two, d = F.col("a.greenhouse"), F.col("b.greenhouse"), F.round(F.col("a.t") - F.col("b.t"), 4)
+    verdict = F.when(d > 0, F.lit("高于")).otherwise(F.lit("低于"))
+    return _rows(met, _line("gh_compare", text("%s %s %s，相差 %.1f℃", one, verdict, two, F.round(F.abs(d), 1)), one, two))
+
+
+def _environment_lines(keyed: DataFrame, hot_above: float) -> DataFrame:
+    """Counts, rankings and comparisons of all greenhouses from one grouping; its rows are
+    grouped once more for the total, which is there without a window too."""
+    temp = F.col("avg_temp")
+    hot = temp > hot_above
+    per = keyed.groupBy("greenhouse").agg(
+        F.count_if(hot).alias("hot_n"),
+        F.sum(F.when(hot, temp)).alias("hot_sum"),
+        F.max(F.when(hot, temp)).alias("hot_top"),
+        F.avg(temp).alias("t"),
+        F.avg("avg_humidity").alias("h"),
+        F.avg("max_light").alias("l"),
+        F.max("win_start").alias("last"),
+    )
+    absent = {g: F.col(f"named_{i}") == 0 for i, g in enumerate(LABELS)}
+    total = per.agg(
+        F.coalesce(F.sum("hot_n"), F.lit(0)).alias("hot_n"),
+        F.sum("hot_sum").alias("hot_sum"),
+        F.max("hot_top").alias("hot_top"),
+        *[F.count_if(F.col("greenhouse") == g).alias(f"named_{i}") for i, g in enumerate(LABELS)],
+    )
+    mean = F.try_divide("hot_sum", "hot_n")
+    who, n, env = F.col("greenhouse"), F.col("hot_n"), text("均温 %.1f℃ · 均湿 %.1f%% · 光照 %.0f lux", F.round("t", 1), F.round("h", 1), F.round("l", 0))
+    each = [
+        _line("alarm_count", _counted(who), who),
+        F.when(n > 0, _line("alarm_top", text("%s：%d 次高温告警", who, n), order=-n)),
+        _line("gh_rank", F.concat(who, F.lit("（截止 "), time_of_day(F.col("last")), F.lit("）: "), env), order=-F.round("t", 4)),
+    ]
+    every = [_line("alarm_count", _counted(F.lit("所有大棚")))]
+    # labels a question can name of which there is no window
+    for i, (g, none) in enumerate(absent.items()):
+        every.append(F.when(none, _line("alarm_count", F.lit(f"{g}：0 次高温告警"), F.lit(g))))
+        every.append(F.when(none, _line("gh_latest", F.lit(None).cast("string"), F.lit(g))))
+        for b in LABELS[i + 1 :]:
+            every.append(F.when(none | absent[b], _line("gh_compare", F.lit(None).cast("string"), F.lit(g), F.lit(b))))
+    told = [_rows(df.withColumn("hot_mean", mean), *lines) for df, lines in ((per, each), (total, every))]
+    return told[0].unionByName(told[1]).unionByName(_compared(per))
+
+
+def _latest_lines(keyed: DataFrame) -> DataFrame:
+    who = F.col("greenhouse")
+    values = text(
+        "温度 %.1f℃ · 湿度 %.1f%% · 土壤湿度 %.1f%% · 光照 %.0f lux",
+        F.round("avg_temp", 1),
+        F.round("avg_humidity", 1),
+        F.round("avg_soil_humidity", 1),
+        F.round("max_light", 0),
+    )
+    told = F.concat(who, F.lit(" 最新窗口（"), time_text(F.col("win_start")), F.lit("）: "), values)
+    return _rows(reports.gh_latest(keyed), _line("gh_latest", told, who))
+
+
+def answers(windows: DataFrame, diff: DataFrame | None = None, alarm: DataFrame | None = None, hot_above: float = reports.HOT) -> DataFrame:
+    """Q4: every answer the questions can ask for, as (intent, gh1, gh2, sort_value, line).
+
+    ``windows`` is labelled by real keys. Rankings are one row per greenhouse with ``sort_value``
+    ascending in rank order. ``diff`` and ``alarm`` are the results of ``compare.engine_diff`` and
+    ``alarms.latest_alarm``.
+    """
+    keyed = windows.where(F.col("greenhouse").isNotNull())
+    parts = [_environment_lines(keyed, hot_above), _latest_lines(keyed)]
+    if diff is not None:
+        state = [F.when(F.col(f"{s}_alive"), F.lit("运行中")).otherwise(F.lit("离线")) for s in ("left", "right")]
+        told = text(
+            "Spark: %d 窗口 · %s；Flink: %d 窗口 · %s；对齐窗口: %d；平均温度偏差: %.2f℃",
+            F.col("left_windows"),
+            state[0],
+            F.col("right_windows"),
+            state[1],
+            F.col("pairs"),
+            F.coalesce(F.round("avg_diff_temp", 2), F.lit(0.0)),
+        )
+        parts.append(_rows(diff, _line("engine_diff", told)))
+    if alarm is not None:
+        others = F.transform("secondary", lambda r: F.format_string("次要：%s（%d%%）", r["reason"], r["score"]))
+        main = F.format_string("%s 主因：%s（置信度 %d%%）", F.col("greenhouse"), F.col("primary.reason"), F.col("confidence"))
+        parts.append(_rows(alarm, _line("alarm_reason", F.concat_ws("；", F.array(main, F.col("primary.detail")), others))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 #: Intents whose answer is a list, which ``facts.rankings`` holds once under this key.
 LISTED = ("alarm_top", "gh_rank")
 
