@@ -1,19 +1,19 @@
 """Main text of web pages, by nearest-URL page differencing.
 
-A page is cut into text lines (its blocks). Within each host pages with the same lines outside
-marked articles are taken as one, and these are sorted by URL path. Neighbours that share BULK
-percent of their text are a run of near-copies, which tell nothing about frames; the neighbours
-of a page are the last of the run before its own and the first of the run after it. Of the two
-the one whose path shares the longer prefix with the page's is aligned with it by their longest
-common subsequence; lines in it are the site's frame, not the page's text, and are deleted. Where
-that would be the bulk of the page, only lines that the other neighbour shares too are deleted,
-and none if that leaves nothing. On a host that has a single run only marked parts are deleted.
-
-Mark-up says more than differencing where it is there: lines within ``article`` or ``main`` are
-the text, also where two pages have them in common (copies of an article), and lines within
-menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-never are. So on pages with a marked article the text is what lies in it; on others it is what
-differencing leaves.
+A page is cut into text lines (its blocks). Within each host pages with the same lines are taken
+as one, and these are sorted by URL path. Neighbours that share BULK percent of their text are a
+run of near-copies, which tell nothing about frames; the neighbours of a page are the last of the
+run before its own and the first of the run after it. Of the two the one whose path shares the
+longer prefix with the page's is aligned with it by their longest common subsequence; lines in it
+are the site's frame, not the page's text, and are deleted. Where that would be the bulk of the
+page, only lines that the other neighbour shares too are deleted, and none if that leaves
+nothing. On a host that has a single run only marked parts are deleted.
+
+Every line of every page is aligned, also those within ``article`` and ``main``. Mark-up then
+checks what differencing found. Lines within menus, headers, footers, sidebars, notices, adverts,
+forms, scripts, styles and reader comments never are text, nor are lines around a marked article.
+Lines within one may be shared because two articles have a sentence in common, so there a deletion
+must be confirmed: the same line is deleted from most of the host's runs, and from OFTEN at least.
 
 Pages are sorted over all partitions as hashes of lines, without their text; the few rows at
 partition borders find their neighbours in a table of one row per partition. So a host with a
@@ -34,6 +34,7 @@ import os.path
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,8 +59,12 @@ MARKS = {
     "complementary", "search", "login", "toolbar", "widget", "disclaimer", "copyright",
 }
 
-#: Percent of a page's text, outside marked parts, from which a shared part is no frame.
+#: Percent of a page's text, without what mark-up excludes, from which a shared part is no frame.
 BULK = 80
+#: Runs of a host from which a line is deleted before it may be one in an article.
+OFTEN = 5
+#: Bits of the rows of alignment that are held at once.
+ROWS_HELD = 1 << 27
 
 _token = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S
@@ -135,6 +140,52 @@ def lines(html: str | None) -> list[tuple[str, bool, bool]]:
     return out
 
 
+def _rows(a: list[int], b: list[int]) -> Iterator[int]:
+    """For each start of ``a`` a number whose bit j is 0 where place j of ``b`` makes the longest
+    common subsequence of that start and b[: j + 1] longer than that of b[:j]."""
+    places: dict[int, int] = {}
+    for j, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << j
+    full = row = (1 << len(b)) - 1
+    for x in a:
+        met = row & places.get(x, 0)
+        row = (row + met | row - met) & full
+        yield row
+
+
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Lengths of longest common subsequences of ``a`` and each start of ``b``."""
+    row = 0
+    for row in _rows(a, b):
+        pass
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def _aligned_rows(a: list[int], b: list[int], at: int) -> Iterator[int]:
+    """Places, counted from ``at``, in ``a`` of a longest common subsequence, for lines that
+    repeat often. Rows are bits; where they are too many, ``a`` is halved and ``b`` cut to fit."""
+    if not a or not b:
+        return
+    if len(a) > 1 and len(a) * len(b) > ROWS_HELD:
+        mid = len(a) // 2
+        cut = int(np.argmax(_lengths(a[:mid], b) + _lengths(a[mid:][::-1], b[::-1])[::-1]))
+        yield from _aligned_rows(a[:mid], b[:cut], at)
+        yield from _aligned_rows(a[mid:], b[cut:], at + mid)
+        return
+    rows = [(1 << len(b)) - 1, *_rows(a, b)]
+    i, j = len(a), len(b) - 1
+    while i and j >= 0:
+        if rows[i] >> j & 1:
+            j -= 1  # the last place of b adds nothing
+        elif not rows[i - 1] >> j & 1:
+            i -= 1  # it does so without the last line of a
+        else:
+            yield at + i - 1
+            i -= 1
+            j -= 1
+
+
 def common_subsequence(a: list[int], b: list[int]) -> set[int]:
     """Places in ``a`` of a longest common subsequence with ``b``."""
     lead = 0
@@ -147,10 +198,15 @@ def common_subsequence(a: list[int], b: list[int]) -> set[int]:
     places: dict[int, list[int]] = {}
     for j in range(lead, len(b) - tail):
         places.setdefault(b[j], []).append(j)
+    met = [i for i in range(lead, len(a) - tail) if a[i] in places]
+    if sum(len(places[a[i]]) for i in met) > 64 * (len(a) + len(b)):
+        known = {a[i] for i in met}
+        found.update(met[i] for i in _aligned_rows([a[i] for i in met], [x for x in b[lead : len(b) - tail] if x in known], 0))
+        return found
     ends: list[int] = []  # smallest place in b at which a subsequence of each length ends
     links: list[tuple] = []
-    for i in range(lead, len(a) - tail):
-        for j in reversed(places.get(a[i], ())):
+    for i in met:
+        for j in reversed(places[a[i]]):
             k = bisect.bisect_left(ends, j)
             link = (i, links[k - 1] if k else None)
             if k == len(ends):
@@ -169,19 +225,25 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def _may_be_text(every: list[tuple[str, bool, bool]]) -> list[bool]:
+    """What mark-up says of each line: in an article where there is one, else in no marked frame."""
+    marked = any(article for _, article, _ in every)
+    return [article if marked else not frame for _, article, frame in every]
+
+
 def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the lines outside articles, their lengths (0 in marked frames), and whether
-    there is an article."""
+    """Hashes of all lines, their lengths (0 where mark-up excludes them), and whether each is in
+    an article."""
     for batch in batches:
-        found, weights, has = [], [], []
+        found, weights, inside = [], [], []
         for html in batch.column("html").to_pylist():
             every = lines(html)
-            found.append([_hash(t) for t, article, _ in every if not article])
-            weights.append([0 if frame else len(t) for t, article, frame in every if not article])
-            has.append(any(article for _, article, _ in every))
+            found.append([_hash(t) for t, _, _ in every])
+            weights.append([len(t) if may else 0 for (t, _, _), may in zip(every, _may_be_text(every), strict=True)])
+            inside.append([article for _, article, _ in every])
         kept = [batch.column(c) for c in ("key", "host", "path", "page_id")]
-        made = [pa.array(found, pa.list_(pa.int64())), pa.array(weights, pa.list_(pa.int32())), pa.array(has, pa.bool_())]
-        yield pa.RecordBatch.from_arrays([*kept, *made], names=["key", "host", "path", "page_id", "outline", "weights", "marked"])
+        made = [pa.array(found, pa.list_(pa.int64())), pa.array(weights, pa.list_(pa.int32())), pa.array(inside, pa.list_(pa.bool_()))]
+        yield pa.RecordBatch.from_arrays([*kept, *made], names=["key", "host", "path", "page_id", "outline", "weights", "inside"])
 
 
 def _weight(row: dict, places: set[int]) -> int:
@@ -216,18 +278,36 @@ def _gone(row: dict) -> set[int]:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places, among the lines outside articles, of those that are deleted."""
+    """Places of the lines that are deleted; of those in articles also the lines, and of a page
+    that starts a run each of these once, as a vote."""
+    kind = pa.struct([("place", pa.int32()), ("line", pa.int64())])
     for batch in batches:
-        first, second, hosts, places = [], [], [], []
+        first, second, hosts, places, asked, votes = [], [], [], [], [], []
         for r in batch.to_pylist():
-            same = _gone(r)
+            same = sorted(_gone(r))
             if same:
                 first.append(r["o1"])
                 second.append(r["o2"])
                 hosts.append(r["host"])
-                places.append(sorted(same))
+                places.append([i for i in same if not r["inside"][i]])
+                asked.append([{"place": i, "line": r["outline"][i]} for i in same if r["inside"][i]])
+                votes.append(sorted({x["line"] for x in asked[-1]}) if r["starts"] else [])
         made = [pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(hosts, pa.string()), pa.array(places, pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays(made, names=["o1", "o2", "host", "places"])
+        made += [pa.array(asked, pa.list_(kind)), pa.array(votes, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(made, names=["o1", "o2", "host", "places", "asked", "votes"])
+
+
+def _confirmed(found: DataFrame, runs: DataFrame) -> DataFrame:
+    """(host, o1, o2, places): deletions outside articles, and those inside that most of the
+    host's runs, and OFTEN at least, agree on."""
+    of_host = runs.where("starts").groupBy("host").agg(F.count("*").alias("runs"))
+    votes = found.select("host", F.explode("votes").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
+    agreed = votes.where(F.col("n") >= OFTEN).join(of_host, "host").where("2 * n > runs").select("host", "line")
+    page = ["host", "o1", "o2"]
+    inside = found.select(*page, F.inline("asked")).join(agreed, ["host", "line"]).groupBy(*page).agg(F.collect_list("place").alias("inside"))
+    none = F.array().cast("array<int>")
+    every = found.join(inside, page, "left").select(*page, F.concat("places", F.coalesce("inside", none)).alias("places"))
+    return every.where(F.size("places") > 0)
 
 
 def _page_key() -> Column:
@@ -241,13 +321,13 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
     src = pages.select(_page_key().alias("key"), host.alias("host"), path.alias("path"), "page_id", "html")
     id_kind = pages.schema["page_id"].dataType.simpleString()
-    kind = f"key long, host string, path string, page_id {id_kind}, outline array<long>, weights array<int>, marked boolean"
+    kind = f"key long, host string, path string, page_id {id_kind}, outline array<long>, weights array<int>, inside array<boolean>"
     outlines = src.mapInArrow(_outlines, kind).where(F.size("outline") > 0)
-    same = [F.xxhash64(F.lit(i), "outline", "weights", "marked").alias(f"o{i}") for i in (1, 2)]
+    same = [F.xxhash64(F.lit(i), "outline", "weights", "inside").alias(f"o{i}") for i in (1, 2)]
     outlines = stored(outlines.select("*", *same), "outlines")
-    firsts = [F.any_value(c).alias(c) for c in ("outline", "weights", "marked")]
+    firsts = [F.any_value(c).alias(c) for c in ("outline", "weights", "inside")]
     distinct = outlines.groupBy("host", "o1", "o2").agg(F.min(F.struct("path", "page_id", "key")).alias("least"), *firsts)
-    distinct = distinct.select("host", "o1", "o2", "outline", "weights", "marked", "least.*")
+    distinct = distinct.select("host", "o1", "o2", "outline", "weights", "inside", "least.*")
     order = ["host", "path", "page_id", "key"]
     ranged = stored(
         distinct.repartitionByRange(*order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")),
@@ -262,7 +342,7 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     within = Window.partitionBy("part").orderBy("at")
     paired = ranged.select("*", F.lag(side).over(within).alias("b")).join(earlier, "at", "left")
     paired = paired.select(
-        "o1", "o2", "host", "path", "outline", "weights", "marked", "part", "at", F.coalesce("b", "earlier_side").alias("before")
+        "o1", "o2", "host", "path", "outline", "weights", "inside", "part", "at", F.coalesce("b", "earlier_side").alias("before")
     )
     runs = stored(paired.mapInArrow(_runs, f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in paired.schema)}, starts boolean"), "runs")
     # wrapped, so that a run at the beginning of all pages is told from none
@@ -277,12 +357,14 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     down = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     up = Window.partitionBy("part").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)
     seen = runs.select("*", F.last(last, ignorenulls=True).over(down).alias("d"), F.last(next_, ignorenulls=True).over(up).alias("u"))
-    faced = seen.where("not marked").join(F.broadcast(carried), "part").select(
-        "o1", "o2", "host", "path", "outline", "weights", F.coalesce("d", "l")["before"].alias("before"), F.coalesce("u", "n").alias("after")
+    faced = seen.join(F.broadcast(carried), "part").select(
+        "o1", "o2", "host", "path", "outline", "weights", "inside", "starts", F.coalesce("d", "l")["before"].alias("before"), F.coalesce("u", "n").alias("after")
     )
-    places = stored(faced.mapInArrow(_shared, "o1 long, o2 long, host string, places array<int>"), "places")
+    kind = "o1 long, o2 long, host string, places array<int>, asked array<struct<place: int, line: long>>, votes array<long>"
+    found = stored(faced.mapInArrow(_shared, kind), "found")
+    places = stored(_confirmed(found, runs), "places")
     out = stored(outlines.join(places, ["host", "o1", "o2"]).select("key", "places").dropDuplicates(["key"]), "shared")
-    forget(outlines, ranged, ends, runs, carried, places)
+    forget(outlines, ranged, ends, runs, carried, found, places)
     return out
 
 
@@ -291,9 +373,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for html, places in zip(batch.column("html").to_pylist(), batch.column("places").to_pylist(), strict=True):
             every, gone = lines(html), set(places or ())
-            inside = [t for t, article, _ in every if article]
-            outside = [(i, t, frame) for i, (t, _, frame) in enumerate(x for x in every if not x[1])]
-            texts.append(" ".join(inside or [t for i, t, frame in outside if not frame and i not in gone]))
+            texts.append(" ".join(t for i, ((t, _, _), may) in enumerate(zip(every, _may_be_text(every), strict=True)) if may and i not in gone))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
